@@ -70,12 +70,14 @@ def apply(
         outcome = F.when(stage.active, outcome).otherwise(oc.passed())
         if payload is not None:
             payload = F.when(stage.active, payload).otherwise(stage.text)
-    added = {"outcome": outcome}
-    if payload is not None:
-        added["payload_out"] = payload
+    sealed = {"outcome": outcome}
     if mapping is not None:
         if inputs.mapping in messages.columns:
             mapping = F.coalesce(mapping, F.col(inputs.mapping))
-        added[inputs.mapping] = mapping
-    stage.df = stage.df.withColumns(added)
+        sealed[inputs.mapping] = stage.keep(mapping)
+    if payload is not None and inputs.mapping in messages.columns:
+        payload = stage.keep(payload)  # it may read the mapping that came in
+    stage.seal(**sealed)
+    if payload is not None:
+        stage.df = stage.df.withColumn("payload_out", payload)
     return stage.result()

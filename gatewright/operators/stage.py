@@ -132,6 +132,17 @@ class Stage:
             .otherwise(oc.violation(policy, message, self.detailed))
         )
 
+    def seal(self, **columns: Column) -> None:
+        """Add result columns that later filters cannot be pushed through.
+
+        Catalyst moves a filter below projections by repeating their whole
+        expressions, at every level, which would run a policy several times for
+        ``where(outcome.passed)``. A generator over a single row stops that;
+        filters on columns that the messages came with still reach the scan.
+        """
+        parts = [value.alias(name) for name, value in columns.items()]
+        self.df = self.df.drop(*columns).select("*", F.inline(F.array(F.struct(*parts))))
+
     def result(self) -> DataFrame:
         return self.df.drop(*[f"{PREFIX}{i}" for i in range(self._count)])
 

@@ -54,12 +54,12 @@ def with_invalid_by_join(
     itself belongs to the key, so messages that share an id stay apart.
     """
     columns = [messages[k].alias(f"{name}_k{i}") for i, k in enumerate(keys)]
-    narrow = messages.select(*columns, urls.alias(f"{name}_urls")).where(
-        F.size(f"{name}_urls") > 0
-    )
+    narrow = messages.select(*columns, urls.alias(f"{name}_urls"))
     renamed = [f"{name}_k{i}" for i in range(len(keys))] + [f"{name}_urls"]
-    pairs = narrow.select(*renamed, F.posexplode(f"{name}_urls").alias("pos", "url"))
-    unknown = pairs.withColumn("entry", _entry(F.col("url"), only_dns)).join(
+    # The outer form keeps Catalyst from adding a size filter below, which would
+    # extract the URLs a second time.
+    pairs = narrow.select(*renamed, F.posexplode_outer(f"{name}_urls").alias("pos", "url"))
+    unknown = pairs.where("url is not null").withColumn("entry", _entry(F.col("url"), only_dns)).join(
         valid, "entry", "left_anti"
     )
     found = F.array_sort(F.collect_set(F.struct("pos", "url")))

@@ -52,14 +52,11 @@ def run_chain(
         if verdict.mapping is not None:
             new = F.when(active, verdict.mapping)
             mapping = stage.keep(new if mapping is None else F.coalesce(new, mapping))
-    added = {
-        "outcome": outcome,
-        "halted_by": halted_by,
-        "payload_out": F.col(payload),
-    }
+    sealed = {"outcome": outcome, "halted_by": halted_by}
     if mapping is not None:
-        added[inputs.mapping] = mapping
-    stage.df = stage.df.withColumns(added)
+        sealed[inputs.mapping] = stage.keep(mapping)
+    stage.seal(**sealed)
+    stage.df = stage.df.withColumn("payload_out", F.col(payload))
     return stage.result()
 
 

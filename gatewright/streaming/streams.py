@@ -47,14 +47,12 @@ def restore_stream(
     comes later, or whose request had nothing to mask, leaves unrestored once
     the watermark has passed it.
     """
-    masked = apply(requests, policy, flow="REQUEST")
-    # Requests without a mapping have nothing to carry over.
-    stored = (
-        masked.where(F.col("mapping").isNotNull())
-        .select(
-            F.col("msg_id").alias("asked_id"), F.col("ts").alias("asked_at"), "mapping"
-        )
-        .withWatermark("asked_at", late)
+    # The watermark stands before the filter: requests without a mapping have
+    # nothing to carry over, but they move the time on.
+    timed = requests.withColumnRenamed("ts", "asked_at").withWatermark("asked_at", late)
+    masked = apply(timed, policy, flow="REQUEST")
+    stored = masked.where(F.col("mapping").isNotNull()).select(
+        F.col("msg_id").alias("asked_id"), "asked_at", "mapping"
     )
     arrived = responses.withWatermark("ts", late)
     joined = arrived.join(
