@@ -135,6 +135,8 @@ class SchemaCheck:
             raise ValueError(f"not a schema: {schema!r}")
         if "$ref" in schema:
             return self._target(schema["$ref"], trail)
+        # A type keyword is checked first and stands for the others' own tests.
+        schema = dict(sorted(schema.items(), key=lambda item: item[0] != "type"))
         checks: list[Check] = []
         for keyword in schema:
             if keyword in _ANNOTATIONS or keyword in (
@@ -154,7 +156,10 @@ class SchemaCheck:
 
     # A keyword for one type says nothing about values of other types.
     @staticmethod
-    def _typed(name: str, check: Check) -> Check:
+    def _typed(name: str, check: Check, schema) -> Check:
+        pinned = schema.get("type")
+        if pinned == name or (pinned == "integer" and name == "number"):
+            return check
         return lambda value: ~_TYPES[name](_kind(value)) | check(value)
 
     def _kw_type(self, wanted, schema, trail) -> Check:
@@ -171,13 +176,13 @@ class SchemaCheck:
         return lambda value: _same(value, wanted)
 
     def _kw_minLength(self, limit, schema, trail) -> Check:
-        return self._typed("string", lambda value: F.length(_text(value)) >= int(limit))
+        return self._typed("string", lambda value: F.length(_text(value)) >= int(limit), schema)
 
     def _kw_maxLength(self, limit, schema, trail) -> Check:
-        return self._typed("string", lambda value: F.length(_text(value)) <= int(limit))
+        return self._typed("string", lambda value: F.length(_text(value)) <= int(limit), schema)
 
     def _kw_pattern(self, pattern, schema, trail) -> Check:
-        return self._typed("string", lambda value: _text(value).rlike(pattern))
+        return self._typed("string", lambda value: _text(value).rlike(pattern), schema)
 
     def _kw_format(self, name, schema, trail) -> Check:
         if name in _FORMATS:
@@ -188,13 +193,13 @@ class SchemaCheck:
 
     def _kw_minimum(self, limit, schema, trail) -> Check:
         if schema.get("exclusiveMinimum") is True:
-            return self._typed("number", lambda value: _number(value) > float(limit))
-        return self._typed("number", lambda value: _number(value) >= float(limit))
+            return self._typed("number", lambda value: _number(value) > float(limit), schema)
+        return self._typed("number", lambda value: _number(value) >= float(limit), schema)
 
     def _kw_maximum(self, limit, schema, trail) -> Check:
         if schema.get("exclusiveMaximum") is True:
-            return self._typed("number", lambda value: _number(value) < float(limit))
-        return self._typed("number", lambda value: _number(value) <= float(limit))
+            return self._typed("number", lambda value: _number(value) < float(limit), schema)
+        return self._typed("number", lambda value: _number(value) <= float(limit), schema)
 
     def _exclusive(self, schema) -> Check:
         low, high = schema.get("exclusiveMinimum"), schema.get("exclusiveMaximum")
@@ -207,7 +212,7 @@ class SchemaCheck:
                 parts.append(_number(value) < float(high))
             return _all(parts)
 
-        return self._typed("number", check)
+        return self._typed("number", check, schema)
 
     def _kw_multipleOf(self, step, schema, trail) -> Check:
         if float(step) <= 0:
@@ -218,7 +223,7 @@ class SchemaCheck:
             number = F.try_variant_get(value, "$", "decimal(38,18)")
             return F.coalesce(number % exact == 0, _number(value) % F.lit(float(step)) == 0)
 
-        return self._typed("number", check)
+        return self._typed("number", check, schema)
 
     def _kw_required(self, names, schema, trail) -> Check:
         if isinstance(names, bool):
@@ -226,6 +231,7 @@ class SchemaCheck:
         return self._typed(
             "object",
             lambda value: _all([F.map_contains_key(_fields(value), name) for name in names]),
+            schema,
         )
 
     def _kw_properties(self, properties, schema, trail) -> Check:
@@ -243,7 +249,7 @@ class SchemaCheck:
 
             return _bind(_fields(value), each)
 
-        return self._typed("object", check)
+        return self._typed("object", check, schema)
 
     def _other_properties(self, schema, trail) -> Check:
         names = list(schema.get("properties", {}))
@@ -261,14 +267,15 @@ class SchemaCheck:
             return _all(parts)
 
         return self._typed(
-            "object", lambda value: F.forall(F.map_entries(_fields(value)), entry)
+            "object", lambda value: F.forall(F.map_entries(_fields(value)), entry),
+            schema,
         )
 
     def _kw_minProperties(self, limit, schema, trail) -> Check:
-        return self._typed("object", lambda value: F.size(_fields(value)) >= int(limit))
+        return self._typed("object", lambda value: F.size(_fields(value)) >= int(limit), schema)
 
     def _kw_maxProperties(self, limit, schema, trail) -> Check:
-        return self._typed("object", lambda value: F.size(_fields(value)) <= int(limit))
+        return self._typed("object", lambda value: F.size(_fields(value)) <= int(limit), schema)
 
     def _kw_items(self, items, schema, trail) -> Check:
         if isinstance(items, list):
@@ -286,15 +293,15 @@ class SchemaCheck:
 
                 return _bind(_items(value), each)
 
-            return self._typed("array", by_place)
+            return self._typed("array", by_place, schema)
         check = self.check(items, trail)
-        return self._typed("array", lambda value: F.forall(_items(value), check))
+        return self._typed("array", lambda value: F.forall(_items(value), check), schema)
 
     def _kw_minItems(self, limit, schema, trail) -> Check:
-        return self._typed("array", lambda value: F.size(_items(value)) >= int(limit))
+        return self._typed("array", lambda value: F.size(_items(value)) >= int(limit), schema)
 
     def _kw_maxItems(self, limit, schema, trail) -> Check:
-        return self._typed("array", lambda value: F.size(_items(value)) <= int(limit))
+        return self._typed("array", lambda value: F.size(_items(value)) <= int(limit), schema)
 
     def _kw_uniqueItems(self, wanted, schema, trail) -> Check:
         if not wanted:
@@ -304,7 +311,7 @@ class SchemaCheck:
             texts = F.transform(_items(value), lambda item: F.to_json(item))
             return F.size(F.array_distinct(texts)) == F.size(texts)
 
-        return self._typed("array", check)
+        return self._typed("array", check, schema)
 
     def _kw_allOf(self, parts, schema, trail) -> Check:
         checks = [self.check(sub, trail) for sub in parts]

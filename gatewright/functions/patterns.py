@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from gatewright.functions.marks import may_match
+
 # Fixed patterns and marks of the reference behaviour.
 URL = r"""https?://[^\s,"'{}\[\]\\`]+"""
 OBJECT = r"(?s)\{.*?\}"
@@ -33,7 +35,18 @@ def check_regex(spark: SparkSession, pattern: str, *, consuming: bool = False) -
 
 
 def regex_find(text: Column, pattern: str) -> Column:
-    return text.rlike(pattern)
+    possible = may_match(text, pattern)
+    found = text.rlike(pattern)
+    return found if possible is None else possible & found
+
+
+def find_all(text: Column, pattern: str) -> Column:
+    """All matches; an empty array where there are none."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    possible = may_match(text, pattern)
+    if possible is None:
+        return found
+    return F.when(text.isNull() | possible, found).otherwise(F.array().cast("array<string>"))
 
 
 def extract_urls(text: Column) -> Column:
@@ -127,11 +140,18 @@ def restore(text: Column, mapping: Column) -> Column:
 
 
 def redact(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Every match of every rule, in order, becomes the same mark."""
     for _, pattern in rules:
-        text = F.regexp_replace(text, pattern, REDACTED)
+        text = redact_rule(text, pattern)
     return text
 
 
+def redact_rule(text: Column, pattern: str) -> Column:
+    done = F.regexp_replace(text, pattern, REDACTED)
+    possible = may_match(text, pattern)
+    return done if possible is None else F.when(possible, done).otherwise(text)
+
+
 def mask_found(text: Column, found: Column) -> tuple[Column, Column]:
     """Mask the texts an outside scorer found.
 

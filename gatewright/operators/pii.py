@@ -19,7 +19,7 @@ def mask_steps(stage: Stage, text: Column, rules) -> tuple[Column, Column]:
     """
     mapping = stage.keep(patterns.empty_mapping())
     for entity, pattern in rules:
-        matches = stage.keep(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        matches = stage.keep(patterns.find_all(text, pattern))
         mapping = stage.keep(
             F.when(F.size(matches) == 0, mapping).otherwise(
                 F.concat(mapping, patterns.new_entries(matches, mapping, entity))
@@ -36,7 +36,9 @@ def transform_pii(stage: Stage, policy: PiiRegex, inputs: Inputs) -> Verdict:
     content = stage.content(policy.json_path, cleaned=True)
     mapping = None
     if policy.redact:
-        changed = stage.keep(stage.gate(patterns.redact(content, policy.pii_entities)))
+        changed = stage.keep(stage.gate(content))
+        for _, pattern in policy.pii_entities:
+            changed = stage.keep(patterns.redact_rule(changed, pattern))
         hit = changed != content
     else:
         request = F.when(stage.way == "RESPONSE", None).otherwise(content)

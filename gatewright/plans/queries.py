@@ -23,6 +23,7 @@ from gatewright.sources.messages import (
     text_messages,
 )
 from gatewright.sources.providers import embed, embed_rules
+from gatewright.sources.tables import read_parquet
 from gatewright.streaming.streams import drain, file_stream, restore_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,7 +56,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_parquet(spark, f"{folder}/{name}.parquet")
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
@@ -572,20 +573,24 @@ def bedrock_answers(spark, folder) -> DataFrame:
     """Answers made from the documents: e-mail addresses are masked, documents
     with a phone number are blocked, the others pass."""
     content = F.col("text")
-    mails = F.array_distinct(F.regexp_extract_all(content, F.lit(EMAIL), F.lit(0)))
+    found = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("msg_id"),
+        "text",
+        F.array_distinct(patterns.find_all(content, EMAIL)).alias("mails"),
+        patterns.regex_find(content, PHONE).alias("blocked"),
+    )
     entity = F.transform(
-        mails,
+        "mails",
         lambda m: F.struct(
             F.lit("ANONYMIZED").alias("action"), m.alias("match"), F.lit("EMAIL").alias("type")
         ),
     )
-    blocked, masked = content.rlike(PHONE), content.rlike(EMAIL)
+    blocked, masked = F.col("blocked"), F.size("mails") > 0
+    redacted = F.when(masked, F.regexp_replace(content, EMAIL, "{EMAIL}"))
     answer = F.struct(
         F.when(blocked | masked, scorers.INTERVENED).otherwise(scorers.NOT_INTERVENED).alias("action"),
         F.when(blocked, scorers.BLOCKED).when(masked, scorers.MASKED).alias("actionReason"),
-        F.array(
-            F.struct(F.regexp_replace(content, EMAIL, "{EMAIL}").alias("text"))
-        ).alias("output"),
+        F.array(F.struct(redacted.alias("text"))).alias("output"),
         F.array(
             F.struct(
                 F.struct(entity.alias("piiEntities")).alias("sensitiveInformationPolicy"),
@@ -593,9 +598,7 @@ def bedrock_answers(spark, folder) -> DataFrame:
             )
         ).alias("assessments"),
     )
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").alias("msg_id"), F.to_json(answer).alias("response")
-    )
+    return found.select("msg_id", F.to_json(answer).alias("response"))
 
 
 def _bedrock(spark, folder, **options):
