@@ -71,8 +71,8 @@ def _quoted(name: str) -> str:
     return f'["{name}"]' if "'" in name else f"['{name}']"
 
 
-def lookup(value: Column, steps: tuple[Step, ...]) -> Column:
-    """Variant at the end of ``steps``, NULL when any part is missing.
+def lookup(value: Column, steps: tuple[Step, ...], kind: str = "variant") -> Column:
+    """Value at the end of ``steps``, NULL when any part is missing.
 
     Runs of names and forward indices become one ``try_variant_get``; only an
     index counted from the end, or ``[*]``, opens the array.
@@ -86,20 +86,20 @@ def lookup(value: Column, steps: tuple[Step, ...]) -> Column:
         _quoted(s) if isinstance(s, str) else f"[{s}]" for s in steps[:head]
     )
     if head == len(steps):
-        return value if head == 0 else F.try_variant_get(value, prefix, "variant")
+        return F.try_variant_get(value, prefix, kind)
     items = F.try_variant_get(value, prefix, "array<variant>")
     rest = steps[head + 1 :]
     if steps[head] is ALL:
         found = F.filter(
             F.transform(items, lambda item: lookup(item, rest)), lambda item: item.isNotNull()
         )
-        return F.to_variant_object(found)
-    return lookup(F.try_element_at(items, F.lit(steps[head])), rest)
+        return F.try_variant_get(F.to_variant_object(found), "$", kind)
+    return lookup(F.try_element_at(items, F.lit(steps[head])), rest, kind)
 
 
 def read(doc: Column, path: str) -> Column:
     """Text at ``path``; NULL for a missing path, a JSON null or bad JSON."""
-    return as_text(lookup(doc, parse(path)))
+    return lookup(doc, parse(path), "string")
 
 
 def replace(doc: Column, path: str, value: Column) -> Column:
@@ -122,11 +122,14 @@ def _replace(node: Column, steps: tuple[Step, ...], value: Column) -> Column:
         if step is ALL:
             changed = F.transform(items, lambda item: _replace(item, rest, value))
         else:
-            place = F.lit(step) if step >= 0 else F.size(items) + F.lit(step)
+            # An index from the end is one from the start of the reversed array.
+            ordered = items if step >= 0 else F.reverse(items)
+            place = step if step >= 0 else -step - 1
             changed = F.transform(
-                items,
+                ordered,
                 lambda item, i: F.when(i == place, _replace(item, rest, value)).otherwise(item),
             )
+            changed = changed if step >= 0 else F.reverse(changed)
     return F.to_variant_object(changed)
 
 

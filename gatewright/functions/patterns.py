@@ -17,21 +17,26 @@ REDACTED = "*****"
 MAPPING = "array<struct<ord:int,original:string,placeholder:string>>"
 
 
+_CHECKED: set[tuple[str, bool]] = set()
+
+
 def check_regex(spark: SparkSession, pattern: str, *, consuming: bool = False) -> None:
     """Refuse a bad Java pattern while the query is being built.
 
     With ``consuming`` a pattern that matches the empty text is refused too.
     """
+    if (pattern, consuming) in _CHECKED:
+        return
     jvm = getattr(spark, "_jvm", None)
     if jvm is None:
         return
     try:
-        matcher = jvm.java.util.regex.Pattern.compile(pattern).matcher("")
-        empty = matcher.find()
+        empty = jvm.java.util.regex.Pattern.compile(pattern).matcher("").find()
     except Exception as error:
         raise ValueError(f"invalid regular expression: {pattern!r}") from error
     if consuming and empty:
         raise ValueError(f"pattern matches the empty text: {pattern!r}")
+    _CHECKED.add((pattern, consuming))
 
 
 def regex_find(text: Column, pattern: str) -> Column:

@@ -19,24 +19,29 @@ SENTENCE = r"[^\x00-\x20.!?][^.!?]*+"
 TRIMMED = "".join(chr(code) for code in range(0x21))
 
 
-def strip_quotes(text: Column) -> Column:
-    """Drop one quote at either end.
+def _quoted(text: Column) -> Column:
+    # Java's "$" also stands before a final line break, hence three characters.
+    return text.startswith('"') | F.right(text, F.lit(3)).contains('"')
+
+
+def _padded(text: Column) -> Column:
+    return (F.left(text, F.lit(1)) <= " ") | (F.right(text, F.lit(1)) <= " ")
 
-    Java's ``$`` also stands before a final line break, so the last three
-    characters decide whether the pattern has to run at all.
-    """
-    quoted = text.startswith('"') | F.right(text, F.lit(3)).contains('"')
-    return F.when(quoted, F.regexp_replace(text, OUTER_QUOTES, "")).otherwise(text)
+
+def strip_quotes(text: Column) -> Column:
+    """Drop one quote at either end; the pattern runs only where one may be."""
+    return F.when(_quoted(text), F.regexp_replace(text, OUTER_QUOTES, "")).otherwise(text)
 
 
 def java_trim(text: Column) -> Column:
     """Trim every character up to U+0020, not only blanks."""
-    padded = (F.left(text, F.lit(1)) <= " ") | (F.right(text, F.lit(1)) <= " ")
-    return F.when(padded, F.btrim(text, F.lit(TRIMMED))).otherwise(text)
+    return F.when(_padded(text), F.btrim(text, F.lit(TRIMMED))).otherwise(text)
 
 
 def clean(text: Column) -> Column:
-    return java_trim(strip_quotes(text))
+    """Quotes off, then trimmed; most texts need neither."""
+    full = F.btrim(F.regexp_replace(text, OUTER_QUOTES, ""), F.lit(TRIMMED))
+    return F.when(_quoted(text) | _padded(text), full).otherwise(text)
 
 
 def word_count(text: Column) -> Column:

@@ -30,16 +30,21 @@ OUTCOME = (
 )
 
 
-def _outcome(passed, code=None, kind=None, http=None, message=None) -> Column:
-    def typed(value, name):
-        return value.cast(name) if isinstance(value, Column) else F.lit(value).cast(name)
-
-    return F.struct(
-        F.lit(passed).alias("passed"),
-        typed(code, "int").alias("error_code"),
-        typed(kind, "string").alias("error_type"),
-        typed(http, "int").alias("http_sc"),
-        typed(message, "string").alias("error_message"),
+def _sql_text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _outcome(passed: bool, code=None, kind=None, http=None, message=None) -> Column:
+    """A constant outcome, as one SQL expression."""
+    def number(value):
+        return f"CAST({'NULL' if value is None else value} AS INT)"
+
+    return F.expr(
+        f"named_struct('passed', {str(passed).lower()}, 'error_code', {number(code)}, "
+        f"'error_type', {_sql_text(kind)}, 'http_sc', {number(http)}, "
+        f"'error_message', {_sql_text(message)})"
     )
 
 
@@ -66,9 +71,9 @@ def assessment(policy: Policy, direction: Column, details: Column | None) -> Col
 
 def violation(policy: Policy, message: Column, detailed: bool) -> Column:
     """Blocked message; without a fault sequence the text is a short one."""
-    if not detailed:
-        message = F.lit(f"Violation of {policy.name} detected.")
-    return _outcome(False, VIOLATION, policy.error_type, HTTP_STATUS, message)
+    short = None if detailed else f"Violation of {policy.name} detected."
+    blocked = _outcome(False, VIOLATION, policy.error_type, HTTP_STATUS, short)
+    return blocked.withField("error_message", message.cast("string")) if detailed else blocked
 
 
 def violations(df: DataFrame) -> DataFrame:

@@ -30,29 +30,29 @@ def run_chain(
     """
     inputs = inputs or Inputs()
     stage = Stage(messages, detailed=detailed)
-    outcome = stage.keep(oc.passed())
-    halted_by = stage.keep(F.lit(None).cast("string"))
+    state = stage.keep(F.struct(oc.passed().alias("outcome"), F.lit("").alias("by")))
     payload = stage.payload
     mapping = F.col(inputs.mapping) if inputs.mapping in messages.columns else None
     for step in steps:
         policy, flow = step if isinstance(step, tuple) else (step, None)
         attached = in_flow(stage, policy, flow)
-        going = outcome["passed"]
-        active = stage.keep(going if attached is None else going & attached)
+        going = state["outcome"]["passed"]
+        active = going if attached is None else going & attached
         stage.active, stage.payload = active, payload
         verdict = evaluate(stage, policy, inputs)
-        outcome = stage.keep(F.when(active, verdict.outcome).otherwise(outcome))
-        halted_by = stage.keep(
-            F.when(active & ~outcome["passed"], policy.name).otherwise(halted_by)
-        )
+        decided = F.struct(verdict.outcome.alias("outcome"), F.lit(policy.name).alias("by"))
         if verdict.payload is not None:
-            changed = F.when(active & outcome["passed"], verdict.payload)
+            # A failed step leaves the payload as it was.
             payload = stage.reserve()
-            stage.df = stage.df.withColumn(payload, changed.otherwise(stage.text))
+            stage.df = stage.df.withColumn(
+                payload, F.when(active, verdict.payload).otherwise(stage.text)
+            )
+        state = stage.keep(F.when(active, decided).otherwise(state))
         if verdict.mapping is not None:
             new = F.when(active, verdict.mapping)
             mapping = stage.keep(new if mapping is None else F.coalesce(new, mapping))
-    sealed = {"outcome": outcome, "halted_by": halted_by}
+    outcome = state["outcome"]
+    sealed = {"outcome": outcome, "halted_by": F.when(~outcome["passed"], state["by"])}
     if mapping is not None:
         sealed[inputs.mapping] = stage.keep(mapping)
     stage.seal(**sealed)

@@ -22,7 +22,8 @@ RUNTIME_SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -36,6 +37,8 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Building a plan is quicker without a call site for every column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
