@@ -54,9 +54,22 @@ def parse(path: str) -> tuple[Step, ...]:
     return tuple(steps)
 
 
+# Longest text inside a JSON document that the plain parser accepts.
+_PARSER_LIMIT = 20_000_000
+_LONG_TEXTS = {"maxStringLen": "2147483647", "allowSingleQuotes": "false"}
+
+
 def document(payload: Column) -> Column:
-    """Parsed payload; null when the text is not JSON."""
-    return F.try_parse_json(payload)
+    """Parsed payload; null when the text is not JSON.
+
+    Payloads with longer texts than the plain parser takes go through
+    ``from_json``, whose limit can be lifted (up to 128 MiB, the size of a
+    variant).
+    """
+    long = F.when(
+        F.octet_length(payload) > _PARSER_LIMIT, F.from_json(payload, "variant", _LONG_TEXTS)
+    )
+    return F.coalesce(F.try_parse_json(payload), long)
 
 
 def as_text(value: Column) -> Column:

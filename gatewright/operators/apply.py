@@ -32,15 +32,16 @@ OPERATORS: dict[type, Operator] = {
 }
 
 
-def in_flow(stage: Stage, policy: config.Policy, flow: str | None) -> Column | None:
-    """Messages a policy is attached to; None means all of them."""
+def attach(stage: Stage, policy: config.Policy, flow: str | None) -> Column | None:
+    """Messages of the flows a policy is attached to; None means all of them."""
     flows = policy.flows if flow is None else (flow,)
     if not set(flows) <= set(policy.flows):
         raise ValueError(f"{policy.label or policy.error_type} cannot be attached to {flow}")
-    if set(flows) == {"REQUEST", "RESPONSE"}:
+    stage.flow = flows[0] if len(flows) == 1 else None
+    if stage.flow is None:
         return None
     response = F.coalesce(stage.way == "RESPONSE", F.lit(False))
-    return response if flows == ("RESPONSE",) else ~response
+    return response if stage.flow == "RESPONSE" else ~response
 
 
 def evaluate(stage: Stage, policy: config.Policy, inputs: Inputs) -> Verdict:
@@ -63,7 +64,7 @@ def apply(
     """
     inputs = inputs or Inputs()
     stage = Stage(messages, detailed=detailed)
-    stage.active = in_flow(stage, policy, flow)
+    stage.active = attach(stage, policy, flow)
     verdict = evaluate(stage, policy, inputs)
     outcome, payload, mapping = verdict
     if stage.active is not None:

@@ -41,18 +41,18 @@ def transform_pii(stage: Stage, policy: PiiRegex, inputs: Inputs) -> Verdict:
             changed = stage.keep(patterns.redact_rule(changed, pattern))
         hit = changed != content
     else:
-        request = F.when(stage.way == "RESPONSE", None).otherwise(content)
-        masked, mapping = mask_steps(stage, stage.keep(stage.gate(request)), policy.pii_entities)
-        hit = F.size(mapping) > 0
-        changed = masked
-        if inputs.mapping in stage.df.columns:
+        response = F.coalesce(stage.way == "RESPONSE", F.lit(False))
+        changed, hit = content, F.lit(False)
+        if stage.flow != "RESPONSE":
+            request = stage.keep(stage.gate(F.when(~response, content)))
+            changed, mapping = mask_steps(stage, request, policy.pii_entities)
+            hit = F.size(mapping) > 0
+            mapping = F.when(hit, mapping)
+        if stage.flow != "REQUEST" and inputs.mapping in stage.df.columns:
             stored = F.col(inputs.mapping)
-            back = stage.keep(
-                stage.gate(F.when(stage.way == "RESPONSE", patterns.restore(content, stored)))
-            )
-            changed = F.when(stage.way == "RESPONSE", back).otherwise(masked)
-            hit = F.when(stage.way == "RESPONSE", F.size(stored) > 0).otherwise(hit)
-        mapping = F.when(F.size(mapping) > 0, mapping)
+            back = stage.keep(stage.gate(F.when(response, patterns.restore(content, stored))))
+            changed = F.when(response, back).otherwise(changed)
+            hit = F.when(response, F.size(stored) > 0).otherwise(hit)
     # An empty result counts as "nothing to do".
     hit = F.coalesce(hit & (changed != ""), F.lit(False))
     failed = ~stage.empty & content.isNull()

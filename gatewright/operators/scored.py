@@ -29,12 +29,13 @@ def _response(stage: Stage, inputs: Inputs) -> Column:
 
 
 def moderate(stage: Stage, policy: Moderation, inputs: Inputs) -> Verdict:
-    content = stage.content(policy.json_path, cleaned=True)
     if not any(0 <= level <= 7 for level in policy.thresholds.values()):
         # Nothing to ask for is an error even with pass-through.
         empty = oc.violation(policy, F.lit(None), stage.detailed)
         return Verdict(F.when(stage.empty, empty).otherwise(oc.internal_error(policy)))
+    # Joined first, so that no extracted text travels along.
     response = _response(stage, inputs)
+    content = stage.content(policy.json_path, cleaned=True)
     answer = stage.keep(stage.gate(F.try_parse_json(response)))
     found = stage.keep(scorers.analysis(answer))
     # An empty answer holds no category and so finds nothing.
@@ -74,8 +75,8 @@ def moderate(stage: Stage, policy: Moderation, inputs: Inputs) -> Verdict:
 
 def follow_verdict(stage: Stage, policy: BedrockVerdict, inputs: Inputs) -> Verdict:
     """Block, mask or redact as the scorer says; restore responses."""
-    content = stage.content(policy.json_path, cleaned=True)
     response = _response(stage, inputs)
+    content = stage.content(policy.json_path, cleaned=True)
     answer = stage.keep(stage.gate(F.try_parse_json(response)))
     action = F.try_variant_get(answer, "$.action", "string")
     reason = F.try_variant_get(answer, "$.actionReason", "string")

@@ -60,8 +60,10 @@ class Stage:
     detailed: bool = True
     payload: str = "payload"
     direction: str = "direction"
-    # Messages a policy of a chain has to look at; None means all of them.
+    # Messages the policy has to look at; None means all of them.
     active: Column | None = None
+    # The only flow the policy is attached to, if there is one.
+    flow: str | None = None
     _count: int = 0
     _known: dict = field(default_factory=dict)
 

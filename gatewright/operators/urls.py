@@ -76,6 +76,7 @@ def check_urls(stage: Stage, policy: UrlCheck, inputs: Inputs) -> Verdict:
         raise ValueError("a URL policy needs a status table")
     content = stage.content(policy.json_path, cleaned=False)
     urls = stage.keep(stage.gate(F.when(~stage.empty, patterns.extract_urls(content))))
+    known = stage.keep(content.isNotNull())
     valid = valid_entries(inputs.status, policy.only_dns)
     few = valid.limit(inputs.local_status_rows + 1).collect()
     if len(few) <= inputs.local_status_rows:
@@ -86,9 +87,7 @@ def check_urls(stage: Stage, policy: UrlCheck, inputs: Inputs) -> Verdict:
         stage.df = with_invalid_by_join(stage.df, urls, valid, policy.only_dns, keys, name)
         invalid = F.col(name)
     bad = F.coalesce(F.size(invalid), F.lit(0)) > 0
-    passed = F.when(stage.empty, True).otherwise(
-        F.when(content.isNotNull(), ~bad)
-    )
+    passed = F.when(stage.empty, True).otherwise(F.when(known, ~bad))
     details = F.struct(
         F.lit("One or more URLs in the payload failed validation.").alias("message"),
         invalid.alias("invalidUrls"),

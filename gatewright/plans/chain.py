@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gatewright import outcome as oc
 from gatewright.config import Policy
-from gatewright.operators.apply import evaluate, in_flow
+from gatewright.operators.apply import attach, evaluate
 from gatewright.operators.stage import Inputs, Stage
 
 Step = Policy | tuple[Policy, str | None]
@@ -35,7 +35,7 @@ def run_chain(
     mapping = F.col(inputs.mapping) if inputs.mapping in messages.columns else None
     for step in steps:
         policy, flow = step if isinstance(step, tuple) else (step, None)
-        attached = in_flow(stage, policy, flow)
+        attached = attach(stage, policy, flow)
         going = state["outcome"]["passed"]
         active = going if attached is None else going & attached
         stage.active, stage.payload = active, payload

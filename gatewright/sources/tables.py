@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Below this size a table is done in no time by one task.
+SMALLEST = 1 << 20
+SPLIT = 128 << 20
+
+
 def read_parquet(spark: SparkSession, path: str, *, spread: bool = True) -> DataFrame:
     """A Parquet table; a small one is spread over all cores.
 
@@ -15,8 +20,7 @@ def read_parquet(spark: SparkSession, path: str, *, spread: bool = True) -> Data
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    split = 128 * 1024 * 1024
-    if spread and _size(df) < cores * split:
+    if spread and SMALLEST <= _size(df) < cores * SPLIT:
         return df.repartition(cores)
     return df
 
