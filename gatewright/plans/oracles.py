@@ -139,7 +139,7 @@ def semantic(deny, allow) -> str:
     mode = "true" if not allow else "false"
     message = "One or more semantic rules are violated." if not allow else (
         "None of the allowed prompts are met.")
-    denied = "'rule ' || first_rule" if not allow else "NULL"
+    denied = "'rule ' || first_rule" if not allow else "CAST(NULL AS VARCHAR)"
     return f"""WITH {RULES}, hits AS (
   SELECT v.vec_id, min(r.rule_id) AS first_rule
   FROM embeddings v, rules r
@@ -241,10 +241,10 @@ ORACLES: dict[str, str] = {
   '<"checked">' || chr(10) || text AS content, 'chat-model' AS model, role
 FROM conversations WHERE role <> 'assistant'""",
     "word_count_whole_payload":
-        f"WITH {MESSAGES} SELECT conv_id, turn, {words('payload')} AS words FROM messages",
-    "word_count": f"SELECT doc_id, {words('text')} AS words FROM documents",
-    "sentence_count": f"SELECT doc_id, {sentences('text')} AS sentences FROM documents",
-    "content_length": f"SELECT doc_id, {size('text')} AS bytes FROM documents",
+        f"WITH {MESSAGES} SELECT conv_id, turn, CAST({words('payload')} AS INTEGER) AS words FROM messages",
+    "word_count": f"SELECT doc_id, CAST({words('text')} AS INTEGER) AS words FROM documents",
+    "sentence_count": f"SELECT doc_id, CAST({sentences('text')} AS INTEGER) AS sentences FROM documents",
+    "content_length": f"SELECT doc_id, CAST({size('text')} AS INTEGER) AS bytes FROM documents",
     "regex_find": f"SELECT doc_id, regexp_matches(text, '{EMAIL}') AS found FROM documents",
     "guard_word_count": count_guard(
         words("text"), "(n BETWEEN 10 AND 60)", "WORD_COUNT_GUARDRAIL",

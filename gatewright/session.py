@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings. Repeated keys in a payload keep the last value, as the
 # usual JSON readers do; skewed joins are split by AQE while they run.
@@ -55,3 +55,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="gatewright-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared work folder and read back.
+
+    Later steps start from files that survive the loss of executors.
+    """
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -11,6 +11,9 @@ from gatewright.session import local_session
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "double": "DOUBLE"}
+
 
 def duck(folder):
     con = duckdb.connect()
@@ -36,6 +39,11 @@ def compare(spark, con, folder, name):
     order = sorted(range(len(names)), key=lambda i: names[i])
     if [names[i] for i in order] != columns:
         return f"columns {columns} / {sorted(names)}"
+    types = dict(r[:2] for r in con.execute(f"DESCRIBE {sql}").fetchall())
+    result = con.execute(sql)
+    for field in df.schema:
+        if TYPES.get(field.dataType.simpleString()) != types[field.name]:
+            return f"type of {field.name}: {field.dataType.simpleString()} / {types[field.name]}"
     theirs = sorted((normal(tuple(r[i] for i in order)) for r in result.fetchall()), key=repr)
     if len(mine) != len(theirs):
         return f"rows {len(mine)} / {len(theirs)}"
