@@ -26,21 +26,41 @@ def cosine(left: Column, right: Column) -> Column:
     return F.when(norms == 0.0, F.lit(0.0)).otherwise(dot(left, right) / norms)
 
 
+# Scores this close to a threshold are computed again, term by term.
+NEAR = 1e-6
+
+
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
     return np.divide(matrix, norms[:, None], out=np.zeros_like(matrix), where=norms[:, None] != 0)
 
 
-def cosine_to_rules(vector: Column, rules: Sequence[Sequence[float]]) -> Column:
+def _in_order(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Row-wise dot products, summed from the first term to the last."""
+    return np.add.accumulate(left * right, axis=1)[:, -1]
+
+
+def _exact_cosine(vectors: np.ndarray, rules: np.ndarray) -> np.ndarray:
+    norms = np.sqrt(_in_order(vectors, vectors)) * np.sqrt(_in_order(rules, rules))
+    found = np.zeros(len(vectors))
+    return np.divide(_in_order(rules, vectors), norms, out=found, where=norms != 0.0)
+
+
+def cosine_to_rules(
+    vector: Column, rules: Sequence[Sequence[float]], threshold: float | None = None
+) -> Column:
     """Scores of one embedding against every rule, in rule order.
 
-    One matrix product per Arrow batch over the flat value buffer; the rule
-    norms are computed once. NULL for a missing vector or one of another length.
+    One matrix product per Arrow batch over the flat value buffer. A matrix
+    product adds in its own order, so scores next to ``threshold`` (in percent)
+    are computed again in plain order: the comparison then comes out as that of
+    a simple loop. NULL for a missing vector or one of another length.
     """
     table = np.asarray(rules, dtype=np.float64)
     if table.ndim != 2 or table.shape[0] == 0:
         raise ValueError("rules must be a non-empty list of equally long vectors")
     count, width = table.shape
+    unit_rules = _unit_rows(table)
 
     @F.arrow_udf("array<double>")
     def scores(batch: pa.Array) -> pa.Array:
@@ -48,21 +68,22 @@ def cosine_to_rules(vector: Column, rules: Sequence[Sequence[float]]) -> Column:
         whole = lengths == width
         picked = batch if whole.all() else batch.filter(pa.array(whole))
         flat = picked.flatten()
+        gap = np.zeros(len(picked), dtype=bool)
         if flat.null_count:
-            gap = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, width).any(axis=1)
+            nulls = flat.is_null().to_numpy(zero_copy_only=False)
+            gap = nulls.reshape(-1, width).any(axis=1)
             flat = flat.fill_null(0.0)
-        else:
-            gap = np.zeros(len(picked), dtype=bool)
         vectors = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-        found = _unit_rows(vectors.reshape(-1, width)) @ unit_rules.T
+        vectors = vectors.reshape(-1, width)
+        found = _unit_rows(vectors) @ unit_rules.T
+        if threshold is not None:
+            row, rule = np.nonzero(np.abs(found * 100 - threshold) < NEAR)
+            found[row, rule] = _exact_cosine(vectors[row], table[rule])
         valid = np.zeros(len(batch), dtype=bool)
         valid[np.flatnonzero(whole)] = ~gap
-        sizes = np.where(valid, count, 0)
-        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-        values = pa.array(found[~gap].reshape(-1))
+        offsets = np.concatenate(([0], np.cumsum(np.where(valid, count, 0)))).astype(np.int32)
         return pa.ListArray.from_arrays(
-            pa.array(offsets), values, mask=pa.array(~valid)
+            pa.array(offsets), pa.array(found[~gap].reshape(-1)), mask=pa.array(~valid)
         )
 
-    unit_rules = _unit_rows(table)
     return scores(vector)

@@ -14,7 +14,9 @@ def check_semantics(stage: Stage, policy: SemanticGuard, inputs: Inputs) -> Verd
     if not policy.vectors:
         raise ValueError("rule vectors are missing; embed the rules first")
     content = stage.content(policy.json_path, cleaned=True)
-    scores = stage.keep(cosine_to_rules(F.col(inputs.embedding), policy.vectors))
+    scores = stage.keep(
+        cosine_to_rules(F.col(inputs.embedding), policy.vectors, float(policy.threshold))
+    )
     reached = F.transform(scores, lambda score: score * 100 >= F.lit(float(policy.threshold)))
     first = stage.keep(F.array_position(reached, True))
     by_rule = F.when(first == 0, policy.mode == "DENY_ONLY").otherwise(first > len(policy.deny))

@@ -137,3 +137,22 @@ def test_cosine(spark):
     native = df.where("i in (0, 1, 5)").select(
         "i", cosine(F.col("v"), F.array(F.lit(1.0), F.lit(1.0))).alias("s")).collect()
     assert {r.i: r.s for r in native} == pytest.approx({0: got[0][1], 1: 0.0, 5: 0.0})
+
+
+def test_scores_at_the_threshold_match_a_plain_loop(spark):
+    """Equal vectors give 1.0 or its neighbours, depending on the order of the sums."""
+    rnd = random.Random(5)
+
+    def loop(a, b):
+        total = norm_a = norm_b = 0.0
+        for x, y in zip(a, b):
+            total += x * y
+            norm_a += x * x
+            norm_b += y * y
+        return total / (norm_b ** 0.5 * norm_a ** 0.5)
+
+    rules = [[rnd.gauss(0, 1) for _ in range(33)] for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(rules)), "i int, v array<double>")
+    got = df.select("i", cosine_to_rules(F.col("v"), rules, 100.0).alias("s")).collect()
+    want = {i: loop(rules[i], rules[i]) * 100 >= 100 for i in range(40)}
+    assert {r.i: r.s[r.i] * 100 >= 100 for r in got} == want and len(set(want.values())) == 2
