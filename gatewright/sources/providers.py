@@ -1,39 +1,70 @@
 """User functions at the three outside calls: embeddings, scorers, URL checks.
 
-Each is called once per row inside the tasks that hold the rows, in Arrow
-batches. A call may be repeated when a task is retried, so it must not change
-anything outside.
+Each is called inside the tasks that hold the rows, in Arrow batches, with an
+optional pool of threads for calls that wait. A call may be repeated when a
+task is retried, so it must not change anything outside. Write the answers to a
+table before they are used more than once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.config import SemanticGuard
-from gatewright.operators.urls import distinct_urls
+from gatewright.config import BedrockVerdict, Moderation, SemanticGuard, UrlCheck
+from gatewright.functions import scorers
 from gatewright.functions.patterns import url_host
+from gatewright.operators.stage import Stage
+from gatewright.operators.urls import distinct_urls
 
 Embed = Callable[[str], Sequence[float]]
 
 
-def embed(provider: Embed) -> Callable[[Column], Column]:
+def _attempt(call: Callable, argument):
+    """A failing call gives None: no answer."""
+    if argument is None:
+        return None
+    try:
+        return call(argument)
+    except Exception:
+        return None
+
+
+def _answers(call: Callable, arguments: Sequence, threads: int) -> list:
+    if threads <= 1:
+        return [_attempt(call, argument) for argument in arguments]
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(lambda argument: _attempt(call, argument), arguments))
+
+
+def _spread(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Even tasks for slow calls."""
+    return df.repartition(tasks) if tasks else df
+
+
+# --- embeddings -----------------------------------------------------------------
+
+
+def embed(provider: Embed, threads: int = 1) -> Callable[[Column], Column]:
     """Column function around an embedding provider.
 
     A text the provider fails on gets no vector, which the policy reports as an
     error of that message.
     """
 
+    def vector(text):
+        return [float(x) for x in provider(text)]
+
     @F.pandas_udf("array<double>")
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield texts.map(lambda text: _attempt(_vector, text) if text else None)
-
-    def _vector(text):
-        return [float(x) for x in provider(text)]
+            found = _answers(vector, [text or None for text in texts], threads)
+            yield pd.Series(found, dtype=object)
 
     return vectors
 
@@ -43,68 +74,115 @@ def embed_rules(policy: SemanticGuard, provider: Embed) -> SemanticGuard:
 
     The prompts are part of the configuration, so this runs on the driver.
     """
-    from dataclasses import replace
-
     prompts = (*policy.deny, *policy.allow)
-    return replace(policy, vectors=tuple(tuple(provider(p)) for p in prompts))
+    return replace(policy, vectors=tuple(tuple(provider(prompt)) for prompt in prompts))
 
 
-def _attempt(call: Callable, argument):
-    try:
-        return call(argument)
-    except Exception:
-        return None
+# --- scorers ----------------------------------------------------------------------
+
 
+def requests(messages: DataFrame, policy: BedrockVerdict | Moderation,
+             keys: Sequence[str] = ("msg_id", "direction")) -> DataFrame:
+    """``(keys, request)`` for a scorer; NULL where the policy asks nothing."""
+    stage = Stage(messages)
+    content = stage.content(policy.json_path, cleaned=True)
+    if isinstance(policy, Moderation):
+        request = F.when(~stage.empty, scorers.moderation_request(content, policy.thresholds))
+    else:
+        asked = content.isNotNull()
+        if not policy.redact_pii:  # responses are restored, not checked
+            asked = asked & F.coalesce(stage.way != "RESPONSE", F.lit(True))
+        request = F.when(asked, scorers.bedrock_request(content, stage.way))
+    return stage.df.select(*keys, request.alias("request"))
 
-def score(requests: DataFrame, call_out: Callable[[str], str | None],
-          keys: Sequence[str] = ("msg_id",), tasks: int | None = None) -> DataFrame:
+
+def call_fields(policy: BedrockVerdict | Moderation) -> dict[str, str]:
+    """What a call-out needs besides the request body."""
+    if isinstance(policy, Moderation):
+        return {"service": scorers.MODERATION_ENDPOINT}
+    return scorers.bedrock_call(policy.region, policy.guardrail_id, policy.guardrail_version)
+
+
+def ask(messages: DataFrame, policy: BedrockVerdict | Moderation,
+        call_out: Callable[[dict], str | None], keys: Sequence[str] = ("msg_id", "direction"),
+        *, tasks: int | None = None, threads: int = 1) -> DataFrame:
+    """Answers ``(keys, response)`` of a scorer for a policy.
+
+    ``call_out`` gets the call fields with the body as ``request_payload``.
+    """
+    fields = call_fields(policy)
+
+    def call(body: str) -> str | None:
+        return call_out({**fields, "request_payload": body})
+
+    return score(requests(messages, policy, keys), call, keys, tasks=tasks, threads=threads)
+
+
+def score(bodies: DataFrame, call_out: Callable[[str], str | None],
+          keys: Sequence[str] = ("msg_id",), *, tasks: int | None = None,
+          threads: int = 1) -> DataFrame:
     """Answers of a scorer: ``(keys, request)`` to ``(keys, response)``.
 
     A call that fails gives a NULL response, the sign of an unreachable scorer.
-    ``tasks`` spreads slow calls evenly before they start.
     """
-    requests = requests.select(*keys, "request")
-    if tasks:
-        requests = requests.repartition(tasks)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in requests.select(*keys).schema)
+    bodies = bodies.select(*keys, "request")
+    names = list(keys)
+    schema = ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}" for field in bodies.select(*keys).schema
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [None if r is None else _attempt(call_out, r) for r in batch["request"]]
-            yield batch[list(keys)].assign(response=pd.Series(answers, index=batch.index, dtype=object))
+            found = _answers(call_out, batch["request"].tolist(), threads)
+            yield batch[names].assign(response=pd.Series(found, index=batch.index, dtype=object))
+
+    return _spread(bodies, tasks).mapInPandas(run, f"{schema}, response string")
 
-    return requests.mapInPandas(run, f"{schema}, response string")
+
+# --- URL checks ---------------------------------------------------------------------
+
+
+def url_status(messages: DataFrame, policy: UrlCheck, check: Callable,
+               *, tasks: int | None = None, threads: int = 1) -> DataFrame:
+    """Status table for a URL policy: every distinct URL or host is asked once.
+
+    ``check`` gets a URL (or a host, for DNS) and the time limit of the policy in
+    milliseconds.
+    """
+    stage = Stage(messages)
+    content = stage.content(policy.json_path, cleaned=False)
+    limit = policy.timeout
+    checker = check_hosts if policy.only_dns else check_urls
+    return checker(
+        stage.df, content, lambda name: check(name, limit), tasks=tasks, threads=threads
+    )
 
 
 def check_urls(messages: DataFrame, text: Column, head: Callable[[str], int | None],
-               tasks: int | None = None) -> DataFrame:
-    """Status table by HTTP: every distinct URL of the table is asked once."""
-    urls = distinct_urls(messages, text)
-    if tasks:
-        urls = urls.repartition(tasks)
+               *, tasks: int | None = None, threads: int = 1) -> DataFrame:
+    """Status table by HTTP: ``(url, status)``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            status = [_attempt(head, url) for url in batch["url"]]
-            yield batch.assign(status=pd.array(status, dtype="Int32"))
+            found = _answers(head, batch["url"].tolist(), threads)
+            yield batch.assign(status=pd.array(found, dtype="Int32"))
 
-    return urls.mapInPandas(run, "url string, status int")
+    return _spread(distinct_urls(messages, text), tasks).mapInPandas(run, "url string, status int")
 
 
 def check_hosts(messages: DataFrame, text: Column,
                 resolve: Callable[[str], tuple[int, int] | None],
-                tasks: int | None = None) -> DataFrame:
-    """Status table by DNS: ``resolve`` gives status and number of answers."""
+                *, tasks: int | None = None, threads: int = 1) -> DataFrame:
+    """Status table by DNS: ``(host, status, answers)``; ``resolve`` gives the
+    status and the number of answers."""
     hosts = distinct_urls(messages, text).select(url_host(F.col("url")).alias("host")).distinct()
-    if tasks:
-        hosts = hosts.repartition(tasks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_attempt(resolve, host) or (None, None) for host in batch["host"]]
+            found = [x or (None, None) for x in _answers(resolve, batch["host"].tolist(), threads)]
             yield batch.assign(
-                status=pd.array([f[0] for f in found], dtype="Int32"),
-                answers=pd.array([f[1] for f in found], dtype="Int32"),
+                status=pd.array([x[0] for x in found], dtype="Int32"),
+                answers=pd.array([x[1] for x in found], dtype="Int32"),
             )
 
-    return hosts.mapInPandas(run, "host string, status int, answers int")
+    return _spread(hosts, tasks).mapInPandas(run, "host string, status int, answers int")

@@ -136,6 +136,41 @@ def test_scorer(messages):
     assert [o.error_code for o in got] == [None, 900514, 900514]
 
 
+@pytest.mark.parametrize("threads", [1, 4])
+def test_scorer_for_a_policy(messages, threads):
+    def call_out(fields):
+        text = json.loads(fields["request_payload"])["text"]
+        assert fields["service"].startswith("/contentsafety/")
+        if text == "down":
+            raise ConnectionError
+        return json.dumps({"categoriesAnalysis": [{"category": "Hate", "severity": len(text)}]})
+
+    policy = g.Moderation("M", "$.t", hate_category=3)
+    df = messages({"t": "ok"}, {"t": "hate"}, {"t": "down"}, {"x": 1}, "")
+    answers = providers.ask(df, policy, call_out, threads=threads)
+    got = outcomes(g.apply(df, policy, g.Inputs(responses=answers)))
+    assert [o.error_code for o in got] == [None, 900514, 900514, 900967, 900514]
+
+
+def test_scorer_is_not_asked_about_responses_that_are_only_restored(messages):
+    policy = g.BedrockVerdict("B", "$.t", region="r", guardrail_id="i", guardrail_version="1")
+    df = messages({"t": "a"}, ("RESPONSE", {"t": "b"}))
+    asked = providers.requests(df, policy).orderBy("msg_id").collect()
+    assert asked[0].request is not None and asked[1].request is None
+    both = g.BedrockVerdict("B", "$.t", redact_pii=True)
+    assert providers.requests(df, both).where("request is null").count() == 0
+    assert providers.call_fields(policy)["request_url"].endswith("/guardrail/i/version/1/apply")
+
+
+def test_url_status_of_a_policy(messages):
+    policy = g.UrlCheck("U", "$.t", timeout=50)
+    df = messages({"t": "http://ok/50"}, {"t": "http://no/"}, {"x": "http://elsewhere"})
+    status = providers.url_status(df, policy, lambda url, limit: 200 if url.endswith(str(limit)) else 500)
+    assert {r.url: r.status for r in status.collect()} == {"http://ok/50": 200, "http://no/": 500}
+    hosts = providers.url_status(df, g.UrlCheck("U", "$.t", only_dns=True), lambda host, limit: (0, 1))
+    assert {r.host for r in hosts.collect()} == {"ok", "no"}
+
+
 def test_request_bodies(spark):
     df = spark.range(1).select(
         scorers.bedrock_request(F.lit("x"), F.lit("RESPONSE")).alias("b"),
