@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ def cosine(left: Column, right: Column) -> Column:
     return F.when(norms == 0.0, F.lit(0.0)).otherwise(dot(left, right) / norms)
 
 
+# The functions below travel to the workers by value, so that no package has to
+# be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Scores this close to a threshold are computed again, term by term.
 NEAR = 1e-6
 

@@ -245,7 +245,7 @@ def pii_mask(spark, folder):
     return masked.select(
         F.col("msg_id").alias("doc_id"),
         last_text(F.col("payload_out")).alias("masked"),
-        F.coalesce(F.size("mapping"), F.lit(0)).alias("entries"),
+        F.coalesce(F.array_size("mapping"), F.lit(0)).alias("entries"),
     )
 
 
@@ -419,14 +419,14 @@ def guard_semantic_hybrid(spark, folder):
     return _semantic(spark, folder, deny=DENY_IDS, allow=ALLOW_IDS)
 
 
-def letter_vector(value: str) -> list[float]:
-    """A small embedding: how often four letters occur."""
-    return [float(value.count(letter)) for letter in "etin"]
-
-
 @query
 def guard_semantic_provider(spark, folder):
     """The embedding comes from a user function, called in the tasks."""
+
+    def letter_vector(value: str) -> list[float]:
+        """A small embedding: how often four letters occur."""
+        return [float(value.count(letter)) for letter in "etin"]
+
     policy = embed_rules(
         g.SemanticGuard("meaning", REQUEST_PATH, rules={"denyPrompts": ["nine tin tents"]},
                         threshold=90),
@@ -637,7 +637,7 @@ def bedrock_mask(spark, folder):
         F.col("msg_id").alias("doc_id"),
         F.col("outcome.passed").alias("passed"),
         last_text(F.col("payload_out")).alias("content"),
-        F.coalesce(F.size("mapping"), F.lit(0)).alias("entries"),
+        F.coalesce(F.array_size("mapping"), F.lit(0)).alias("entries"),
     )
 
 

@@ -8,11 +8,13 @@ table before they are used more than once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ from gatewright.functions.patterns import url_host
 from gatewright.operators.stage import Stage
 from gatewright.operators.urls import distinct_urls
 
+# The functions below travel to the workers by value, so that no package has to
+# be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Embed = Callable[[str], Sequence[float]]
 
 

@@ -20,8 +20,10 @@ def read_parquet(spark: SparkSession, path: str, *, spread: bool = True) -> Data
     come with splits enough, are never shuffled here.
     """
     df = spark.read.parquet(path)
+    if not spread or not hasattr(df, "_jdf"):
+        return df
     cores = spark.sparkContext.defaultParallelism
-    if spread and SMALLEST <= _size(df) < cores * SPLIT:
+    if SMALLEST <= _size(df) < cores * SPLIT:
         return df.repartition(cores, *_short_columns(df))
     return df
 

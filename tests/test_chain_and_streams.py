@@ -259,3 +259,21 @@ def test_long_arrays_and_large_payloads(messages, size):
     assert [r.passed for r in got] == [True, True]
     # Both addresses are gone, and nothing else.
     assert got[1].n == len('{"messages":[{"content":"***** *****"}]}') + 2 * size
+
+
+def test_functions_travel_by_value(tmp_path):
+    """Workers need no installed package for the Python parts."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from gatewright.functions import similarity
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps((providers._answers, similarity._exact_cosine)))
+    code = ("import sys; from pyspark import cloudpickle; "
+            "a, c = cloudpickle.load(open('f', 'rb')); print(a(len, ['x', None], 2)); "
+            "assert 'gatewright' not in sys.modules")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                          env={}, timeout=120)
+    assert done.stdout.strip() == "[1, None]", done.stderr
