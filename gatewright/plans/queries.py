@@ -317,7 +317,7 @@ def _url_rows(checked: DataFrame) -> DataFrame:
         F.col("msg_id").alias("page_id"),
         F.col("outcome.passed").alias("passed"),
         F.col("outcome.error_code").alias("error_code"),
-        F.size(
+        F.array_size(
             F.from_json(report_field("assessments.invalidUrls"), "array<string>")
         ).alias("invalid"),
         report_field("assessments.invalidUrls[0]").alias("first_invalid"),
