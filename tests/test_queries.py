@@ -17,9 +17,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.ORACLES) == set(entry.QUERIES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, FOLDER, name) is None
