@@ -3,9 +3,11 @@
 from gatewright.llm.decontaminate import op3_decontaminate
 from gatewright.llm.quality_rules import op10_quality_rules
 from gatewright.llm.simhash import op7_simhash
+from gatewright.llm.suffix_array import op5_suffix_array
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
+    "op5_suffix_array": op5_suffix_array,
     "op7_simhash": op7_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
