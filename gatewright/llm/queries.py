@@ -1,13 +1,17 @@
 """Registered queries of this package, and their SQL where SQL can express them."""
 
 from gatewright.llm.decontaminate import op3_decontaminate
+from gatewright.llm.packing import op6_packing
 from gatewright.llm.quality_rules import op10_quality_rules
 from gatewright.llm.simhash import op7_simhash
 from gatewright.llm.suffix_array import op5_suffix_array
+from gatewright.llm.tokens import op4_token_counts
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
+    "op4_token_counts": op4_token_counts,
     "op5_suffix_array": op5_suffix_array,
+    "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
