@@ -6,8 +6,12 @@ from gatewright.llm.quality_rules import op10_quality_rules
 from gatewright.llm.simhash import op7_simhash
 from gatewright.llm.suffix_array import op5_suffix_array
 from gatewright.llm.tokens import op4_token_counts
+from gatewright.llm.url_filter import OP1_SQL, op1_url_filter
+from gatewright.llm.warc import OP2_SQL, op2_warc_index
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op2_warc_index": op2_warc_index,
     "op3_decontaminate": op3_decontaminate,
     "op4_token_counts": op4_token_counts,
     "op5_suffix_array": op5_suffix_array,
@@ -16,4 +20,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op1_url_filter": OP1_SQL,
+    "op2_warc_index": OP2_SQL,
+}
