@@ -2,10 +2,12 @@
 
 from gatewright.llm.decontaminate import op3_decontaminate
 from gatewright.llm.packing import op6_packing
+from gatewright.llm.quality_model import op9_quality_model
 from gatewright.llm.quality_rules import op10_quality_rules
 from gatewright.llm.simhash import op7_simhash
 from gatewright.llm.suffix_array import op5_suffix_array
 from gatewright.llm.tokens import op4_token_counts
+from gatewright.llm.toxicity import op8_toxicity
 from gatewright.llm.url_filter import OP1_SQL, op1_url_filter
 from gatewright.llm.warc import OP2_SQL, op2_warc_index
 
@@ -17,6 +19,8 @@ QUERIES = {
     "op5_suffix_array": op5_suffix_array,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
 }
 
