@@ -184,10 +184,11 @@ def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
                                       "n_repeat_words", "base_failed", "kept")
 
 
-def filter_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def filter_documents(docs: DataFrame, labels: DataFrame, *, stratum_col: str | None = "lang", **options) -> DataFrame:
     """``docs`` without the rows that the rules reject, all columns as they are."""
-    cutoffs = stored(certified_cutoffs(stored(features(docs), "quality-features"), labels, **options), "cutoffs")
-    stratum = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    measures = stored(features(docs, stratum_col=stratum_col), "quality-features")
+    cutoffs = stored(certified_cutoffs(measures, labels, **options), "cutoffs")
+    stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
     rows = measured(docs.withColumn("__stratum", stratum))
     rows = rows.select(*docs.columns, "__stratum", base_failed().alias("__failed"), F.struct(
         *[c.alias(name) for name, c in shares().items()]).alias("__share"))
