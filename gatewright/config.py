@@ -93,7 +93,7 @@ class CountPolicy(Policy):
     def __post_init__(self):
         super().__post_init__()
         if self.min > self.max:
-            raise ValueError("'min' cannot be greater than 'max'")
+            raise ValueError(f"no count lies between {self.min} and {self.max}")
 
     # The inverted message speaks of "less than" and "or more than".
     @property
@@ -189,7 +189,7 @@ class SemanticGuard(Policy):
         super().__post_init__()
         rules = _document(self.rules)
         if not isinstance(rules, Mapping):
-            raise ValueError("Rules JSON attribute is invalid or empty.")
+            raise ValueError("the prompt rules are not a JSON object")
         deny = tuple(rules.get("denyPrompts") or ())
         allow = tuple(rules.get("allowPrompts") or ())
         if not deny and not allow:
@@ -240,7 +240,7 @@ class PiiRegex(Policy):
             )
             if entity is None or pattern is None:
                 raise ValueError(
-                    f"Missing required fields 'piiEntity' and 'piiRegex' in PII entry: {item}"
+                    f"a masking rule needs piiEntity and piiRegex, not {item}"
                 )
             rules[entity] = pattern
         object.__setattr__(self, "pii_entities", tuple(rules.items()))
@@ -259,7 +259,7 @@ class TemplateExpansion(Policy):
         for item in _document(self.prompt_template_config):
             name, prompt = item.get("name"), item.get("prompt")
             if name is None or prompt is None:
-                raise ValueError(f"Prompt template must include both 'name' and 'prompt': {item}")
+                raise ValueError(f"a template needs a name and a prompt, not {item}")
             templates[name] = prompt
         object.__setattr__(self, "prompt_template_config", tuple(templates.items()))
 
@@ -282,7 +282,7 @@ class Decoration(Policy):
         root = _document(self.prompt_decorator_config)
         decoration = root.get("decoration") if isinstance(root, Mapping) else None
         if not isinstance(decoration, (str, list)):
-            raise ValueError("'decoration' must be a string or an array")
+            raise ValueError("a decoration is a text or an array of messages")
         if jsonpath.is_whole(self.json_path):
             raise ValueError("a decorator needs a JSON path")
         object.__setattr__(self, "prompt_decorator_config", {"decoration": decoration})

@@ -14,8 +14,11 @@ def decorate_string(existing: Column, decoration: str, append: bool) -> Column:
 
 
 def decorate_array(existing: Column, decoration: list, append: bool) -> Column:
-    """``existing`` is an ``array<variant>``; NULL stays NULL."""
-    extra = F.try_variant_get(
-        F.parse_json(F.lit(json.dumps(decoration))), "$", "array<variant>"
-    )
-    return F.concat(existing, extra) if append else F.concat(extra, existing)
+    """``existing`` is the JSON text of an array; its elements stay as they are written."""
+    inner = F.regexp_replace(existing, r"^\s*\[\s*|\s*\]\s*$", "")
+    extra = json.dumps(decoration, ensure_ascii=False, separators=(",", ":"))[1:-1]
+    if not extra:
+        return existing
+    parts = [inner, F.lit(extra)] if append else [F.lit(extra), inner]
+    joined = F.concat_ws(",", *[F.when(p != "", p) for p in parts])
+    return F.when(existing.isNotNull(), F.concat(F.lit("["), joined, F.lit("]")))

@@ -1,6 +1,6 @@
 """JSON paths as Column expressions over a parsed payload.
 
-A payload is parsed once with ``try_parse_json``; every path of every policy
+A payload is parsed once; every path of every policy
 then navigates that variant value. Paths are resolved to plain expressions on
 the driver: ``$``, ``.name``, ``['name']``, ``[n]``, ``[-n]`` and ``[*]``.
 """
@@ -54,22 +54,15 @@ def parse(path: str) -> tuple[Step, ...]:
     return tuple(steps)
 
 
-# Longest text inside a JSON document that the plain parser accepts.
-_PARSER_LIMIT = 20_000_000
-_LONG_TEXTS = {"maxStringLen": "2147483647", "allowSingleQuotes": "false"}
+# One parser for all payloads: texts of any length, up to the 128 MiB of a variant.
+_PARSER = {
+    "maxStringLen": "2147483647", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+}
 
 
 def document(payload: Column) -> Column:
-    """Parsed payload; null when the text is not JSON.
-
-    Payloads with longer texts than the plain parser takes go through
-    ``from_json``, whose limit can be lifted (up to 128 MiB, the size of a
-    variant).
-    """
-    long = F.when(
-        F.octet_length(payload) > _PARSER_LIMIT, F.from_json(payload, "variant", _LONG_TEXTS)
-    )
-    return F.coalesce(F.try_parse_json(payload), long)
+    """Parsed payload; null when the text is not JSON."""
+    return F.from_json(payload, "variant", _PARSER)
 
 
 def as_text(value: Column) -> Column:
@@ -115,37 +108,77 @@ def read(doc: Column, path: str) -> Column:
     return lookup(doc, parse(path), "string")
 
 
-def replace(doc: Column, path: str, value: Column) -> Column:
-    """``doc`` with the variant ``value`` put at an existing ``path``."""
-    return _replace(doc, parse(path), value)
+def quoted_text(text: Column) -> Column:
+    """JSON text of a string."""
+    return F.to_json(text.cast("variant"))
+
+
+def _as_written(text: Column, item: Column) -> Column:
+    """JSON text of a field or element: ``text`` is a string's content or the
+    JSON text of anything else, ``item`` is the parsed value.
+
+    The parsed value has decimals exactly, but turns integers of more than 38
+    digits into doubles; the text has integers exactly, but cuts long fractions.
+    """
+    kind, parsed = F.schema_of_variant(item), F.to_json(item)
+    rounded = (kind == "DOUBLE") | parsed.rlike("[0-9]E[-+]?[0-9]")
+    return (F.when(text.isNull(), "null").when(kind == "STRING", quoted_text(text))
+            .when(rounded, text).otherwise(parsed))
+
+
+def raw_at(raw: Column, path: str) -> Column:
+    """JSON text at a path without ``[*]``, as it was written."""
+    for step in parse(path):
+        if isinstance(step, str):
+            raw = F.try_element_at(F.from_json(raw, "map<string,string>", _PARSER), F.lit(step))
+        else:
+            elements = F.from_json(raw, "array<string>", _PARSER)
+            raw = F.try_element_at(elements, F.lit(step + 1 if step >= 0 else step))
+    return raw
 
 
-def _replace(node: Column, steps: tuple[Step, ...], value: Column) -> Column:
+def replace(raw: Column, doc: Column, path: str, value: Column) -> Column:
+    """Payload text with the JSON text ``value`` at an existing ``path``.
+
+    ``doc`` is the parsed ``raw``. Only objects and arrays on the way are taken
+    apart; everything beside it keeps its value, long numbers included.
+    """
+    return _replace(raw, doc, parse(path), value)
+
+
+def _replace(raw: Column, node: Column, steps: tuple[Step, ...], value: Column) -> Column:
     if not steps:
         return value
     step, rest = steps[0], steps[1:]
     if isinstance(step, str):
-        fields = F.try_variant_get(node, "$", "map<string,variant>")
-        changed = F.transform_values(
-            fields,
-            lambda key, item: F.when(key == step, _replace(item, rest, value)).otherwise(item),
-        )
-    else:
-        items = F.try_variant_get(node, "$", "array<variant>")
+        texts = F.map_entries(F.from_json(raw, "map<string,string>", _PARSER))
+        items = F.try_variant_get(node, "$", "map<string,variant>")
+        keys = F.transform(texts, lambda e: e["key"])
+        # of a repeated key the last entry counts
+        texts = F.filter(texts, lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i)
+
+        def field(entry: Column) -> Column:
+            key, text = entry["key"], entry["value"]
+            item = F.try_element_at(items, key)
+            new = F.when(key == step, _replace(text, item, rest, value)).otherwise(_as_written(text, item))
+            return F.concat(quoted_text(key), F.lit(":"), new)
+
+        return F.concat(F.lit("{"), F.array_join(F.transform(texts, field), ","), F.lit("}"))
+    texts = F.from_json(raw, "array<string>", _PARSER)
+    items = F.try_variant_get(node, "$", "array<variant>")
+    pairs = F.zip_with(texts, items, lambda text, item: F.struct(text.alias("text"), item.alias("item")))
+
+    def element(pair: Column, i: Column) -> Column:
+        text, item = pair["text"], pair["item"]
+        changed = _replace(text, item, rest, value)
         if step is ALL:
-            changed = F.transform(items, lambda item: _replace(item, rest, value))
-        else:
-            # An index from the end is one from the start of the reversed array.
-            ordered = items if step >= 0 else F.reverse(items)
-            place = step if step >= 0 else -step - 1
-            changed = F.transform(
-                ordered,
-                lambda item, i: F.when(i == place, _replace(item, rest, value)).otherwise(item),
-            )
-            changed = changed if step >= 0 else F.reverse(changed)
-    return F.to_variant_object(changed)
-
-
-def replace_text(doc: Column, path: str, text: Column) -> Column:
+            return changed
+        place = F.lit(step) if step >= 0 else F.size(items) + step
+        return F.when(i == place, changed).otherwise(_as_written(text, item))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(pairs, element), ","), F.lit("]"))
+
+
+def replace_text(raw: Column, doc: Column, path: str, text: Column) -> Column:
     """Payload text after putting the string ``text`` at ``path``."""
-    return F.to_json(replace(doc, path, text.cast("variant")))
+    return replace(raw, doc, path, quoted_text(text))

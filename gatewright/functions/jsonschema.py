@@ -11,9 +11,11 @@ import json
 from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from gatewright.functions.patterns import check_regex
+
 _ANNOTATIONS = {
     "$schema", "$id", "id", "$comment", "title", "description", "default",
     "examples", "definitions", "$defs", "readOnly", "writeOnly",
@@ -25,11 +27,15 @@ _FORMATS = {
     "uri": r"^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>\"{}|\\^`]+$",
     "date-time": r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])[Tt](?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d+)?(?:[Zz]|[+-]\d{2}:\d{2})$",
     "ipv4": r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$",
+    "hostname": r"^(?=.{1,253}$)[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?)*$",
+    "ipv6": r"^(?=[0-9A-Fa-f:.]*$)(?=(?:[^:]*:){2,7}[^:]*$)(?!.*::.*::)(?!:[^:])(?!.*[^:]:$)(?=.*::|(?:[^:]+:){7}[^:]+$|(?:[^:]+:){6}\d+\.)(?:[0-9A-Fa-f]{0,4}:)+(?:[0-9A-Fa-f]{0,4}|(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))$",
+    "uri-reference": r"^[^\s<>\"{}|\\^`]*$",
+    "date": r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])$",
+    "time": r"^(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d+)?(?:[Zz]|[+-]\d{2}:\d{2})$",
+    "json-pointer": r"^(?:/(?:[^~/]|~[01])*)*$",
 }
-_OTHER_FORMATS = {
-    "hostname", "ipv6", "uri-reference", "uri-template", "json-pointer",
-    "regex", "date", "time", "relative-json-pointer",
-}
+# Formats no pattern can decide.
+_OTHER_FORMATS = {"regex", "uri-template", "relative-json-pointer"}
 
 Check = Callable[[Column], Column]
 
@@ -88,6 +94,13 @@ def _same(value: Column, expected: Any) -> Column:
     return same
 
 
+def _checked_pattern(pattern: str) -> None:
+    """Refuse a bad pattern now rather than in the running job."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        check_regex(spark, pattern)
+
+
 def _all(checks: list[Column]) -> Column:
     result = F.lit(True)
     for check in checks:
@@ -141,7 +154,7 @@ class SchemaCheck:
         for keyword in schema:
             if keyword in _ANNOTATIONS or keyword in (
                 "additionalProperties", "patternProperties", "additionalItems",
-                "exclusiveMinimum", "exclusiveMaximum",
+                "exclusiveMinimum", "exclusiveMaximum", "then", "else",
             ):
                 continue
             build = getattr(self, "_kw_" + keyword, None)
@@ -182,6 +195,7 @@ class SchemaCheck:
         return self._typed("string", lambda value: F.length(_text(value)) <= int(limit), schema)
 
     def _kw_pattern(self, pattern, schema, trail) -> Check:
+        _checked_pattern(pattern)
         return self._typed("string", lambda value: _text(value).rlike(pattern), schema)
 
     def _kw_format(self, name, schema, trail) -> Check:
@@ -230,7 +244,8 @@ class SchemaCheck:
             raise ValueError("'required' must be a list of names")
         return self._typed(
             "object",
-            lambda value: _all([F.map_contains_key(_fields(value), name) for name in names]),
+            lambda value: _bind(_fields(value), lambda fields: _all(
+                [F.map_contains_key(fields, name) for name in names])),
             schema,
         )
 
@@ -254,6 +269,8 @@ class SchemaCheck:
     def _other_properties(self, schema, trail) -> Check:
         names = list(schema.get("properties", {}))
         patterns = {p: self.check(s, trail) for p, s in schema.get("patternProperties", {}).items()}
+        for pattern in patterns:
+            _checked_pattern(pattern)
         rest = schema.get("additionalProperties", True)
         rest_check = self.check(rest, trail)
 
@@ -313,6 +330,38 @@ class SchemaCheck:
 
         return self._typed("array", check, schema)
 
+    def _kw_contains(self, part, schema, trail) -> Check:
+        check = self.check(part, trail)
+        return self._typed("array", lambda value: F.exists(
+            _items(value), lambda item: F.coalesce(check(item), F.lit(False))), schema)
+
+    def _kw_propertyNames(self, part, schema, trail) -> Check:
+        check = self.check(part, trail)
+        return self._typed("object", lambda value: F.forall(
+            F.map_keys(_fields(value)), lambda key: check(key.cast("variant"))), schema)
+
+    def _kw_dependencies(self, wanted, schema, trail) -> Check:
+        """A property asks for others, by name, or for a schema of the whole object."""
+        parts = {name: self.check({"required": list(then)} if isinstance(then, list) else then, trail)
+                 for name, then in wanted.items()}
+
+        def check(value: Column) -> Column:
+            return _bind(F.struct(_fields(value).alias("fields"), value.alias("value")), lambda both: _all(
+                [~F.map_contains_key(both["fields"], name) | part(both["value"]) for name, part in parts.items()]))
+
+        return self._typed("object", check, schema)
+
+    def _kw_if(self, part, schema, trail) -> Check:
+        """``then`` and ``else`` without ``if`` say nothing."""
+        when, then, other = (self.check(p, trail) for p in (
+            part, schema.get("then", True), schema.get("else", True)))
+
+        def check(value: Column) -> Column:
+            met = F.coalesce(when(value), F.lit(False))
+            return F.when(met, then(value)).otherwise(other(value))
+
+        return check
+
     def _kw_allOf(self, parts, schema, trail) -> Check:
         checks = [self.check(sub, trail) for sub in parts]
         return lambda value: _all([check(value) for check in checks])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,12 +57,13 @@ def extract_urls(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(URL), F.lit(0)))
 
 
-# A URL authority: optional user part, host, optional port.
-_HOST = r"^https?://(?:[^/?#@]*@)?([^/?#@:]+)"
+# A URL authority: optional user part, host, optional port of digits.
+_HOST = r"^https?://(?:[^/?#@]*@)?([^/?#@:]+)(?::[0-9]*)?(?=[/?#]|$)"
 
 
 def url_host(url: Column) -> Column:
-    return F.regexp_extract(url, _HOST, 1)
+    """Host in lower case; empty where the authority is malformed."""
+    return F.lower(F.regexp_extract(url, _HOST, 1))
 
 
 def json_candidates(text: Column) -> Column:
@@ -144,13 +143,6 @@ def restore(text: Column, mapping: Column) -> Column:
     )
 
 
-def redact(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Every match of every rule, in order, becomes the same mark."""
-    for _, pattern in rules:
-        text = redact_rule(text, pattern)
-    return text
-
-
 def redact_rule(text: Column, pattern: str) -> Column:
     done = F.regexp_replace(text, pattern, REDACTED)
     possible = may_match(text, pattern)
@@ -163,8 +155,16 @@ def mask_found(text: Column, found: Column) -> tuple[Column, Column]:
     ``found`` is an array of ``(match, label)``; the first entry for a text
     wins and numbers run over distinct texts. Returns text and mapping.
     """
-    texts = F.transform(found, lambda e: e["match"])
-    first = F.filter(found, lambda e, i: F.array_position(texts, e["match"]) == i + 1)
+    # Entries sorted by text and place: those that differ from the one before are
+    # the first of their text. Sorting back by place keeps it all below n log n.
+    placed = F.array_sort(F.transform(found, lambda e, i: F.struct(e["match"].alias("match"), i.alias("i"),
+                                                                   e["label"].alias("label"))))
+    none = F.array(F.lit(None).cast("struct<match:string,i:int,label:string>"))
+    before = F.slice(F.concat(none, placed), 1, F.size(placed))
+    firsts = F.zip_with(placed, before, lambda e, b: F.when(
+        b.isNull() | ~e["match"].eqNullSafe(b["match"]),
+        F.struct(e["i"].alias("i"), e["match"].alias("match"), e["label"].alias("label"))))
+    first = F.array_sort(F.filter(firsts, lambda e: e.isNotNull()))
     mapping = F.transform(
         first,
         lambda e, i: F.struct(

@@ -15,6 +15,7 @@ from gatewright.operators.scored import follow_verdict, moderate
 from gatewright.operators.semantic import check_semantics
 from gatewright.operators.stage import Inputs, Operator, Stage, Verdict
 from gatewright.operators.urls import check_urls
+from gatewright.session import configure
 
 OPERATORS: dict[type, Operator] = {
     config.WordCount: check_count,
@@ -62,6 +63,7 @@ def apply(
     or responses only; the others pass as they are. Without ``detailed`` the
     error message is the short one used where no fault sequence is deployed.
     """
+    configure(messages.sparkSession)
     inputs = inputs or Inputs()
     stage = Stage(messages, detailed=detailed)
     stage.active = attach(stage, policy, flow)

@@ -45,7 +45,7 @@ def check_schema(stage: Stage, policy: JsonSchema, inputs: Inputs) -> Verdict:
     """A blank payload passes, inverted or not."""
     content = stage.content(policy.json_path, cleaned=False)
     valid = stage.keep(stage.gate(schema_match(content, policy.schema)))
-    blank = stage.text.isNull() | ~stage.text.rlike(r"\S")
+    blank = stage.text.isNull() | ~stage.text.rlike(r"\P{javaWhitespace}")
     passed = F.when(blank, True).otherwise(~valid if policy.invert else valid)
     details = F.concat(
         F.lit("The inspected response payload content: "),

@@ -25,15 +25,14 @@ def decorate(stage: Stage, policy: Decoration, inputs: Inputs) -> Verdict:
             jsonpath.as_text(place), F.when(F.is_variant_null(place), "null")
         )
         joined = decorate_string(existing, policy.decoration, policy.append)
-        value = F.when(existing.isNotNull(), joined.cast("variant"))
+        value = F.when(existing.isNotNull(), jsonpath.quoted_text(joined))
     else:
-        existing = F.try_variant_get(place, "$", "array<variant>")
-        value = F.to_variant_object(
-            decorate_array(existing, policy.decoration, policy.append)
-        )
+        is_array = F.try_variant_get(place, "$", "array<variant>").isNotNull()
+        whole = jsonpath.ALL in steps
+        raw = F.to_json(place) if whole else jsonpath.raw_at(stage.text, policy.json_path)
+        value = F.when(is_array, decorate_array(raw, policy.decoration, policy.append))
     value = stage.keep(value)
-    payload = F.when(
-        value.isNotNull(), F.to_json(jsonpath.replace(stage.document(), policy.json_path, value))
-    ).otherwise(stage.text)
+    changed = jsonpath.replace(stage.text, stage.document(), policy.json_path, value)
+    payload = F.when(value.isNotNull(), changed).otherwise(stage.text)
     failed = ~stage.empty & value.isNull()
     return Verdict(F.when(failed, oc.internal_error(policy)).otherwise(oc.passed()), payload)

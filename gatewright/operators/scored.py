@@ -15,15 +15,21 @@ def _response(stage: Stage, inputs: Inputs) -> Column:
     """Answer of the scorer; NULL stands for an unreachable one.
 
     A response table is joined on the message keys (and the direction, if it
-    has one). Spark picks the strategy by size.
+    has one). Spark picks the strategy by size. Of several answers to one
+    message the smallest text counts; any answer comes before none.
     """
     if inputs.responses is None:
         return F.col(inputs.response)
+    responses = inputs.responses
+    if callable(responses):
+        asked = stage.df if stage.active is None else stage.df.where(stage.active)
+        columns = dict.fromkeys((*inputs.keys, stage.direction))
+        responses = responses(asked.select(*columns, stage.text.alias("payload")))
     keys = list(inputs.keys)
-    if stage.direction in inputs.responses.columns and stage.direction not in keys:
+    if stage.direction in responses.columns and stage.direction not in keys:
         keys.append(stage.direction)
     name = stage.reserve()
-    answers = inputs.responses.select(*keys, F.col(inputs.response).alias(name))
+    answers = responses.groupBy(*keys).agg(F.min(inputs.response).alias(name))
     stage.df = stage.df.join(answers, keys, "left")
     return F.col(name)
 

@@ -15,10 +15,6 @@ from gatewright.functions import jsonpath, text
 
 PREFIX = "_gw"
 
-# A status table of at most this many valid entries is used as a literal set
-# inside the expression; a larger one is joined.
-LOCAL_STATUS_ROWS = 2000
-
 
 class Verdict(NamedTuple):
     """Outcome of one policy, with the new payload if it can change one."""
@@ -32,18 +28,19 @@ class Verdict(NamedTuple):
 class Inputs:
     """Side inputs of the policies that look something up.
 
-    ``status`` and ``responses`` are tables. ``keys`` names the columns that
-    identify a message; ``embedding``, ``response`` and ``mapping`` name columns
+    ``status`` and ``responses`` are tables. ``responses`` may also be a function
+    that gets the messages the policy asks about, ``(keys, direction, payload)``
+    with the payload as changed so far, and returns the answers. ``keys`` names
+    the columns that identify a message; ``embedding``, ``response`` and ``mapping`` name columns
     that the messages carry already.
     """
 
     status: DataFrame | None = None
-    responses: DataFrame | None = None
+    responses: DataFrame | Callable[[DataFrame], DataFrame] | None = None
     keys: tuple[str, ...] = ("msg_id",)
     embedding: str = "embedding"
     response: str = "response"
     mapping: str = "mapping"
-    local_status_rows: int = LOCAL_STATUS_ROWS
 
 
 @dataclass
@@ -121,7 +118,7 @@ class Stage:
         """Payload after writing ``value`` to the inspected place."""
         if jsonpath.is_whole(path):
             return value
-        return jsonpath.replace_text(self.document(), path, value)
+        return jsonpath.replace_text(self.text, self.document(), path, value)
 
     def decide(
         self, policy: Policy, passed: Column, details: Column | None = None

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from gatewright.config import UrlCheck
 from gatewright.functions import patterns
 from gatewright.operators.stage import Inputs, Stage, Verdict
-from gatewright.session import stored
-
-# An entry with more than 1/HOT_SHARE of all rows is spread over SALTS tasks.
-HOT_SHARE = 100
-SALTS = 64
 
 
 def valid_entries(status: DataFrame, only_dns: bool) -> DataFrame:
@@ -20,7 +15,7 @@ def valid_entries(status: DataFrame, only_dns: bool) -> DataFrame:
     ``answers``) as one column ``entry``. Whatever is not listed is invalid."""
     if only_dns:
         valid = (F.col("status") == 0) & (F.col("answers") > 0)
-        entry = F.col("host")
+        entry = F.lower("host")  # names have no case
     else:
         valid = (F.col("status") >= 200) & (F.col("status") < 400)
         entry = F.col("url")
@@ -40,96 +35,59 @@ def _entry(url: Column, only_dns: bool) -> Column:
     return patterns.url_host(url) if only_dns else url
 
 
-def invalid_in_set(urls: Column, valid: list[str], only_dns: bool) -> Column:
-    """Row-local check against a small set; needs no shuffle of messages."""
-    if not valid:
-        return urls
-    return F.filter(urls, lambda url: ~_entry(url, only_dns).isin(valid))
-
-
-def hot_entries(pairs: DataFrame) -> list[str]:
-    """Entries with more than one in a hundred of all rows: fewer than 100."""
-    total = pairs.count()
-    counts = pairs.groupBy("entry").count().where(F.col("count") * HOT_SHARE > total)
-    return [r.entry for r in counts.collect()]
-
-
-def unknown_pairs(pairs: DataFrame, valid: DataFrame) -> DataFrame:
-    """Rows of ``pairs`` whose entry is not valid, without a hot task.
-
-    Rows of a hot entry are spread over salts, and only the few hot entries of
-    the other side are repeated for each salt.
-    """
-    hot = hot_entries(pairs)
-    row = F.pmod(F.xxhash64(*[c for c in pairs.columns if c != "entry"]), F.lit(SALTS))
-    is_hot = F.col("entry").isin(hot) if hot else F.lit(False)
-    none, each = F.lit(0).cast("long"), F.array(*[F.lit(i).cast("long") for i in range(SALTS)])
-    left = pairs.withColumn("salt", F.when(is_hot, row).otherwise(none))
-    right = valid.select(
-        "entry", F.explode(F.when(is_hot, each).otherwise(F.array(none))).alias("salt")
-    )
-    return left.join(right, ["entry", "salt"], "left_anti")
-
-
-def with_invalid_by_join(
+def with_invalid(
     messages: DataFrame, text: Column, urls: Column, valid: DataFrame, only_dns: bool,
     keys: tuple[str, ...], name: str,
 ) -> DataFrame:
-    """The same result for a status table of any size.
-
-    Only keys and URLs go through the lookup; they are stored once, so that the
-    URLs are not extracted again for each step. What remains is grouped by
-    message: a group holds the URLs of one message. The list itself belongs to
-    the key, so messages that share an id stay apart. Messages without a URL
-    have nothing to find and are spread over the tasks of the last join.
+    """``messages`` with ``name``, the URLs that are not valid; null if all are.
+
+    One plan for status tables of any size. Only keys and URLs of messages that
+    may hold one go through the lookup, an anti join that Spark broadcasts or
+    sorts and merges by size; AQE splits an entry that many messages share. What
+    remains is grouped by message: a group holds the URLs of one message. The
+    list itself belongs to the key, so messages that share an id stay apart.
+    All other messages stay where they are.
     """
-    columns = [messages[k].alias(f"{name}_k{i}") for i, k in enumerate(keys)]
     renamed = [f"{name}_k{i}" for i in range(len(keys))] + [f"{name}_urls"]
+    # Seen on the raw text, so that nothing is parsed for it; ``\u`` may hide a letter.
+    possible = F.coalesce(text.contains("http") | text.contains("\\u"), F.lit(False))
+    rest = messages.where(~possible).withColumn(name, F.lit(None).cast("array<string>"))
+    messages = messages.where(possible)
+    columns = [messages[k].alias(n) for k, n in zip(keys, renamed)]
     # The outer form keeps Catalyst from adding a size filter below, which would
     # extract the URLs a second time.
     pairs = (
-        messages.select(*columns, urls.alias(f"{name}_urls"))
-        .select(*renamed, F.posexplode_outer(f"{name}_urls").alias("pos", "url"))
+        messages.select(*columns, urls.alias(renamed[-1]))
+        .select(*renamed, F.posexplode_outer(renamed[-1]).alias("pos", "url"))
         .where("url is not null")
         .withColumn("entry", _entry(F.col("url"), only_dns))
     )
-    unknown = unknown_pairs(stored(pairs, "message-urls"), valid)
+    unknown = pairs.join(valid, "entry", "left_anti")
     found = F.array_sort(F.collect_set(F.struct("pos", "url")))
     bad = unknown.groupBy(*renamed).agg(F.transform(found, lambda e: e["url"]).alias(name))
-    bad = bad.withColumn(f"{name}_salt", F.lit(-1).cast("long"))
-    spread = F.when(F.coalesce(F.size(urls), F.lit(0)) > 0, F.lit(-1).cast("long")).otherwise(
-        F.pmod(F.xxhash64(text), F.lit(SALTS))
-    )
-    same = (urls == F.col(f"{name}_urls")) & (spread == F.col(f"{name}_salt"))
-    for i, key in enumerate(keys):
-        same = same & messages[key].eqNullSafe(F.col(f"{name}_k{i}"))
-    return messages.join(bad, same, "left").drop(*renamed, f"{name}_salt")
+    same = urls == F.col(renamed[-1])
+    for key, other in zip(keys, renamed):
+        same = same & messages[key].eqNullSafe(F.col(other))
+    return messages.join(bad, same, "left").drop(*renamed).unionByName(rest)
 
 
 def check_urls(stage: Stage, policy: UrlCheck, inputs: Inputs) -> Verdict:
     """Blocks when at least one URL is not known as valid."""
     if inputs.status is None:
         raise ValueError("a URL policy needs a status table")
+    if stage.df.isStreaming:
+        raise ValueError(
+            "a URL policy groups the URLs of a message, which a stream does per "
+            "micro-batch: see streaming.streams.by_batch"
+        )
     content = stage.content(policy.json_path, cleaned=False)
     urls = stage.keep(stage.gate(F.when(~stage.empty, patterns.extract_urls(content))))
     known = stage.keep(content.isNotNull())
     valid = valid_entries(inputs.status, policy.only_dns)
-    # At most one row more than the limit comes back, whatever the table holds.
-    few = valid.limit(inputs.local_status_rows + 1).collect()
-    if len(few) <= inputs.local_status_rows:
-        invalid = stage.keep(invalid_in_set(urls, sorted({r.entry for r in few}), policy.only_dns))
-    elif stage.df.isStreaming:
-        raise ValueError(
-            "on a stream a large status table is looked up per micro-batch: "
-            "apply the policy inside foreachBatch"
-        )
-    else:
-        name = stage.reserve()
-        keys = tuple(dict.fromkeys((*inputs.keys, stage.direction)))
-        stage.df = with_invalid_by_join(
-            stage.df, stage.text, urls, valid, policy.only_dns, keys, name
-        )
-        invalid = F.col(name)
+    name = stage.reserve()
+    keys = tuple(dict.fromkeys((*inputs.keys, stage.direction)))
+    stage.df = with_invalid(stage.df, stage.text, urls, valid, policy.only_dns, keys, name)
+    invalid = F.col(name)
     bad = F.coalesce(F.size(invalid), F.lit(0)) > 0
     passed = F.when(stage.empty, True).otherwise(F.when(known, ~bad))
     details = F.struct(

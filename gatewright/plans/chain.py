@@ -11,8 +11,9 @@ from gatewright import outcome as oc
 from gatewright.config import Policy
 from gatewright.operators.apply import attach, evaluate
 from gatewright.operators.stage import Inputs, Stage
+from gatewright.session import configure
 
-Step = Policy | tuple[Policy, str | None]
+Step = Policy | tuple[Policy, str | None] | tuple[Policy, str | None, Inputs]
 
 
 def run_chain(
@@ -26,20 +27,22 @@ def run_chain(
 
     Policies run in the order given. A message stops at its first violation;
     policies behind a rewriting one see the changed payload. Everything is one
-    narrow pass unless a step has to join a side table.
+    narrow pass unless a step has to join a side table. A step may bring its own
+    side inputs; the others use ``inputs``.
     """
+    configure(messages.sparkSession)
     inputs = inputs or Inputs()
     stage = Stage(messages, detailed=detailed)
     state = stage.keep(F.struct(oc.passed().alias("outcome"), F.lit("").alias("by")))
     payload = stage.payload
     mapping = F.col(inputs.mapping) if inputs.mapping in messages.columns else None
     for step in steps:
-        policy, flow = step if isinstance(step, tuple) else (step, None)
+        policy, flow, own = (*step, None)[:3] if isinstance(step, tuple) else (step, None, None)
         attached = attach(stage, policy, flow)
         going = state["outcome"]["passed"]
         active = going if attached is None else going & attached
         stage.active, stage.payload = active, payload
-        verdict = evaluate(stage, policy, inputs)
+        verdict = evaluate(stage, policy, own or inputs)
         decided = F.struct(verdict.outcome.alias("outcome"), F.lit(policy.name).alias("by"))
         if verdict.payload is not None:
             # A failed step leaves the payload as it was.

@@ -14,7 +14,10 @@ def mapping_table(masked: DataFrame, *keys: str) -> DataFrame:
 def with_mapping(responses: DataFrame, mappings: DataFrame, *keys: str) -> DataFrame:
     """Responses with the mapping of their request, NULL if it had none.
 
+    Of several mappings of one key the smallest counts, so that a repeated
+    request doesn't repeat its response.
     Mappings are few next to messages; Spark broadcasts them by their size or
     sorts and merges, and AQE splits a key that many responses share.
     """
-    return responses.join(mappings, list(keys or ("msg_id",)), "left")
+    keys = list(keys or ("msg_id",))
+    return responses.join(mappings.groupBy(*keys).agg(F.min("mapping").alias("mapping")), keys, "left")

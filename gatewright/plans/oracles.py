@@ -6,7 +6,7 @@ tables directly and the policies are spelled out as CASE expressions.
 
 from __future__ import annotations
 
-from gatewright.plans.queries import ALLOW_IDS, DENY_IDS, EMAIL, NETWORK, ONE_PII, PHONE, PII, SIMILAR
+from gatewright.plans.queries import ALLOW_IDS, DENY_IDS, EMAIL, NETWORK, ONE_PII, PHONE, PII, SIMILAR, SYSTEM
 
 BLANKS = r"[ \t\n\x0B\f\r]+"
 
@@ -36,12 +36,15 @@ def size(value: str) -> str:
     return f"octet_length(encode({value}))"
 
 
-REQUEST = "CAST(to_json({{'model': 'chat-model', 'messages': [{{'role': {role}, 'content': {text}}}]}}) AS VARCHAR)"
+REQUEST = (
+    "CAST(to_json({{'model': 'chat-model', 'messages': [{{'role': 'system', 'content': '{system}'}}, "
+    "{{'role': {role}, 'content': {text}}}]}}) AS VARCHAR)"
+)
 RESPONSE = "CAST(to_json({{'choices': [{{'message': {{'role': 'assistant', 'content': {text}}}}}]}}) AS VARCHAR)"
 
 
 def request(text: str, role: str = "'user'") -> str:
-    return REQUEST.format(role=role, text=text)
+    return REQUEST.format(role=role, text=text, system=SYSTEM)
 
 
 def response(text: str) -> str:
@@ -237,8 +240,8 @@ ORACLES: dict[str, str] = {
     "jsonpath_last_message": f"""WITH {MESSAGES} SELECT conv_id, turn,
   json_extract_string(payload, CASE WHEN direction = 'RESPONSE' THEN '$.choices[0].message.content'
                                ELSE '$.messages[#-1].content' END) AS content FROM messages""",
-    "jsonpath_set_last_message": """SELECT conv_id, turn,
-  '<"checked">' || chr(10) || text AS content, 'chat-model' AS model, role
+    "jsonpath_set_last_message": f"""SELECT conv_id, turn,
+  '<"checked">' || chr(10) || text AS content, 'chat-model' AS model, role, '{SYSTEM}' AS first
 FROM conversations WHERE role <> 'assistant'""",
     "word_count_whole_payload":
         f"WITH {MESSAGES} SELECT conv_id, turn, CAST({words('payload')} AS INTEGER) AS words FROM messages",
@@ -308,12 +311,12 @@ SELECT event_id, CAST(unnest(range(len(m))) AS INTEGER) AS pos, unnest(m) AS can
                 '{"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 10}, '
                 '"v": {"type": "number"}}}' + "'")),
     "prompt_template": f"""SELECT item_id,
-  '{{"model":"chat-model","messages":[{{"role":"user","content":"Task: Summarize the following content in '
-  || length(text) || ' words: ' || {TEMPLATE_TEXT} || ' now"}}]}}' AS payload_out FROM benchmark""",
+  '{{"model":"chat-model","messages":[{{"role":"user","content":"Task: Put what follows into '
+  || length(text) || ' letters or fewer -- ' || {TEMPLATE_TEXT} || ' now"}}]}}' AS payload_out FROM benchmark""",
     "prompt_decorate_string": """SELECT conv_id, turn, 'Answer "briefly". ' || text AS content
 FROM conversations WHERE role <> 'assistant'""",
-    "prompt_decorate_array": """SELECT conv_id, turn, text AS first, 'Be brief.' AS last, 'system' AS role,
-  CAST(3 AS INTEGER) AS messages FROM conversations WHERE role <> 'assistant'""",
+    "prompt_decorate_array": f"""SELECT conv_id, turn, '{SYSTEM}' AS first, 'Be brief.' AS last, 'system' AS role,
+  CAST(4 AS INTEGER) AS messages FROM conversations WHERE role <> 'assistant'""",
     "moderation_request": f"""SELECT doc_id, CAST(to_json({{'text': {CLEANED},
   'categories': ['Hate', 'SelfHarm'], 'haltOnBlocklistHit': true,
   'outputType': 'EightSeverityLevels'}}) AS VARCHAR) AS request FROM documents""",
@@ -342,4 +345,37 @@ FROM chained GROUP BY ALL""",
     "stream_policy_parity": CHAIN_ROWS,
     "stream_pii_restore": f"""SELECT doc_id, CASE WHEN regexp_matches({CLEANED}, '{ONE_PII[0][1]}')
   THEN {CLEANED} ELSE text END AS restored FROM documents""",
+    "stream_guard_url": url_guard("regexp_matches(url, 'example[.](com|net)')"),
+    "guard_url_provider": url_guard("contains(url, 'example.com')"),
+    "policy_chain_scored": f"""WITH decided AS (
+  SELECT d.doc_id, 'Be brief. ' || d.text AS content, coalesce(l.toxic, 0) * 4 >= 2 AS hateful,
+         regexp_matches({clean("('Be brief. ' || d.text)")}, '{PHONE}') AS phoned
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, NOT (hateful OR phoned) AS passed,
+       CASE WHEN hateful THEN 'moderation' WHEN phoned THEN 'guard' END AS halted_by, content FROM decided""",
+    "moderation_passthrough": f"""WITH {LABELLED}, kept AS (
+  SELECT doc_id, passed OR NOT answered AS fine FROM decided)
+SELECT doc_id, {verdict('fine', 'AZURE_CONTENT_SAFETY_CONTENT_MODERATION', None)} FROM kept""",
+    "moderation_provider": f"""WITH asked AS (
+  SELECT doc_id, NOT contains({CLEANED}, '###') AS fine FROM documents)
+SELECT doc_id, {verdict('fine', 'AZURE_CONTENT_SAFETY_CONTENT_MODERATION', None)} FROM asked""",
+    "jsonpath_set_keeps_numbers": """SELECT item_id,
+  '{"id":123456789012345678901234567890123456789012345,"x":[0.123456789012345678901234567891,"1",null,true],'
+  || '"messages":[{"content":"s","role":"system"},{"n":0.123456789012345678901234567891,"content":'
+  || to_json('<' || text || '>') || '}]}' AS payload_out FROM benchmark""",
+    "guard_json_schema_keywords": "WITH checked AS (SELECT event_id, (user_id % 3 = 0 AND user_id >= 10) "
+        "OR user_id % 5 = 0 AS valid FROM events) SELECT event_id, {0} FROM checked".format(
+            verdict("valid", "JSON_SCHEMA_GUARDRAIL", None)),
+    "bedrock_restore": f"""WITH {BEDROCK}
+SELECT doc_id, content AS restored FROM answered WHERE has_mail AND NOT blocked""",
+    "bedrock_mask_regexes": f"""WITH RECURSIVE found AS (
+  SELECT doc_id, text, {CLEANED} AS content, regexp_extract_all(text, '{PHONE}') AS m FROM documents),
+listed AS (SELECT *, list_filter(m, lambda x, i: list_position(m, x) = i) AS u FROM found),
+steps AS (
+  SELECT doc_id, 0 AS i, content AS t, u FROM listed WHERE len(u) > 0
+  UNION ALL
+  SELECT doc_id, i + 1, replace(t, u[i + 1], 'CALL_' || printf('%04x', i)), u FROM steps WHERE i < len(u)),
+done AS (SELECT doc_id, t, i FROM steps WHERE i = len(u))
+SELECT l.doc_id, coalesce(done.t, l.text) AS content, CAST(coalesce(done.i, 0) AS INTEGER) AS entries
+FROM listed l LEFT JOIN done USING (doc_id)""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +23,9 @@ from gatewright.sources.messages import (
     conversation_messages,
     text_messages,
 )
-from gatewright.sources.providers import embed, embed_rules
+from gatewright.sources.providers import ask, embed, embed_rules, url_status
 from gatewright.sources.tables import read_parquet
-from gatewright.streaming.streams import drain, file_stream, restore_stream
+from gatewright.streaming.streams import by_batch, drain, file_stream, restore_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,10 +42,12 @@ SCHEMA = {
     "properties": {"k": {"type": "integer", "minimum": 10}, "v": {"type": "number"}},
 }
 TEMPLATES = [
-    {"name": "summarize", "prompt": "Summarize the following content in [[length]] words: [[content]]"},
+    {"name": "digest", "prompt": "Put what follows into [[length]] letters or fewer -- [[content]]"},
 ]
 DENY_IDS, ALLOW_IDS = (0, 1, 2), (3, 4)
 SIMILAR = 20
+# Stands before every turn, so that the first message is not the last.
+SYSTEM = "Stay with the topic."
 
 
 def query(function: Query) -> Query:
@@ -55,12 +58,12 @@ def query(function: Query) -> Query:
     return run
 
 
-def table(spark: SparkSession, folder: str, name: str, *, spread: bool = True) -> DataFrame:
-    return read_parquet(spark, f"{folder}/{name}.parquet", spread=spread)
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_parquet(spark, f"{folder}/{name}.parquet")
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
-    return conversation_messages(table(spark, folder, "conversations"))
+    return conversation_messages(table(spark, folder, "conversations"), system=SYSTEM)
 
 
 def documents(spark: SparkSession, folder: str, direction: str = "REQUEST", *keep: str) -> DataFrame:
@@ -132,7 +135,8 @@ def jsonpath_set_last_message(spark, folder):
         "turn",
         jsonpath.read(doc, REQUEST_PATH).alias("content"),
         jsonpath.read(doc, "$.model").alias("model"),
-        jsonpath.read(doc, "$.messages[0].role").alias("role"),
+        jsonpath.read(doc, "$.messages[-1].role").alias("role"),
+        jsonpath.read(doc, "$.messages[0].content").alias("first"),
     )
 
 
@@ -146,8 +150,8 @@ def word_count_whole_payload(spark, folder):
 # --- counts and patterns -------------------------------------------------------
 
 
-def _on_documents(spark, folder, name, function, *, spread=True):
-    documents = table(spark, folder, "documents", spread=spread)
+def _on_documents(spark, folder, name, function):
+    documents = table(spark, folder, "documents")
     return documents.select("doc_id", function(F.col("text")).alias(name))
 
 
@@ -163,8 +167,7 @@ def sentence_count(spark, folder):
 
 @query
 def content_length(spark, folder):
-    # A length costs next to nothing: not worth moving the texts.
-    return _on_documents(spark, folder, "bytes", text.byte_length, spread=False)
+    return _on_documents(spark, folder, "bytes", text.byte_length)
 
 
 @query
@@ -261,15 +264,8 @@ def pii_mapping_table(spark, folder):
 
 @query
 def pii_restore(spark, folder):
-    """Requests are masked and stored; each response repeats the masked text.
-
-    Storing what is sent on is what a deployment does, and it keeps the masking
-    from being computed once for the answers and once for the mappings.
-    """
-    stored = work_folder(spark, "masked-requests")
+    """Requests are masked; each response repeats the masked text."""
     masked = g.apply(documents(spark, folder), masking(), flow="REQUEST")
-    masked.select("msg_id", "payload_out", "mapping").write.parquet(stored)
-    masked = spark.read.parquet(stored)
     answers = masked.select(
         "msg_id",
         F.lit("RESPONSE").alias("direction"),
@@ -324,9 +320,7 @@ def _url_rows(checked: DataFrame) -> DataFrame:
     )
 
 
-@query
-def guard_url_http(spark, folder):
-    """Status of each page and of its site, by the top-level domain."""
+def page_status(spark, folder) -> DataFrame:
     pages = table(spark, folder, "pages").select(
         F.col("url"), F.concat("url", F.lit(">")).alias("marked"),
         F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("site"),
@@ -336,8 +330,15 @@ def guard_url_http(spark, folder):
     status = known.select(
         "url", F.when(domain == "com", 200).when(domain == "net", 301).otherwise(404).alias("status")
     )
+    return status
+
+
+@query
+def guard_url_http(spark, folder):
+    """Status of each page and of its site, by the top-level domain."""
     policy = g.UrlCheck("urls", REQUEST_PATH)
-    return _url_rows(g.apply(page_messages(spark, folder), policy, g.Inputs(status=status)))
+    inputs = g.Inputs(status=page_status(spark, folder))
+    return _url_rows(g.apply(page_messages(spark, folder), policy, inputs))
 
 
 @query
@@ -478,7 +479,7 @@ def guard_json_schema(spark, folder):
 @query
 def prompt_template(spark, folder):
     reference = F.concat(
-        F.lit("Task: template://summarize?length="), F.length("text").cast("string"),
+        F.lit("Task: template://digest?length="), F.length("text").cast("string"),
         F.lit("&content="), F.url_encode("text"), F.lit(" now"),
     )
     messages = text_messages(table(spark, folder, "benchmark"), "item_id", reference)
@@ -694,7 +695,8 @@ def _drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 def stream_policy_parity(spark, folder):
     """The chain on a file stream; the oracle is that of the batch query."""
     schema = table(spark, folder, "conversations").schema
-    stream = conversation_messages(file_stream(spark, folder, "conversations.parquet", schema))
+    stream = file_stream(spark, f"{folder}/conversations.parquet", schema)
+    stream = conversation_messages(stream, system=SYSTEM)
     checked = g.run_chain(stream, CHAIN)
     done = verdicts(checked, "conv_id", "turn", "direction", "halted_by", details=False)
     return _drained(spark, done, "stream-policy")
@@ -704,23 +706,17 @@ def stream_policy_parity(spark, folder):
 def stream_pii_restore(spark, folder):
     """Masked requests and the answers that repeat them, as two streams.
 
-    An answer comes five seconds after its request. One heartbeat per stream,
-    an hour later, moves the watermark, so that answers without a mapping leave
-    the join as well.
+    An answer comes five seconds after its request.
     """
     schema = table(spark, folder, "documents").schema
     policy = masking(ONE_PII)
 
     def arrivals(delay: int) -> DataFrame:
-        read = file_stream(spark, folder, "documents.parquet", schema)
-        beats = F.when(F.col("doc_id") == 0, F.array(F.lit(False), F.lit(True))).otherwise(
-            F.array(F.lit(False))
-        )
-        second = 1_700_000_000 + F.when(F.col("beat"), 3600).otherwise(delay)
-        return read.select("doc_id", "text", F.explode(beats).alias("beat")).select(
-            F.when(F.col("beat"), -1).otherwise(F.col("doc_id")).alias("msg_id"),
+        read = file_stream(spark, f"{folder}/documents.parquet", schema)
+        return read.select(
+            F.col("doc_id").alias("msg_id"),
             F.lit("REQUEST").alias("direction"),
-            F.timestamp_seconds(second).alias("ts"),
+            F.timestamp_seconds(F.lit(1_700_000_000 + delay)).alias("ts"),
             chat_request(F.col("text")).alias("payload"),
         )
 
@@ -731,6 +727,164 @@ def stream_pii_restore(spark, folder):
     done = restored.select(
         F.col("msg_id").alias("doc_id"), last_text(F.col("payload_out")).alias("restored")
     )
-    # A filter inside the stream would be pushed below the watermark and take
-    # the heartbeats away from it.
-    return _drained(spark, done, "stream-restore").where("doc_id >= 0")
+    return _drained(spark, done, "stream-restore")
+
+
+@query
+def stream_guard_url(spark, folder):
+    """The URL check on a stream of pages, micro-batch by micro-batch."""
+    schema = table(spark, folder, "pages").schema
+    status = page_status(spark, folder)
+    policy = g.UrlCheck("urls", REQUEST_PATH)
+
+    def step(pages: DataFrame) -> DataFrame:
+        messages = text_messages(pages, "page_id", page_text())
+        return _url_rows(g.apply(messages, policy, g.Inputs(status=status)))
+
+    target = work_folder(spark, "stream-urls")
+    by_batch(file_stream(spark, f"{folder}/pages.parquet", schema), step,
+             f"{target}/out", f"{target}/checkpoint")
+    return spark.read.parquet(f"{target}/out").drop("batch")
+
+
+# --- more of the scored policies --------------------------------------------------------------
+
+
+@query
+def policy_chain_scored(spark, folder):
+    """Decoration, then two scorers with answers of their own; the second is
+    asked about the payload as it is by then."""
+
+    def second(messages: DataFrame) -> DataFrame:
+        content = last_text(F.col("payload"))
+        blocked = content.startswith("Be brief. ") & patterns.regex_find(content, PHONE)
+        action = F.when(blocked, scorers.INTERVENED).otherwise(scorers.NOT_INTERVENED)
+        reason = F.when(blocked, scorers.BLOCKED)
+        answer = F.struct(action.alias("action"), reason.alias("actionReason"))
+        return messages.select("msg_id", F.to_json(answer).alias("response"))
+
+    decoration = g.Decoration("tone", REQUEST_PATH, prompt_decorator_config={"decoration": "Be brief."})
+    moderation = g.Moderation("moderation", REQUEST_PATH, hate_category=2, violence_category=7,
+                              passthrough_on_error=True)
+    verdict = g.BedrockVerdict("guard", REQUEST_PATH, region="local", guardrail_id="g1", guardrail_version="1")
+    checked = g.run_chain(documents(spark, folder), [
+        (decoration, "REQUEST"),
+        (moderation, "REQUEST", g.Inputs(responses=moderation_answers(spark, folder))),
+        (verdict, "REQUEST", g.Inputs(responses=second)),
+    ])
+    return checked.select(
+        F.col("msg_id").alias("doc_id"), F.col("outcome.passed").alias("passed"), "halted_by",
+        last_text(F.col("payload_out")).alias("content"),
+    )
+
+
+@query
+def moderation_passthrough(spark, folder):
+    """Documents the scorer has no answer for pass."""
+    policy = g.Moderation("moderation", REQUEST_PATH, hate_category=2, violence_category=1,
+                          passthrough_on_error=True)
+    inputs = g.Inputs(responses=moderation_answers(spark, folder))
+    checked = g.apply(documents(spark, folder), policy, inputs)
+    return verdicts(checked, F.col("msg_id").alias("doc_id"), details=False)
+
+
+@query
+def moderation_provider(spark, folder):
+    """The answers come from a user function that is called in the tasks."""
+
+    def call_out(call: dict) -> str:
+        asked = json.loads(call["request_payload"])
+        severity = 4 if "###" in asked["text"] else 0
+        return json.dumps({"categoriesAnalysis": [{"category": "Hate", "severity": severity}]})
+
+    policy = g.Moderation("moderation", REQUEST_PATH, hate_category=2)
+    messages = documents(spark, folder)
+    inputs = g.Inputs(responses=ask(messages, policy, call_out))
+    return verdicts(g.apply(messages, policy, inputs), F.col("msg_id").alias("doc_id"), details=False)
+
+
+@query
+def guard_url_provider(spark, folder):
+    """The status table comes from a user function, asked once for each URL."""
+
+    def head(url: str, limit: int) -> int | None:
+        return 200 if "example.com" in url else 404
+
+    policy = g.UrlCheck("urls", REQUEST_PATH)
+    messages = page_messages(spark, folder)
+    status = url_status(messages, policy, head)
+    return _url_rows(g.apply(messages, policy, g.Inputs(status=status)))
+
+
+@query
+def jsonpath_set_keeps_numbers(spark, folder):
+    """What is not rewritten stays as it was written, long numbers included."""
+    long, fraction = "1234567890" * 4 + "12345", "0.123456789012345678901234567891"
+    payload = F.concat(
+        F.lit(f'{{"id":{long},"x":[{fraction},"1",null,true],"messages":[{{"content":"s","role":"system"}},'
+              f'{{"n":{fraction},"content":'),
+        jsonpath.quoted_text(F.col("text")), F.lit("}]}"))
+    rows = table(spark, folder, "benchmark").select("item_id", "text", payload.alias("payload"))
+    out = jsonpath.replace_text(F.col("payload"), jsonpath.document(F.col("payload")), REQUEST_PATH,
+                                F.concat(F.lit("<"), F.col("text"), F.lit(">")))
+    return rows.select("item_id", out.alias("payload_out"))
+
+
+KEYWORD_SCHEMA = {
+    "$schema": "http://json-schema.org/draft-07/schema#",
+    "type": "object",
+    "propertyNames": {"maxLength": 6},
+    "dependencies": {"k": ["ip"]},
+    "if": {"required": ["k"]},
+    "then": {"properties": {"k": {"type": "integer", "minimum": 10}, "ip": {"format": "ipv4"}}},
+    "else": {"properties": {"tags": {"type": "array", "contains": {"const": "x"}}}, "required": ["tags"]},
+}
+
+
+@query
+def guard_json_schema_keywords(spark, folder):
+    """Escaped JSON in the text, and the keywords of a draft-07 schema."""
+    user = F.col("user_id")
+    plain = F.concat(
+        F.lit('{"k": '), user.cast("string"), F.when(user % 3 == 0, F.lit(', "ip": "10.0.0.7"')).otherwise(F.lit("")),
+        F.lit('} or {"tags": ["y", "'), F.when(user % 5 == 0, F.lit("x")).otherwise(F.lit("z")), F.lit('"]}'))
+    escaped = F.replace(plain, F.lit('"'), F.lit('\\"'))
+    messages = text_messages(table(spark, folder, "events"), "event_id", escaped, "RESPONSE")
+    policy = g.JsonSchema("schema", RESPONSE_PATH, schema=KEYWORD_SCHEMA)
+    return verdicts(g.apply(messages, policy), F.col("msg_id").alias("event_id"), details=False)
+
+
+@query
+def bedrock_restore(spark, folder):
+    """Requests masked by the scorer's findings; each response repeats the masked text."""
+    masked = _bedrock(spark, folder)
+    answers = masked.where("mapping is not null").select(
+        "msg_id", F.lit("RESPONSE").alias("direction"),
+        chat_response(last_text(F.col("payload_out"))).alias("payload"))
+    policy = g.BedrockVerdict(
+        "guard", RESPONSE_PATH, region="local", guardrail_id="g1", guardrail_version="1")
+    inputs = g.Inputs(responses=bedrock_answers(spark, folder))
+    restored = g.apply(with_mapping(answers, mapping_table(masked)), policy, inputs)
+    return restored.select(
+        F.col("msg_id").alias("doc_id"), last_text(F.col("payload_out"), RESPONSE_PATH).alias("restored"))
+
+
+@query
+def bedrock_mask_regexes(spark, folder):
+    """Findings under ``regexes``, which carry a name instead of a type."""
+    found = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("msg_id"), F.array_distinct(patterns.find_all(F.col("text"), PHONE)).alias("phones"))
+    entries = F.transform("phones", lambda m: F.struct(
+        F.lit("ANONYMIZED").alias("action"), m.alias("match"), F.lit("CALL").alias("name")))
+    hit = F.size("phones") > 0
+    answer = F.struct(
+        F.when(hit, scorers.INTERVENED).otherwise(scorers.NOT_INTERVENED).alias("action"),
+        F.when(hit, scorers.MASKED).alias("actionReason"),
+        F.array(F.struct(F.struct(entries.alias("regexes")).alias("sensitiveInformationPolicy"))).alias("assessments"))
+    policy = g.BedrockVerdict(
+        "guard", REQUEST_PATH, region="local", guardrail_id="g1", guardrail_version="1")
+    inputs = g.Inputs(responses=found.select("msg_id", F.to_json(answer).alias("response")))
+    checked = g.apply(documents(spark, folder), policy, inputs)
+    return checked.select(
+        F.col("msg_id").alias("doc_id"), last_text(F.col("payload_out")).alias("content"),
+        F.coalesce(F.array_size("mapping"), F.lit(0)).alias("entries"))

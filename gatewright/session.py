@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings. Repeated keys in a payload keep the last value, as the
-# usual JSON readers do; skewed joins are split by AQE while they run.
-RUNTIME_SETTINGS = {
-    "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-}
+# Repeated keys in a payload keep the last value, as the usual JSON readers do.
+# ``apply`` and ``run_chain`` see to it themselves.
+RUNTIME_SETTINGS = {"spark.sql.variant.allowDuplicateKeys": "true"}
+
+_folders: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -37,6 +35,7 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
         # Building a plan is quicker without a call site for every column.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
@@ -45,16 +44,39 @@ def local_session(
     return configure(spark)
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+def _shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or
+    the checkpoint folder set on the context.
 
-    A machine-local folder is used only where that setting is absent, which is
-    the case in tests on one machine.
+    A machine-local folder serves only where the whole session runs on one
+    machine; it goes when Python ends. On a cluster without a shared folder
+    executors would not see each other's files, so that is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="gatewright-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(
+            f"set spark.checkpoint.dir to a folder all executors share (master: {master})"
+        )
+    root = tempfile.mkdtemp(prefix="gatewright-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for intermediate data, on storage that all executors share."""
+    folder = os.path.join(_shared_root(spark), f"{purpose}-{uuid.uuid4().hex}")
+    _folders.append(folder)
+    return folder
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the work folders made so far; frames read from them are gone then."""
+    while _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,40 +1,14 @@
-"""Reading tables with enough parallel tasks for CPU-bound expressions."""
+"""Reading tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DatetimeType, NumericType
 
 
-# Below this size a table is done in no time by one task.
-SMALLEST = 1 << 20
-SPLIT = 128 << 20
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, file or folder.
 
-
-def read_parquet(spark: SparkSession, path: str, *, spread: bool = True) -> DataFrame:
-    """A Parquet table; a small one is spread over all cores.
-
-    A row group is read by one task, so a table of few row groups would leave
-    the text functions to a few cores. Where the whole table is smaller than
-    one split per core, moving it is cheap and pays off. Larger tables, which
-    come with splits enough, are never shuffled here.
+    Its row groups are its tasks. Nothing is moved here: where a table has fewer
+    row groups than there are cores, ``repartition`` is the caller's choice.
     """
-    df = spark.read.parquet(path)
-    if not spread or not hasattr(df, "_jdf"):
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if SMALLEST <= _size(df) < cores * SPLIT:
-        return df.repartition(cores, *_short_columns(df))
-    return df
-
-
-def _short_columns(df: DataFrame) -> list[str]:
-    """Columns of numbers and times. Spreading rows by their hash needs no sort,
-    which a round-robin exchange does to be repeatable; without any such column
-    it is round-robin."""
-    return [f.name for f in df.schema if isinstance(f.dataType, (NumericType, DatetimeType))]
-
-
-def _size(df: DataFrame) -> int:
-    """Size by Catalyst's statistics: that of the files, for a plain scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return spark.read.parquet(path)

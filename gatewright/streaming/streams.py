@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gatewright.config import Policy, PiiRegex
+from gatewright.config import PiiRegex
+from gatewright.functions.patterns import empty_mapping
 from gatewright.operators.apply import apply
 from gatewright.operators.stage import Inputs
 
 
-def file_stream(spark, folder: str, pattern: str, schema) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
-    )
+def file_stream(spark, path: str, schema, files: int | None = None) -> DataFrame:
+    """A Parquet table, file or folder, as a stream; ``files`` bounds a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if system.getFileStatus(place).isFile():
+        # a stream reads folders: the file's own, and in it nothing else
+        reader, path = reader.option("pathGlobFilter", place.getName()), place.getParent().toString()
+    return reader.parquet(path)
 
 
 def drain(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -32,6 +41,27 @@ def drain(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def by_batch(stream: DataFrame, step: Callable[[DataFrame], DataFrame], target: str,
+             checkpoint: str) -> StreamingQuery:
+    """Everything that is there, micro-batch by micro-batch, through a batch step.
+
+    For policies that look something up in tables: each micro-batch reads them
+    anew. A batch that is run again replaces its own folder, so no row is
+    written twice.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        step(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def restore_stream(
     requests: DataFrame,
     responses: DataFrame,
@@ -43,16 +73,16 @@ def restore_stream(
     """Responses restored with the mapping of their request.
 
     Both streams carry ``msg_id``, ``direction``, ``payload`` and an event time
-    ``ts``. A mapping is kept for ``within`` after its request; a response that
-    comes later, or whose request had nothing to mask, leaves unrestored once
-    the watermark has passed it.
+    ``ts``. A mapping is kept for ``within`` after its request. Requests with
+    nothing to mask carry an empty one, so that their responses leave at once
+    and unchanged; only a response that comes later, or without a request, waits
+    until the watermark has passed it.
     """
-    # The watermark stands before the filter: requests without a mapping have
-    # nothing to carry over, but they move the time on.
     timed = requests.withColumnRenamed("ts", "asked_at").withWatermark("asked_at", late)
     masked = apply(timed, policy, flow="REQUEST")
-    stored = masked.where(F.col("mapping").isNotNull()).select(
-        F.col("msg_id").alias("asked_id"), "asked_at", "mapping"
+    stored = masked.select(
+        F.col("msg_id").alias("asked_id"), "asked_at",
+        F.coalesce("mapping", empty_mapping()).alias("mapping"),
     )
     arrived = responses.withWatermark("ts", late)
     joined = arrived.join(
@@ -63,9 +93,3 @@ def restore_stream(
         "left",
     ).drop("asked_id", "asked_at")
     return apply(joined, policy, Inputs(mapping="mapping"), flow="RESPONSE")
-
-
-def policy_stream(messages: DataFrame, policy: Policy, inputs: Inputs | None = None,
-                  **options) -> DataFrame:
-    """One policy on a stream: the same expressions, in append mode."""
-    return apply(messages, policy, inputs, **options)

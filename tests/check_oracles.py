@@ -1,5 +1,6 @@
 """Compare every registered query with its SQL: python -m tests.check_oracles [folder] [names]."""
 
+import os
 import sys
 import time
 
@@ -18,7 +19,9 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "
 def duck(folder):
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        path = f"{folder}/{name}.parquet"
+        path += "/*.parquet" if os.path.isdir(path) else ""
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     return con
 
 

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 import gatewright as g
 from gatewright.functions import scorers
+from gatewright.plans.correlate import with_mapping
+from gatewright.session import work_folder
 from gatewright.sources import providers
 from gatewright.sources.messages import conversation_messages
-from gatewright.streaming.streams import drain, file_stream, policy_stream, restore_stream
+from gatewright.streaming.streams import by_batch, drain, file_stream, restore_stream
 from tests.conftest import outcomes, rows
 
 LAST = "$.messages[-1].content"
@@ -49,18 +51,17 @@ def test_chain_order_is_kept(messages, chat):
 
 def test_chain_by_flow_with_joins_and_masking(spark, messages, chat):
     status = spark.createDataFrame([("http://ok", 200)], "url string, status int")
-    for limit in (2000, 0):
-        df = messages(chat("http://ok a@b.org"), chat("http://no a@b.org"),
-                      ("RESPONSE", chat("http://no a@b.org")))
-        done = g.run_chain(
-            df, [(g.UrlCheck("urls", LAST), "REQUEST"), (g.PiiRegex("pii", LAST, pii_entities=[EMAIL]), "REQUEST")],
-            g.Inputs(status=status, local_status_rows=limit))
-        got = done.orderBy("msg_id").collect()
-        assert [r.halted_by for r in got] == [None, "urls", None]
-        assert json.loads(got[0].payload_out)["messages"][1]["content"] == "http://ok EMAIL_0000"
-        assert got[0].mapping[0].original == "a@b.org"
-        assert got[1].payload_out == got[1].payload and got[1].mapping is None
-        assert got[2].payload_out == got[2].payload
+    df = messages(chat("http://ok a@b.org"), chat("http://no a@b.org"),
+                  ("RESPONSE", chat("http://no a@b.org")))
+    done = g.run_chain(
+        df, [(g.UrlCheck("urls", LAST), "REQUEST"), (g.PiiRegex("pii", LAST, pii_entities=[EMAIL]), "REQUEST")],
+        g.Inputs(status=status))
+    got = done.orderBy("msg_id").collect()
+    assert [r.halted_by for r in got] == [None, "urls", None]
+    assert json.loads(got[0].payload_out)["messages"][1]["content"] == "http://ok EMAIL_0000"
+    assert got[0].mapping[0].original == "a@b.org"
+    assert got[1].payload_out == got[1].payload and got[1].mapping is None
+    assert got[2].payload_out == got[2].payload
 
 
 def test_chain_with_scores_and_vectors(messages, chat):
@@ -91,7 +92,7 @@ def test_filters_do_not_repeat_a_policy(messages, chat):
     """A filter on the outcome stays above; one on a given column goes below."""
     done = g.run_chain(messages(chat("a b")), [g.WordCount("w", LAST, min=1, max=1)])
     plan = done.where("not outcome.passed and msg_id = 3")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json") == 1
     assert plan.index("passed") < plan.index("Generate") < plan.rindex("msg_id")
 
 
@@ -213,7 +214,7 @@ def test_url_checkers(messages):
 def test_stream_equals_batch(spark, messages, chat, tmp_path, policy):
     df = messages(chat("a b"), chat("a@b.org"), chat('{"a":1}'), "bad", ("RESPONSE", chat("a b c d")))
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = policy_stream(file_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema), policy)
+    stream = g.apply(file_stream(spark, str(tmp_path / "in"), df.schema), policy)
     drain(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
     got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
     want = g.apply(df, policy)
@@ -231,7 +232,7 @@ def test_restore_stream(spark, tmp_path):
             "msg_id", F.lit(way).alias("direction"), "payload", F.to_timestamp("at").alias("ts")
         ).coalesce(1).write.parquet(str(tmp_path / name))
     schema = "msg_id string, direction string, payload string, ts timestamp"
-    read = lambda name: file_stream(spark, str(tmp_path / name), "*.parquet", schema)
+    read = lambda name: file_stream(spark, str(tmp_path / name), schema)
     policy = g.PiiRegex("p", pii_entities=[EMAIL])
     restored = restore_stream(read("req"), read("resp"), policy, within="10 minutes", late="1 minute")
     drain(restored, str(tmp_path / "out"), str(tmp_path / "ck"))
@@ -240,14 +241,104 @@ def test_restore_stream(spark, tmp_path):
     assert got == {"a": "to a@b.org", "b": "EMAIL_0000", "c": "x@y.org!", "late": "EMAIL_0000", "end": "e@e.org"}
 
 
-def test_small_tables_are_spread(spark, tmp_path):
-    from gatewright.sources.tables import read_parquet
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "tiny"))
-    spark.range(1_000_000).select(F.uuid().alias("u")).coalesce(1).write.parquet(str(tmp_path / "t"))
-    assert read_parquet(spark, str(tmp_path / "tiny")).rdd.getNumPartitions() == 1
-    assert "Exchange" in read_parquet(spark, str(tmp_path / "t"))._jdf.queryExecution().executedPlan().toString()
-    plain = read_parquet(spark, str(tmp_path / "t"), spread=False)
-    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+def test_restore_stream_over_part_files_and_batches(spark, tmp_path):
+    """One file in a micro-batch; the rows are those of the batch join."""
+    asked = [(f"m{i}", f"to a{i}@b.org" if i % 3 else "nothing") for i in range(30)]
+    requests = spark.createDataFrame(asked, "msg_id string, payload string").select(
+        "msg_id", F.lit("REQUEST").alias("direction"), "payload", F.to_timestamp(F.lit("2024-01-01")).alias("ts"))
+    requests.repartition(3).write.parquet(str(tmp_path / "t.parquet"))
+    policy = g.PiiRegex("p", pii_entities=[EMAIL])
+
+    def read():
+        return file_stream(spark, str(tmp_path / "t.parquet"), requests.schema, files=1)
+
+    answers = g.apply(read(), policy, flow="REQUEST").select(
+        "msg_id", F.lit("RESPONSE").alias("direction"), F.col("payload_out").alias("payload"), "ts")
+    drain(restore_stream(read(), answers, policy), str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = spark.read.parquet(str(tmp_path / "out")).select("msg_id", "payload_out").collect()
+    assert sorted(map(tuple, got)) == sorted(asked)
+
+
+def test_urls_on_a_stream(spark, messages, chat, tmp_path):
+    df = messages(*[chat(f"http://u{i}") for i in range(30)])
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    status = spark.range(2500).selectExpr("'http://u' || id * 2 AS url", "200 AS status")
+    policy = g.UrlCheck("U", LAST)
+    stream = file_stream(spark, str(tmp_path / "in"), df.schema, files=1)
+    with pytest.raises(ValueError):
+        g.apply(stream, policy, g.Inputs(status=status))
+    by_batch(stream, lambda batch: g.apply(batch, policy, g.Inputs(status=status)).select("msg_id", "outcome.passed"),
+             str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.select("batch").distinct().count() == 3
+    assert {r.msg_id: r.passed for r in got.collect()} == {i: i % 2 == 0 for i in range(30)}
+
+
+def test_repeated_answers_do_not_repeat_messages(spark, messages, chat):
+    answers = spark.createDataFrame(
+        [(0, '{"action": "NONE"}'), (0, '{"action": "NONE"}'), (0, None)], "msg_id long, response string")
+    policy = g.BedrockVerdict("b", LAST, region="r", guardrail_id="g", guardrail_version="1")
+    got = g.apply(messages(chat("x")), policy, g.Inputs(responses=answers)).collect()
+    assert len(got) == 1 and got[0].outcome.passed
+    mappings = spark.createDataFrame([(0, [(0, "a", "E_0")]), (0, [(0, "a", "E_0")])],
+                                     "msg_id long, mapping array<struct<ord:int,original:string,placeholder:string>>")
+    assert with_mapping(messages(("RESPONSE", chat("E_0"))), mappings).count() == 1
+
+
+def test_each_step_of_a_chain_has_its_own_answers(spark, messages, chat):
+    def answer(blocked):
+        def responses(asked):
+            hit = F.col("payload").contains(blocked)
+            return asked.select("msg_id", F.when(
+                hit, '{"action": "GUARDRAIL_INTERVENED", "actionReason": "Guardrail blocked."}').otherwise(
+                '{"action": "NONE"}').alias("response"))
+        return g.Inputs(responses=responses)
+
+    guard = lambda name: g.BedrockVerdict(name, LAST, region="r", guardrail_id="g", guardrail_version="1")
+    tone = g.Decoration("tone", LAST, prompt_decorator_config={"decoration": "soft"})
+    done = g.run_chain(messages(chat("a"), chat("b"), chat("c")), [
+        (guard("first"), "REQUEST", answer('"a"')), (tone, "REQUEST"), (guard("second"), "REQUEST", answer("soft b"))])
+    assert [r.halted_by for r in done.orderBy("msg_id").collect()] == ["first", "second", None]
+
+
+def test_work_folders_are_shared_or_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    Context.folder = None
+    with pytest.raises(ValueError):
+        work_folder(Session, "x")
+    Context.folder = "hdfs://a/b"
+    assert work_folder(Session, "x").startswith("hdfs://a/b/x-")
+
+
+def test_repeated_keys_need_no_setting(spark, messages):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    got = g.apply(messages('{"t": "a", "t": "b b"}'), g.WordCount("w", "$.t", min=2, max=2)).collect()
+    assert got[0].outcome.passed
+
+
+def test_rewriting_keeps_long_numbers(messages):
+    long = '{"id": 123456789012345678901234567890123456789012345, "d": 0.123456789012345678901234567891, "t": "a@b.org"}'
+    for policy in (g.PiiRegex("p", "$.t", pii_entities=[EMAIL]),
+                   g.Decoration("d", "$.t", prompt_decorator_config={"decoration": "x"})):
+        out = g.apply(messages(long), policy).collect()[0].payload_out
+        assert '123456789012345678901234567890123456789012345' in out and '0.123456789012345678901234567891' in out
+
+
+def test_blank_payloads_of_any_kind_pass_the_schema(messages):
+    got = g.apply(messages("\u3000\u2003", "\u00a0"), g.JsonSchema("j", "", schema={"type": "object"})).orderBy("msg_id")
+    assert [r.outcome.passed for r in got.collect()] == [True, False]
 
 
 @pytest.mark.parametrize("size", [4_000_000, 15_000_000])

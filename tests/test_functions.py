@@ -29,7 +29,7 @@ def model_sentences(value):
 
 CASES = ["", " ", '"', '""', '" a b "', 'a b', "a\x01 \x01 b", "\x02x y\x03", "3.14", "...",
          "Hi! You? ok.", 'say "x"', '"q"\n', '"q"\r\n', "a\tb\n\nc", "é ü ☃ 😀 x", ".\x01.a. b",
-         'x" ', "This is a short prompt."]
+         'x" ', "Kettles boil on Sunday mornings."]
 
 
 def test_counts_match_the_model(values):
@@ -69,9 +69,9 @@ def test_jsonpath_refuses_other_syntax(path):
 
 @pytest.mark.parametrize("path", ["$.m[-1].c", "$.m[1].c", "$.m[0].c", "$.k", "$.m[*].c"])
 def test_jsonpath_replace(values, path):
-    payload = {"z": 1, "m": [{"c": "x", "r": {"q": [1, None]}}, {"c": "y"}], "k": "v"}
+    payload = {"z": int("9" * 45), "m": [{"c": "x", "r": {"q": [1, None]}}, {"c": "y", "n": int("8" * 50)}], "k": "v"}
     got = values([json.dumps(payload)],
-                 lambda c: jsonpath.replace_text(jsonpath.document(c), path, F.lit('n"\n')))
+                 lambda c: jsonpath.replace_text(c, jsonpath.document(c), path, F.lit('n"\n')))
     new = 'n"\n'
     if path == "$.k":
         payload["k"] = new

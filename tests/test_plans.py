@@ -15,7 +15,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in entry.QUERIES if not n.startswith("stream_")])
 def test_no_pairs_and_no_row_functions(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
@@ -27,7 +27,7 @@ def test_a_chain_is_one_narrow_pass(spark):
     text = plan(g.run_chain(messages, CHAIN))
     assert "Exchange" not in text and "Sort" not in text
     # One parse for each version of the payload: before and after the decoration.
-    assert text.count("parseJson") == 2
+    assert text.count("from_json") == 2
 
 
 def test_only_needed_columns_are_read(spark):
@@ -54,6 +54,16 @@ def test_joins_without_a_size_bound_are_sorted_and_merged(spark):
             text = plan(entry.queries()[name](spark, FOLDER))
             assert "SortMergeJoin" in text and "Broadcast" not in text
             # Texts are extracted after the join: only payloads travel.
-            assert text.index("parseJson") < text.index("SortMergeJoin")
+            assert text.index("from_json") < text.index("SortMergeJoin")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+NARROW = ("word_count", "sentence_count", "content_length", "regex_find", "pii_mask", "pii_redact", "guard_word_count",
+          "guard_regex", "policy_chain", "payload_build", "json_candidates", "prompt_decorate_string")
+
+
+@pytest.mark.parametrize("name", NARROW)
+def test_narrow_queries_move_no_rows(spark, name):
+    text = plan(entry.QUERIES[name](spark, "/root/testdata/sf0.1"))
+    assert "Exchange" not in text and "n_chars" not in text
