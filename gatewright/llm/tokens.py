@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from gatewright.llm.common import ship
+from gatewright.session import stored
 
 ship(__name__)
 
@@ -87,7 +88,8 @@ def length_histogram(sizes: DataFrame) -> DataFrame:
     all rows share costs no more than others. Suffix sums are taken in blocks of
     lengths, and over the blocks. No rows give no rows.
     """
-    hist = sizes.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    # small, used twice, and made of all texts
+    hist = stored(sizes.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths")
     hist = hist.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)).withColumn(
         "tokens", F.col("n_docs") * F.col("n_tokens"))
     from_here = W.partitionBy("block").orderBy(F.desc("n_tokens"))
