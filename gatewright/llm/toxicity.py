@@ -137,8 +137,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, most_positive: int = MOST_POSITIV
     # an id may be in both samples: all text includes the positives
     rows = []
     for ids in (positive, unlabelled):
-        rows.append([r["slots"] for r in slot_rows(texts_of(docs, ids)).toArrow().to_pylist()])
-    return train(*[[np.array(r, np.int32) for r in some] for some in rows], prior or 0.0)
+        slots = slot_rows(texts_of(docs, ids)).toArrow().column("slots").combine_chunks()
+        ends = slots.offsets.to_numpy()[1:-1]
+        rows.append(np.split(slots.values.to_numpy(), ends) if len(slots) else [])
+    return train(*rows, prior or 0.0)
 
 
 def score(docs: DataFrame, model: tuple[dict[int, float], float]) -> DataFrame:
