@@ -248,8 +248,9 @@ def links(fps: DataFrame, parts: list[tuple[list[int], int]], radius: int = 2,
 
 def near_duplicates(docs: DataFrame, *, radius: int = 2, large: int = LARGE_BUCKET,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, th, fp, component_id)`` for every row: rows whose fingerprints are
-    linked by steps of at most ``radius`` bits share the smallest doc_id.
+    """``(doc_id, th, fp, root, component_id)`` for every row: rows whose fingerprints are
+    linked by steps of at most ``radius`` bits share the root, a fingerprint,
+    and the smallest doc_id.
 
     Equal fingerprints are one node, so copies cost nothing after the first
     aggregation. Rows without an id take part; a group of only such rows has a
@@ -264,8 +265,8 @@ def near_duplicates(docs: DataFrame, *, radius: int = 2, large: int = LARGE_BUCK
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "named")
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labels = named.join(smallest, "root").select("fp", "component_id")
-    return fps.join(labels, "fp").select("doc_id", "th", "fp", "component_id")
+    labels = named.join(smallest, "root").select("fp", "root", "component_id")
+    return fps.join(labels, "fp").select("doc_id", "th", "fp", "root", "component_id")
 
 
 def unsigned_hex(fp):
@@ -286,9 +287,9 @@ def keep_one(docs: DataFrame, *, radius: int = 2) -> DataFrame:
     compared and stay. All columns are kept as they are.
     """
     known = docs.where(F.col("doc_id").isNotNull())
-    rows = near_duplicates(known, radius=radius).groupBy("component_id", "doc_id", "th").agg(
+    rows = near_duplicates(known, radius=radius).groupBy("root", "doc_id", "th").agg(
         F.count("*").alias("n"))
-    keep = stored(rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "th", "n")).alias("k")).select(
+    keep = stored(rows.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("k")).select(
         F.col("k.doc_id").alias("__kept_id"), F.col("k.th").alias("__kept_text"), "k.n"), "kept")
 
     def matching(which):
@@ -298,5 +299,5 @@ def keep_one(docs: DataFrame, *, radius: int = 2) -> DataFrame:
     kept = matching(keep)
     if not keep.where("n > 1").isEmpty():
         kept = matching(keep.where("n = 1")).unionByName(
-            matching(keep.where("n > 1")).dropDuplicates(["doc_id"]))
+            matching(keep.where("n > 1")).dropDuplicates(["doc_id", "text"]))
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
