@@ -27,8 +27,8 @@ ship(__name__)
 
 LENGTH = 2048
 END = 0
-# Lengths are fitted in classes of so many tokens.
-GRAIN = 4
+# Lengths are fitted in so many classes at most.
+CLASSES = 512
 # Rows that are numbered together.
 CHUNK = 50_000
 
@@ -143,18 +143,21 @@ def _takes(stock: dict[int, int], members: list[int], down: bool):
     return [(n, stock[n]) for n in sorted(members, reverse=down) if stock.get(n)]
 
 
-def pack_histogram(histogram: dict[int, int], length: int = LENGTH, grain: int = GRAIN) -> list[tuple[tuple[int, ...], int]]:
+def pack_histogram(histogram: dict[int, int], length: int = LENGTH, classes: int = CLASSES) -> list[tuple[tuple[int, ...], int]]:
     """``(lengths, count)``: so many sequences hold documents of these lengths.
     Every document of the histogram is in exactly one."""
     stock = {int(n): int(c) for n, c in histogram.items() if c}
     done: list[tuple[tuple[int, ...], int]] = []
     if stock.get(length):
         done.append(((length,), stock.pop(length)))
+    grain = -(-length // classes)
     classes = length // grain
     members: dict[int, list[int]] = {}
     counts = np.zeros(classes + 1)
     for n, c in stock.items():
         k = -(-n // grain)
+        if k > classes:  # only where the grain doesn't divide the length
+            continue
         members.setdefault(k, []).append(n)
         counts[k] += c
     opened: list[tuple[tuple[int, ...], int]] = []
