@@ -176,3 +176,30 @@ def remove(docs: DataFrame, items: DataFrame, n: int = NGRAM, *, whole: bool = F
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(
             F.char_length("text").cast(kind)))
     return out.select(*docs.columns)
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i:i + 9])) AS g
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(g) AS n FROM grams),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes),
+hits AS (
+  SELECT doc_id, i, n, item_id
+  FROM (SELECT doc_id, i, n, w[i:i + n - 1] AS g FROM places) JOIN grams USING (g)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""

@@ -198,3 +198,68 @@ def filter_documents(docs: DataFrame, labels: DataFrame, *, stratum_col: str | N
     for r in RULES:
         over = over | F.coalesce(F.col(f"__share.{r}") > F.col(f"__max.{r}"), F.lit(False))
     return rows.join(cutoffs, "__stratum", "left").where(~(F.col("__failed") | over)).select(*docs.columns)
+
+
+def _over(side: str) -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {r} > {c!r} AND good = {side}) AS {r}_{i}_{side}"
+                     for r in RULES for i, c in enumerate(GRID))
+
+
+_SQL_TESTS = ", ".join(
+    f"{{'rule': '{r}', 'step': {i}, 'cutoff': CAST({c!r} AS DOUBLE), 'good_over': {r}_{i}_true, 'bad_over': {r}_{i}_false}}"
+    for r in RULES for i, c in enumerate(GRID))
+_SQL_RATE = RISK / len(RULES)
+
+OP10_SQL = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM twice) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+         coalesce(repeats.n, 0) AS n_repeat_words, len(regexp_extract_all(text, '!')) AS n_shouts
+  FROM t LEFT JOIN repeats USING (doc_id)),
+f AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+         n_symbols / CAST(greatest(n_words, 1) AS DOUBLE) AS symbol_share,
+         n_dup_lines / CAST(greatest(n_lines, 1) AS DOUBLE) AS dup_line_share,
+         n_repeat_words / CAST(greatest(n_words, 1) AS DOUBLE) AS repeat_share,
+         n_shouts / CAST(greatest(n_words, 1) AS DOUBLE) AS shout_share FROM m),
+known AS (
+  SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+counts AS (
+  SELECT stratum, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE NOT good) AS n_bad,
+         {_over('true')}, {_over('false')}
+  FROM f JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY stratum),
+tests AS (
+  SELECT stratum, n_good, n_bad, strata, unnest([{_SQL_TESTS}], recursive := true)
+  FROM (SELECT *, count(*) OVER () AS strata FROM counts)),
+tails AS (
+  SELECT *, CASE WHEN good_over < n_good * {_SQL_RATE!r} THEN
+    list_sum(list_transform(range(0, good_over + 1), lambda i: exp(
+      lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({_SQL_RATE!r})
+      + (n_good - i) * ln(1 - {_SQL_RATE!r})))) ELSE 1 END AS tail FROM tests),
+passed AS (
+  SELECT *, bad_over / greatest(n_bad, 1) - good_over / greatest(n_good, 1) AS gain FROM tails
+  QUALIFY sum(CAST(tail > {DELTA!r} / ({len(RULES)} * strata) AS INTEGER)) OVER (
+    PARTITION BY stratum, rule ORDER BY step) = 0),
+best AS (
+  SELECT stratum, rule, max({{'gain': gain, 'cutoff': cutoff}}).cutoff AS cutoff
+  FROM passed WHERE gain > 0 GROUP BY stratum, rule),
+cuts AS (
+  SELECT stratum, {', '.join(f"max(cutoff) FILTER (WHERE rule = '{r}') AS max_{r}" for r in RULES)}
+  FROM best GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR {' OR '.join(f'coalesce({r} > max_{r}, false)' for r in RULES)}) AS kept
+FROM f LEFT JOIN cuts USING (stratum)
+"""

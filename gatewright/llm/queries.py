@@ -1,9 +1,9 @@
 """Registered queries of this package, and their SQL where SQL can express them."""
 
-from gatewright.llm.decontaminate import op3_decontaminate
+from gatewright.llm.decontaminate import OP3_SQL, op3_decontaminate
 from gatewright.llm.packing import op6_packing
 from gatewright.llm.quality_model import op9_quality_model
-from gatewright.llm.quality_rules import op10_quality_rules
+from gatewright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from gatewright.llm.simhash import op7_simhash
 from gatewright.llm.suffix_array import op5_suffix_array
 from gatewright.llm.tokens import op4_token_counts
@@ -27,4 +27,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filter": OP1_SQL,
     "op2_warc_index": OP2_SQL,
+    "op3_decontaminate": OP3_SQL,
+    "op10_quality_rules": OP10_SQL,
 }
