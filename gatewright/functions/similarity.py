@@ -32,6 +32,9 @@ def cosine(left: Column, right: Column) -> Column:
 # be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Most numbers that rules may have in all: 128 MiB that travel with the function.
+MOST_RULE_NUMBERS = 1 << 24
+
 # Scores this close to a threshold are computed again, term by term.
 NEAR = 1e-6
 
@@ -66,6 +69,11 @@ def cosine_to_rules(
     if table.ndim != 2 or table.shape[0] == 0:
         raise ValueError("rules must be a non-empty list of equally long vectors")
     count, width = table.shape
+    if table.size > MOST_RULE_NUMBERS:
+        raise ValueError(
+            f"{count} rules of {width} numbers are more than travel with a function "
+            f"({MOST_RULE_NUMBERS} numbers): split the policy into several steps of a chain"
+        )
     unit_rules = _unit_rows(table)
 
     @F.arrow_udf("array<double>")

@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Accumulator, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +32,36 @@ Embed = Callable[[str], Sequence[float]]
 
 
 def _attempt(call: Callable, argument):
-    """A failing call gives None: no answer."""
+    """``(answer, error)``: a failing call gives no answer, and says why."""
     if argument is None:
-        return None
+        return None, None
     try:
-        return call(argument)
-    except Exception:
-        return None
+        return call(argument), None
+    except Exception as error:
+        return None, f"{type(error).__name__}: {error}"
 
 
-def _answers(call: Callable, arguments: Sequence, threads: int) -> list:
+def _answers(call: Callable, arguments: Sequence, threads: int = 1, batched: bool = False) -> tuple[list, list]:
+    """Answers and errors of the arguments, in their order.
+
+    A ``batched`` call gets all arguments of an Arrow batch that are not null, as
+    a list, and returns as many answers; if it fails, all of them fail.
+    """
+    if batched:
+        asked = [i for i, argument in enumerate(arguments) if argument is not None]
+        found, error = _attempt(call, [arguments[i] for i in asked]) if asked else ([], None)
+        if error is None and len(found) != len(asked):
+            error = f"{len(found)} answers to {len(asked)} calls"
+        answers, errors = [None] * len(arguments), [None] * len(arguments)
+        for k, i in enumerate(asked):
+            answers[i], errors[i] = (found[k], None) if error is None else (None, error)
+        return answers, errors
     if threads <= 1:
-        return [_attempt(call, argument) for argument in arguments]
-    with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(lambda argument: _attempt(call, argument), arguments))
+        pairs = [_attempt(call, argument) for argument in arguments]
+    else:
+        with ThreadPoolExecutor(threads) as pool:
+            pairs = list(pool.map(lambda argument: _attempt(call, argument), arguments))
+    return [p[0] for p in pairs], [p[1] for p in pairs]
 
 
 def _spread(df: DataFrame, tasks: int | None) -> DataFrame:
@@ -56,20 +72,26 @@ def _spread(df: DataFrame, tasks: int | None) -> DataFrame:
 # --- embeddings -----------------------------------------------------------------
 
 
-def embed(provider: Embed, threads: int = 1) -> Callable[[Column], Column]:
+def embed(provider: Embed, threads: int = 1, *, batched: bool = False,
+          failures: Accumulator | None = None) -> Callable[[Column], Column]:
     """Column function around an embedding provider.
 
-    A text the provider fails on gets no vector, which the policy reports as an
-    error of that message.
+    With ``batched`` the provider gets lists of texts and returns a vector for
+    each. A text it fails on gets no vector, which the policy reports as an
+    error of that message; ``failures``, an accumulator, counts them (tasks that
+    are run again count again).
     """
 
     def vector(text):
-        return [float(x) for x in provider(text)]
+        found = provider(text)
+        return [[float(x) for x in v] for v in found] if batched else [float(x) for x in found]
 
     @F.pandas_udf("array<double>")
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            found = _answers(vector, [text or None for text in texts], threads)
+            found, errors = _answers(vector, [text or None for text in texts], threads, batched)
+            if failures is not None:
+                failures.add(sum(error is not None for error in errors))
             yield pd.Series(found, dtype=object)
 
     return vectors
@@ -111,25 +133,31 @@ def call_fields(policy: BedrockVerdict | Moderation) -> dict[str, str]:
 
 def ask(messages: DataFrame, policy: BedrockVerdict | Moderation,
         call_out: Callable[[dict], str | None], keys: Sequence[str] = ("msg_id", "direction"),
-        *, tasks: int | None = None, threads: int = 1) -> DataFrame:
-    """Answers ``(keys, response)`` of a scorer for a policy.
+        *, tasks: int | None = None, threads: int = 1, batched: bool = False) -> DataFrame:
+    """Answers ``(keys, response, error)`` of a scorer for a policy.
 
-    ``call_out`` gets the call fields with the body as ``request_payload``.
+    ``call_out`` gets the call fields with the body as ``request_payload``; with
+    ``batched`` it gets lists of them and returns a list.
     """
     fields = call_fields(policy)
 
-    def call(body: str) -> str | None:
+    def call(body):
+        if batched:
+            return call_out([{**fields, "request_payload": one} for one in body])
         return call_out({**fields, "request_payload": body})
 
-    return score(requests(messages, policy, keys), call, keys, tasks=tasks, threads=threads)
+    bodies = requests(messages, policy, keys)
+    return score(bodies, call, keys, tasks=tasks, threads=threads, batched=batched)
 
 
 def score(bodies: DataFrame, call_out: Callable[[str], str | None],
           keys: Sequence[str] = ("msg_id",), *, tasks: int | None = None,
-          threads: int = 1) -> DataFrame:
-    """Answers of a scorer: ``(keys, request)`` to ``(keys, response)``.
+          threads: int = 1, batched: bool = False) -> DataFrame:
+    """Answers of a scorer: ``(keys, request)`` to ``(keys, response, error)``.
 
-    A call that fails gives a NULL response, the sign of an unreachable scorer.
+    A call that fails gives a NULL response, the sign of an unreachable scorer,
+    and says why in ``error``: a mistake in the function shows there even where
+    the policy passes on errors.
     """
     bodies = bodies.select(*keys, "request")
     names = list(keys)
@@ -139,10 +167,13 @@ def score(bodies: DataFrame, call_out: Callable[[str], str | None],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = _answers(call_out, batch["request"].tolist(), threads)
-            yield batch[names].assign(response=pd.Series(found, index=batch.index, dtype=object))
+            found, errors = _answers(call_out, batch["request"].tolist(), threads, batched)
+            yield batch[names].assign(
+                response=pd.Series(found, index=batch.index, dtype=object),
+                error=pd.Series(errors, index=batch.index, dtype=object),
+            )
 
-    return _spread(bodies, tasks).mapInPandas(run, f"{schema}, response string")
+    return _spread(bodies, tasks).mapInPandas(run, f"{schema}, response string, error string")
 
 
 # --- URL checks ---------------------------------------------------------------------
@@ -166,29 +197,33 @@ def url_status(messages: DataFrame, policy: UrlCheck, check: Callable,
 
 def check_urls(messages: DataFrame, text: Column, head: Callable[[str], int | None],
                *, tasks: int | None = None, threads: int = 1) -> DataFrame:
-    """Status table by HTTP: ``(url, status)``."""
+    """Status table by HTTP: ``(url, status, error)``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = _answers(head, batch["url"].tolist(), threads)
-            yield batch.assign(status=pd.array(found, dtype="Int32"))
+            found, errors = _answers(head, batch["url"].tolist(), threads)
+            yield batch.assign(status=pd.array(found, dtype="Int32"),
+                               error=pd.Series(errors, index=batch.index, dtype=object))
 
-    return _spread(distinct_urls(messages, text), tasks).mapInPandas(run, "url string, status int")
+    return _spread(distinct_urls(messages, text), tasks).mapInPandas(
+        run, "url string, status int, error string")
 
 
 def check_hosts(messages: DataFrame, text: Column,
                 resolve: Callable[[str], tuple[int, int] | None],
                 *, tasks: int | None = None, threads: int = 1) -> DataFrame:
-    """Status table by DNS: ``(host, status, answers)``; ``resolve`` gives the
-    status and the number of answers."""
+    """Status table by DNS: ``(host, status, answers, error)``; ``resolve`` gives
+    the status and the number of answers."""
     hosts = distinct_urls(messages, text).select(url_host(F.col("url")).alias("host")).distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [x or (None, None) for x in _answers(resolve, batch["host"].tolist(), threads)]
+            found, errors = _answers(resolve, batch["host"].tolist(), threads)
+            found = [x or (None, None) for x in found]
             yield batch.assign(
                 status=pd.array([x[0] for x in found], dtype="Int32"),
                 answers=pd.array([x[1] for x in found], dtype="Int32"),
+                error=pd.Series(errors, index=batch.index, dtype=object),
             )
 
-    return _spread(hosts, tasks).mapInPandas(run, "host string, status int, answers int")
+    return _spread(hosts, tasks).mapInPandas(run, "host string, status int, answers int, error string")

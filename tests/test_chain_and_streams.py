@@ -163,6 +163,42 @@ def test_scorer_is_not_asked_about_responses_that_are_only_restored(messages):
     assert providers.call_fields(policy)["request_url"].endswith("/guardrail/i/version/1/apply")
 
 
+def test_batched_providers_and_visible_errors(spark, messages):
+    def call_out(calls):
+        bodies = [json.loads(c["request_payload"])["text"] for c in calls]
+        if "down" in bodies:
+            raise ConnectionError("no route")
+        return [json.dumps({"categoriesAnalysis": [{"category": "Hate", "severity": len(b)}]}) for b in bodies]
+
+    policy = g.Moderation("M", "$.t", hate_category=3)
+    fine = providers.ask(messages({"t": "ok"}, {"t": "hate"}, ""), policy, call_out, batched=True)
+    assert [r.error for r in fine.collect()] == [None] * 3
+    got = outcomes(g.apply(messages({"t": "ok"}, {"t": "hate"}), policy, g.Inputs(responses=fine)))
+    assert [o.passed for o in got] == [True, False]
+    down = providers.ask(messages({"t": "down"}), policy, call_out, batched=True).first()
+    assert down.response is None and down.error == "ConnectionError: no route"
+    short = providers.score(spark.createDataFrame([(1, "a"), (2, "b")], "msg_id int, request string").coalesce(1),
+                            lambda bodies: bodies[:1], batched=True)
+    assert {r.error for r in short.collect()} == {"1 answers to 2 calls"}
+    failures = spark.sparkContext.accumulator(0)
+    texts = spark.createDataFrame([("a",), ("bad",), (None,), ("",)], "t string").coalesce(1)
+
+    def vector(text):
+        return [float("nan" if text == "x" else len(text))] if text != "bad" else 1 / 0
+
+    found = texts.select(providers.embed(vector, failures=failures)("t").alias("v")).collect()
+    assert [r.v for r in found] == [[1.0], None, None, None] and failures.value == 1
+    found = texts.select(providers.embed(lambda ts: [[len(t)] for t in ts], batched=True)("t").alias("v")).collect()
+    assert [r.v for r in found] == [[1.0], [3.0], None, None]
+
+
+def test_rules_that_are_too_many_to_travel_are_refused(monkeypatch):
+    from gatewright.functions import similarity
+    monkeypatch.setattr(similarity, "MOST_RULE_NUMBERS", 5)
+    with pytest.raises(ValueError):
+        similarity.cosine_to_rules(F.col("v"), [[1.0, 2.0], [1.0, 2.0], [3.0, 4.0]])
+
+
 def test_url_status_of_a_policy(messages):
     policy = g.UrlCheck("U", "$.t", timeout=50)
     df = messages({"t": "http://ok/50"}, {"t": "http://no/"}, {"x": "http://elsewhere"})
@@ -367,4 +403,4 @@ def test_functions_travel_by_value(tmp_path):
             "assert 'gatewright' not in sys.modules")
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                           env={}, timeout=120)
-    assert done.stdout.strip() == "[1, None]", done.stderr
+    assert done.stdout.strip() == "([1, None], [None, None])", done.stderr
