@@ -90,17 +90,22 @@ def base_failed(q: str = "__q") -> Column:
         100 * F.col(f"{q}.n_repeat_words") > MAX_REPEAT_PERCENT * F.col(f"{q}.n_words"))
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              stratum_col: str | None = "lang") -> DataFrame:
-    """``doc_id``, ``stratum``, the base measures, ``base_failed`` and the shares of every row.
+    """``doc_id``, ``th`` (the text's hash), ``stratum``, the base measures, ``base_failed`` and the shares of every row.
 
     Null texts have no words; nothing is cut, whatever the length; repeated
     rows stay repeated; a null stratum is the stratum of the empty name.
     """
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    rows = docs.select(F.col(id_col).alias("doc_id"), stratum.alias("stratum"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), _text_hash(F.col(text_col)).alias("th"),
+                       stratum.alias("stratum"), F.col(text_col).alias("text"))
     q = measured(rows)
-    return q.select("doc_id", "stratum", *[f"__q.{c}" for c in (
+    return q.select("doc_id", "th", "stratum", *[f"__q.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         base_failed().alias("base_failed"), *[c.alias(name) for name, c in shares().items()])
 
@@ -185,19 +190,17 @@ def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, *, stratum_col: str | None = "lang", **options) -> DataFrame:
-    """``docs`` without the rows that the rules reject, all columns as they are."""
+    """``docs`` without the rows that the rules reject, all columns as they are.
+
+    Texts are measured once; what is rejected leaves by id and text hash, so that
+    rows that share an id are judged each by its own text.
+    """
     measures = stored(features(docs, stratum_col=stratum_col), "quality-features")
     cutoffs = stored(certified_cutoffs(measures, labels, **options), "cutoffs")
-    stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    rows = measured(docs.withColumn("__stratum", stratum))
-    rows = rows.select(*docs.columns, "__stratum", base_failed().alias("__failed"), F.struct(
-        *[c.alias(name) for name, c in shares().items()]).alias("__share"))
-    cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), F.struct(
-        *[F.col(f"max_{r}").alias(r) for r in RULES]).alias("__max"))
-    over = F.lit(False)
-    for r in RULES:
-        over = over | F.coalesce(F.col(f"__share.{r}") > F.col(f"__max.{r}"), F.lit(False))
-    return rows.join(cutoffs, "__stratum", "left").where(~(F.col("__failed") | over)).select(*docs.columns)
+    out = measures.join(cutoffs, "stratum", "left").where(F.col("base_failed") | rejected())
+    out = stored(out.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct(), "rejected")
+    at = docs["doc_id"].eqNullSafe(out["__id"]) & (_text_hash(docs["text"]) == out["__th"])
+    return docs.join(out, at, "left_anti")
 
 
 def _over(side: str) -> str:
