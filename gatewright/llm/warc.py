@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,7 +26,7 @@ ship(__name__)
 
 # Payloads from this size on are stored once.
 SHARED_BYTES = 1000
-RECORDS_PER_FILE = 1000
+RECORDS_PER_FILE = 10_000
 RUN_ROWS = 100_000
 EPOCH = "2020-01-01 00:00:00"
 ENTRY = ("urlkey string, ts string, page_id long, payload_bytes long, payload_digest string, record_type string, "
@@ -87,20 +88,22 @@ def write_archives(pages: DataFrame, folder: str) -> None:
         "maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
 
 
-def parse_archive(data: bytes):
-    """``(offset, headers, payload)`` of the records; offsets count the unpacked bytes."""
+def parse_archive(stream):
+    """``(offset, headers, payload)`` of the records of an unpacked stream, one
+    record in memory at a time; offsets count the stream's bytes."""
     at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
-        start = end + 4
-        past = start + int(headers["Content-Length"])
-        block = data[start:past]
+    while line := stream.readline():
+        size, headers = len(line), {}
+        while line := stream.readline().rstrip(b"\r\n"):
+            name, _, value = line.decode("utf-8").partition(": ")
+            headers[name] = value
+            size += len(line) + 2
+        block = stream.read(int(headers["Content-Length"]))
+        stream.read(4)
         head, _, payload = block.partition(b"\r\n\r\n")
-        headers["HTTP"] = dict(line.split(": ", 1) for line in head.decode("utf-8").split("\r\n")[1:])
+        headers["HTTP"] = dict(one.split(": ", 1) for one in head.decode("utf-8").split("\r\n")[1:])
         yield at, headers, payload
-        at = past + 4
+        at += size + 2 + len(block) + 4
 
 
 def _page(name: str | None):
@@ -145,7 +148,7 @@ def capture_runs(spark, folder: str, run_rows: int = RUN_ROWS) -> DataFrame:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 name = path.rsplit("/", 1)[-1]
-                for at, headers, payload in parse_archive(gzip.decompress(content.as_py())):
+                for at, headers, payload in parse_archive(gzip.open(io.BytesIO(content.as_py()))):
                     held.append(entry(name, at, headers, payload))
                     if len(held) == run_rows:
                         yield run()

@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+import io
 
 import duckdb
 import pytest
@@ -100,11 +102,10 @@ def test_round_trip(captures, tmp_path):
                      holder if revisit else None))
     assert sorted(map(repr, (tuple(r)[2:7] for r in got))) == sorted(map(repr, want))
     # every entry points at its record, and responses hold the payload
-    import gzip
     by_id = {r[0]: (r[2] or "").encode() for r in rows}
     for r in got:
         data = gzip.decompress((tmp_path / "warc" / r.file).read_bytes())
-        at, headers, payload = next(warc.parse_archive(data[r["at"]:]))
+        at, headers, payload = next(warc.parse_archive(io.BytesIO(data[r["at"]:])))
         assert headers["WARC-Record-ID"] == f"<urn:page:{r.page_id}>" and data[r["at"]:].startswith(b"WARC/1.1\r\n")
         assert payload == (by_id[r.page_id] if r.record_type == "response" else b"")
 
