@@ -32,8 +32,8 @@ def words_of(text: Column) -> Column:
 def item_ngrams(items: DataFrame, n: int = NGRAM, *, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``(ngram, len, items)``: each n-gram once, with the ids of the items that
     hold it, as text. An item of fewer words, but not none, is one n-gram."""
-    rows = items.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("w"))
-    rows = once(rows, words=F.col("w")).where(F.size("words") > 0)
+    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    rows = once(rows, words=words_of(F.col("text"))).where(F.size("words") > 0)
     windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - (n - 1), F.lit(1))),
                           lambda i: F.slice("words", i, n))
     each = rows.select("item", F.explode(windows).alias("ngram"))
@@ -75,8 +75,7 @@ def scan(docs: DataFrame, ngrams: DataFrame, n: int = NGRAM, *, id_col: str = "d
     bits = bitmap(ngrams)
     short = [r["len"] for r in ngrams.where(F.col("len") < n).select("len").distinct().collect()]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = once(rows.select("doc_id", text_key(F.col("text")).alias("th"), words_of(F.col("text")).alias("w")),
-                words=F.col("w"))
+    rows = once(rows.withColumn("th", text_key(F.col("text"))), words=words_of(F.col("text"))).drop("text")
     found = []
     for size in (n, *sorted(short)):  # at most n lengths
         last = F.size("words") - (size - 1)

@@ -13,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
     node of the component. Nodes without edges don't appear.
 
     Each round hooks every node to its smallest neighbour, follows the hooks to
-    their ends and replaces nodes by these ends; edges inside a star vanish. At
-    least half of the nodes that still have edges go in each round. A hub costs
+    their ends and replaces nodes by these ends; edges inside a star vanish. In
+    each round every node with a smaller neighbour is merged away. A hub costs
     one row for each of its edges: minima are partly aggregated before the
     shuffle, and labels join on a side that has one row for each node, so that
     AQE can split the other. Every round starts from written tables.

@@ -11,6 +11,7 @@ thresholds are dealt to the partitions where they cost least.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -130,8 +131,7 @@ def part_key(group: list[int], fp="fp"):
 
 def ball(size: int, radius: int) -> int:
     """Keys within ``radius`` bits of a key of ``size`` bits."""
-    return sum(len(list(itertools.combinations(range(size), r))) if r < 3 else 0
-               for r in range(radius + 1)) if radius >= 0 else 0
+    return sum(math.comb(size, r) for r in range(radius + 1))
 
 
 def pair_estimates(pairs: float, agree: np.ndarray, radius: int) -> list[float]:
