@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gatewright.llm.common import ship
+from gatewright.llm.common import BLANKS, ship
 from gatewright.session import stored
 
 ship(__name__)
@@ -130,6 +130,15 @@ def _key(data: bytes) -> bytes:
     return hashlib.sha256(data).digest()[:16]
 
 
+def _place_lists(places: list[np.ndarray]) -> pa.Array:
+    """A list of structs for each array of rows ``(h, lo, hi, off)``."""
+    flat = np.concatenate([np.zeros((0, 4), np.int64), *places])
+    ends = np.cumsum([0, *map(len, places)])
+    fields = [pa.array(flat[:, 0]), *(pa.array(flat[:, i].astype(np.int32)) for i in (1, 2, 3))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+        fields, ["h", "lo", "hi", "off"]))
+
+
 def anchored(docs: DataFrame, width: int, gram: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -142,13 +151,12 @@ def anchored(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 keys.append(_key(data))
                 sizes.append(len(data))
                 shas.append(hashlib.sha256(data).hexdigest())
-                places.append([dict(zip(("h", "lo", "hi", "off"), p)) for p in place])
+                places.append(np.array(place, np.int64).reshape(-1, 4))
                 ties.append([{"x": x, "starts": s} for x, s in window_rows(data, tied, width)])
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
                 pa.array(shas, pa.string()),
-                pa.array(places, pa.list_(pa.struct([("h", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()),
-                                                     ("off", pa.int32())]))),
+                _place_lists(places),
                 pa.array(ties, pa.list_(pa.struct([("x", pa.binary()), ("starts", pa.list_(pa.int32()))])))],
                 ["doc_id", "tkey", "n_bytes", "sha", "places", "ties"])
 
@@ -397,9 +405,17 @@ def cut_text(data: bytes, spans) -> str:
     return b"".join(kept).decode("utf-8", "surrogatepass")
 
 
-def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int = LARGE_ANCHOR) -> DataFrame:
+def long_spans(data: bytes, spans, words: int, size: int):
+    """The spans of at least ``size`` bytes, or with at least ``words`` words in them."""
+    return [s for s in spans if s["past"] - s["first"] >= size or len(data[s["first"]:s["past"]].split()) >= words]
+
+
+def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int = LARGE_ANCHOR,
+           words: int = 0, size: int = WIDTH) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``, all rows and columns kept.
 
+    With ``words``, a repeated stretch of at least ``width`` bytes is cut only if
+    it has so many words or ``size`` bytes.
     ``n_chars``, where there is one, follows the text. Rows that lose all their
     text stay, with an empty one; null texts stay null.
     """
@@ -409,10 +425,14 @@ def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if s is None else cut_text(_bytes(t), s) for t, s in zip(texts, spans)], dtype=object)
+        return pd.Series([None if s is None else cut_text(_bytes(t), long_spans(_bytes(t), s, words, size))
+                          for t, s in zip(texts, spans)], dtype=object)
 
     rows = docs.join(known, text_key(docs["text"]) == F.col("__k"), "left")
     whole = F.col("__whole") & (F.octet_length("text") >= width)
+    if words:
+        whole &= (F.octet_length("text") >= size) | (
+            F.size(F.filter(F.split("text", BLANKS), lambda w: w != "")) >= words)
     # only the texts that lose a part go through Python
     partly = F.col("__spans").isNotNull() & ~F.col("__whole")
     rows = rows.withColumn("__cut", cut(F.when(partly, F.col("text")), F.when(partly, F.col("__spans"))))
