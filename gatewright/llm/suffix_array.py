@@ -191,7 +191,7 @@ def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width:
     for i, (b, text) in enumerate(zip(begin.tolist(), texts)):
         columns[i, b:b + len(text)] = np.frombuffer(text, np.uint8)
     columns = np.ascontiguousarray(columns.T)
-    group = group.astype(np.uint16)  # sorted, and stays so in every order
+    group = group.astype(np.int32)  # sorted, and stays so in every order
     order = np.arange(m)
     prefix = np.zeros(m, np.int16)  # common with the neighbour before
     repeated = np.zeros((left + 1, m), bool)

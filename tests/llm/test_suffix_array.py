@@ -98,3 +98,13 @@ def test_cuts_keep_whole_characters():
     data = "aéb".encode()
     assert sa.cut_text(data, [{"first": 2, "past": 3}]) == "aéb"
     assert sa.cut_text(data, [{"first": 0, "past": 3}]) == "b"
+
+
+def test_column_rounds_keep_more_collections_than_16_bits_apart():
+    """Numbers 65,536 apart are different collections."""
+    group = np.array([0, 1, 65_536])
+    rows, _, _ = sa.column_rounds(group, np.zeros(3, np.int64), [b"abcdefgh", b"x" * 8, b"abcdefgh"], 8)
+    assert len(rows) == 0
+    rows, first, last = sa.column_rounds(
+        np.array([0, 65_535, 65_536, 65_536]), np.zeros(4, np.int64), [b"abcdefgh", b"x" * 8, b"hgfedcba", b"hgfedcba"], 8)
+    assert list(zip(rows.tolist(), first.tolist(), last.tolist())) == [(2, 0, 0), (3, 0, 0)]
