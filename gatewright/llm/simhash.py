@@ -208,12 +208,19 @@ def links(fps: DataFrame, parts: list[tuple[list[int], int]], radius: int = 2,
     size, so what meets in such a bucket is linked exactly in another way: two
     fingerprints are within 2 bits if and only if some point is within 1 bit of
     both; each names the 65 points around it, and every point links those that
-    name it to the smallest. That costs 65 rows for each fingerprint.
+    name it to the smallest. That costs 65 rows for each fingerprint. At any
+    other radius the members of a large bucket are compared pair by pair, which
+    is as exact but costs the square of its size.
     """
+    if radius != 2:
+        # points serve for 2 bits only; at others all that meet are compared, in buckets of any size
+        large = None
     index = [F.struct(F.lit(i).alias("part"), part_key(g).alias("key")) for i, (g, _) in enumerate(parts)]
     index = fps.select("fp", F.explode(F.array(*index)).alias("k")).select("fp", "k.part", "k.key")
-    sizes = index.groupBy("part", "key").count()
-    hot = stored(sizes.where(F.col("count") > large).select("part", "key"), "large-buckets")
+    hot = None
+    if large is not None:
+        sizes = index.groupBy("part", "key").count()
+        hot = stored(sizes.where(F.col("count") > large).select("part", "key"), "large-buckets")
     if all(e == 0 for _, e in parts):
         probes = index
     else:
@@ -223,7 +230,7 @@ def links(fps: DataFrame, parts: list[tuple[list[int], int]], radius: int = 2,
             one = fps.select("fp", F.lit(i).alias("part"), F.explode(keys).alias("key"))
             probes = one if probes is None else probes.unionByName(one)
     a, b = probes.alias("a"), index.alias("b")
-    some_hot = not hot.isEmpty()
+    some_hot = hot is not None and not hot.isEmpty()
     if some_hot:
         a = probes.join(hot, ["part", "key"], "left_anti").alias("a")
         b = index.join(hot, ["part", "key"], "left_anti").alias("b")
@@ -233,8 +240,6 @@ def links(fps: DataFrame, parts: list[tuple[list[int], int]], radius: int = 2,
                    & order & near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     if not some_hot:
         return pairs
-    if radius != 2:
-        raise ValueError("large buckets are linked over midpoints, which needs radius 2")
     crowd = probes.join(hot, ["part", "key"], "left_semi").select("fp").unionByName(
         index.join(hot, ["part", "key"], "left_semi").select("fp")).distinct()
     points = F.lit(np.array(_flips(list(range(BITS)), 1), np.int64))

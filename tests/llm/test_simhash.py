@@ -109,3 +109,14 @@ def test_components_of_paths_and_stars(spark):
     got = simhash.components(spark.createDataFrame(path, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == (
         {i: 0 for i in range(201)} | {1000 + k: 1000 for k in range(300)} | {5000: 5000})
+
+
+@pytest.mark.parametrize("radius,parts", [(1, [(range(0, 32), 0), (range(32, 64), 0)]),
+                                          (3, [(range(0, 32), 1), (range(32, 64), 1)])])
+def test_large_buckets_at_other_radii(spark, rng, radius, parts):
+    prints = clustered(rng, 120)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "fp long")
+    found = simhash.links(df, [(list(g), e) for g, e in parts], radius, large=3)
+    got = {r.node: r.root for r in simhash.components(found).collect()}
+    assert {s: got.get(s, s) for s in signed} == classes(dict(zip(signed, prints)), radius)
