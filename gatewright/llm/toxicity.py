@@ -27,7 +27,6 @@ ship(__name__)
 FOLDS, HELD_OUT = 3, 1
 MOST_POSITIVE = 4_000
 MOST_UNLABELLED = 8_000
-MOST_FOR_PRIOR = 200_000
 CUTOFF = 0.7
 SLOTS = 1 << 20
 BEGINNINGS = (4, 5, 6)
@@ -127,10 +126,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, most_positive: int = MOST_POSITIV
         most_unlabelled: int = MOST_UNLABELLED) -> tuple[dict[int, float], float]:
     """The model from the rows outside the held-out fold. Null labels are left
     out, an id is toxic if any of its labels is. The prior is the toxic share of
-    at most ``MOST_FOR_PRIOR`` labelled ids."""
+    all labelled ids."""
     known = labels.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("toxic").isNotNull()).groupBy(
         "doc_id").agg(F.max("toxic").alias("toxic"))
-    prior = sampled(known, MOST_FOR_PRIOR).agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"]
+    prior = known.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"]
     positive = sampled(known.where("toxic = 1").select("doc_id"), most_positive).withColumn("positive", F.lit(True))
     others = docs.where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id")
     unlabelled = sampled(others, most_unlabelled).withColumn("positive", F.lit(False))

@@ -116,3 +116,13 @@ def test_samples_are_bounded_and_stable(spark):
     assert len(first) == 40 and first == {r.doc_id for r in sampling.sampled(ids.repartition(7), 40).collect()}
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "doc_id long, text string")
     assert sampling.texts_of(docs, ids.where("doc_id < 3")).count() == 2
+
+
+def test_prior_counts_every_label(marked, monkeypatch):
+    docs, labels = marked
+    seen = []
+    monkeypatch.setattr(tx, "MOST_FOR_PRIOR", 10, raising=False)
+    monkeypatch.setattr(tx, "train", lambda positive, unlabelled, prior: seen.append(prior) or ({}, 0.0))
+    tx.fit(docs, labels)
+    known = [int(r.toxic) for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % tx.FOLDS != tx.HELD_OUT]
+    assert seen == [pytest.approx(sum(known) / len(known))]
