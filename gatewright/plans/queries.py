@@ -706,7 +706,8 @@ def stream_policy_parity(spark, folder):
 def stream_pii_restore(spark, folder):
     """Masked requests and the answers that repeat them, as two streams.
 
-    An answer comes five seconds after its request.
+    An answer comes five seconds after its request. The key is the row's place in
+    its file, as ids may be null or repeat.
     """
     schema = table(spark, folder, "documents").schema
     policy = masking(ONE_PII)
@@ -714,19 +715,18 @@ def stream_pii_restore(spark, folder):
     def arrivals(delay: int) -> DataFrame:
         read = file_stream(spark, f"{folder}/documents.parquet", schema)
         return read.select(
-            F.col("doc_id").alias("msg_id"),
+            F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("msg_id"),
+            "doc_id",
             F.lit("REQUEST").alias("direction"),
             F.timestamp_seconds(F.lit(1_700_000_000 + delay)).alias("ts"),
             chat_request(F.col("text")).alias("payload"),
         )
 
     answers = g.apply(arrivals(5), policy, flow="REQUEST").select(
-        "msg_id", F.lit("RESPONSE").alias("direction"), "ts", F.col("payload_out").alias("payload")
+        "msg_id", "doc_id", F.lit("RESPONSE").alias("direction"), "ts", F.col("payload_out").alias("payload")
     )
     restored = restore_stream(arrivals(0), answers, policy, within="1 minute")
-    done = restored.select(
-        F.col("msg_id").alias("doc_id"), last_text(F.col("payload_out")).alias("restored")
-    )
+    done = restored.select("doc_id", last_text(F.col("payload_out")).alias("restored"))
     return _drained(spark, done, "stream-restore")
 
 
