@@ -1,7 +1,9 @@
 """Registered queries of this package, and their SQL where SQL can express them."""
 
 from gatewright.llm.decontaminate import OP3_SQL, op3_decontaminate
+from gatewright.llm.lexical import OP12_SQL, op12_lexical_search
 from gatewright.llm.packing import op6_packing
+from gatewright.llm.pair_index import op11_pair_index
 from gatewright.llm.quality_model import op9_quality_model
 from gatewright.llm.quality_rules import OP10_SQL, op10_quality_rules
 from gatewright.llm.simhash import op7_simhash
@@ -22,6 +24,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
+    "op11_pair_index": op11_pair_index,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLES = {
@@ -29,4 +33,5 @@ ORACLES = {
     "op2_warc_index": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
     "op10_quality_rules": OP10_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
