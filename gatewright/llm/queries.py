@@ -1,5 +1,6 @@
 """Registered queries of this package, and their SQL where SQL can express them."""
 
+from gatewright.llm.alignment import op13_alignment
 from gatewright.llm.decontaminate import OP3_SQL, op3_decontaminate
 from gatewright.llm.lexical import OP12_SQL, op12_lexical_search
 from gatewright.llm.packing import op6_packing
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_pair_index": op11_pair_index,
     "op12_lexical_search": op12_lexical_search,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES = {
