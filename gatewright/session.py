@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -72,11 +73,30 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
+@contextlib.contextmanager
+def work_scope():
+    """Notes the work folders that are made inside, so that ``release`` can free them."""
+    made: list[str] = []
+    first = len(_folders)
+    try:
+        yield made
+    finally:
+        made += _folders[first:]
+
+
+def release(spark: SparkSession, folders: list[str], but: DataFrame | None = None) -> None:
+    """Delete work folders that no frame needs any more, except those ``but`` reads."""
+    kept = set() if but is None else {os.path.basename(os.path.dirname(f)) for f in but.inputFiles()}
+    for folder in folders:
+        if folder in _folders and os.path.basename(folder) not in kept:
+            _folders.remove(folder)
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete the work folders made so far; frames read from them are gone then."""
-    while _folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    release(spark, list(_folders))
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
