@@ -185,13 +185,19 @@ def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, *, stratum_col: str | None = "lang", **options) -> DataFrame:
-    """``docs`` without the rows that the rules reject, all columns as they are."""
-    measures = stored(features(docs, stratum_col=stratum_col), "quality-features")
-    cutoffs = stored(certified_cutoffs(measures, labels, **options), "cutoffs")
+    """``docs`` without the rows that the rules reject, all columns as they are.
+
+    The measures are written once, beside the rows they belong to, since both
+    the cutoffs and the verdicts are made of them. Nulls, long texts, repeated
+    rows and empty tables as in ``features``.
+    """
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
     rows = measured(docs.withColumn("__stratum", stratum))
-    rows = rows.select(*docs.columns, "__stratum", base_failed().alias("__failed"), F.struct(
-        *[c.alias(name) for name, c in shares().items()]).alias("__share"))
+    rows = stored(rows.select(*docs.columns, "__stratum", base_failed().alias("__failed"), F.struct(
+        *[c.alias(name) for name, c in shares().items()]).alias("__share")), "quality-measured")
+    measures = rows.select("doc_id", F.col("__stratum").alias("stratum"), F.col("__failed").alias("base_failed"),
+                           "__share.*")
+    cutoffs = stored(certified_cutoffs(measures, labels, **options), "cutoffs")
     cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), F.struct(
         *[F.col(f"max_{r}").alias(r) for r in RULES]).alias("__max"))
     over = F.lit(False)
