@@ -20,6 +20,11 @@ writes it whole in each round: total length times longest document, on one
 machine. Here suffixes of different columns never need comparing, so a round
 touches one column only; the sequential external files are the sorted shuffle
 files, of which each task reads its buckets once.
+
+Windows may also be passages: as many words as asked for, from the start of a
+word to the end of one, up to ``width`` bytes (longer ones hold a window of
+``width`` bytes). They are measured one by one, so that neighbouring shorter
+repeats never add up to a passage.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gatewright.llm.common import BLANKS, ship
-from gatewright.session import stored
+from gatewright.llm.common import WORD, ship
+from gatewright.session import release, stored, work_scope
 
 ship(__name__)
 
@@ -46,6 +51,9 @@ GRAM = 128
 LARGE_ANCHOR = 16_384
 ROUND_DOCUMENTS = 16_384
 
+# Words of a passage, and the grams by which its windows meet: fifty words have 99 bytes at least.
+PASSAGE_WORDS, PASSAGE_GRAM = 50, 32
+
 PLACE = "h:bigint,lo:int,hi:int,off:int"
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("past", T.IntegerType())]))
 
@@ -109,12 +117,81 @@ def anchors_of(data: bytes, width: int, gram: int):
     return places, tied
 
 
-def window_rows(data: bytes, starts, width: int) -> list[tuple[bytes, list[int]]]:
-    """The windows' 128-bit hashes, each with its starts in this text."""
-    found: dict[bytes, list[int]] = {}
-    for s in starts:
-        found.setdefault(xxhash.xxh3_128_digest(data[s:s + width]), []).append(s)
-    return list(found.items())
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def passages(data: bytes, words: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all runs of so many words, of up to ``most`` bytes."""
+    ink = np.pad(~BLANK[np.frombuffer(data, np.uint8)], 1)
+    starts, ends = np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(ink[:-1] & ~ink[1:])
+    starts, ends = starts[:max(0, len(starts) - words + 1)], ends[words - 1:]
+    fit = ends - starts <= most
+    return starts[fit], ends[fit]
+
+
+def passage_anchors(data: bytes, words: int, most: int, gram: int):
+    """As ``anchors_of``, for passages; lo and hi are starts of words. A passage
+    has at least two bytes less one for each word, which ``gram`` must not exceed."""
+    starts, ends = passages(data, words, most)
+    if not len(starts):
+        return [], []
+    h = gram_hashes(np.frombuffer(data, np.uint8), gram)
+    least = _range_min(h, starts, ends - gram)
+    bounds = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(starts)]
+    places, tied = [], []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        lo, hi = int(starts[a]), int(starts[b - 1])
+        at = np.flatnonzero(h[lo:ends[b - 1] - gram + 1] == least[a]) + lo
+        key = int(least[a:a + 1].view(np.int64)[0])
+        if len(at) == 1:
+            places.append((key, lo, hi, int(at[0]) - lo))
+            continue
+        first = np.searchsorted(at, starts[a:b])
+        alone = np.searchsorted(at, ends[a:b] - gram, "right") - first == 1
+        tied += starts[a:b][~alone].tolist()
+        for k in np.unique(first[alone]).tolist():
+            mine = starts[a:b][alone & (first == k)]
+            cuts = np.flatnonzero(np.diff(np.searchsorted(starts, mine)) > 1) + 1  # tied ones may lie between
+            for run in np.split(mine, cuts):
+                places.append((key, int(run[0]), int(run[-1]), int(at[k] - run[0])))
+    return places, tied
+
+
+def window_rows(data: bytes, starts, ends) -> list[tuple[bytes, int, list[int]]]:
+    """The windows' 128-bit hashes and sizes, each with its starts in this text."""
+    found: dict[tuple[bytes, int], list[int]] = {}
+    for s, e in zip(starts, ends):
+        found.setdefault((xxhash.xxh3_128_digest(data[s:e]), e - s), []).append(s)
+    return [(x, size, at) for (x, size), at in found.items()]
+
+
+class Windows:
+    """What is compared: every string of ``width`` bytes, or with ``words`` every passage of so many words."""
+
+    def __init__(self, width: int, gram: int, words: int = 0):
+        self.width, self.gram, self.words = width, gram, words
+
+    def anchors(self, data: bytes):
+        if self.words:
+            return passage_anchors(data, self.words, self.width, self.gram)
+        return anchors_of(data, self.width, self.gram)
+
+    def ends(self, data: bytes, starts: list[int]) -> list[int]:
+        if not self.words:
+            return [s + self.width for s in starts]
+        every, ends = passages(data, self.words, self.width)
+        return ends[np.searchsorted(every, starts)].tolist()
+
+    def needed(self, begin: np.ndarray, texts: list[bytes], columns: int) -> np.ndarray | None:
+        """How long the common prefix has to be for each column and text, for passages."""
+        if not self.words:
+            return None
+        need = np.full((columns, len(texts)), np.iinfo(np.int16).max, np.int16)
+        for i, (b, text) in enumerate(zip(begin.tolist(), texts)):
+            starts, ends = passages(text, self.words, self.width)
+            need[b + starts, i] = ends - starts
+        return need
 
 
 def _bytes(text: str | None) -> bytes:
@@ -139,7 +216,7 @@ def _place_lists(places: list[np.ndarray]) -> pa.Array:
         fields, ["h", "lo", "hi", "off"]))
 
 
-def anchored(docs: DataFrame, width: int, gram: int) -> DataFrame:
+def anchored(docs: DataFrame, windows: Windows) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def each(batches):
@@ -147,21 +224,23 @@ def anchored(docs: DataFrame, width: int, gram: int) -> DataFrame:
             keys, sizes, shas, places, ties = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 data = _bytes(text)
-                place, tied = anchors_of(data, width, gram)
+                place, tied = windows.anchors(data)
                 keys.append(_key(data))
                 sizes.append(len(data))
                 shas.append(hashlib.sha256(data).hexdigest())
                 places.append(np.array(place, np.int64).reshape(-1, 4))
-                ties.append([{"x": x, "starts": s} for x, s in window_rows(data, tied, width)])
+                ties.append([{"x": x, "size": n, "starts": s}
+                             for x, n, s in window_rows(data, tied, windows.ends(data, tied))])
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
                 pa.array(shas, pa.string()),
                 _place_lists(places),
-                pa.array(ties, pa.list_(pa.struct([("x", pa.binary()), ("starts", pa.list_(pa.int32()))])))],
+                pa.array(ties, pa.list_(pa.struct([
+                    ("x", pa.binary()), ("size", pa.int32()), ("starts", pa.list_(pa.int32()))])))],
                 ["doc_id", "tkey", "n_bytes", "sha", "places", "ties"])
 
     return docs.mapInArrow(each, f"doc_id {kind}, tkey binary, n_bytes long, sha string, "
-                                 f"places array<struct<{PLACE}>>, ties array<struct<x:binary,starts:array<int>>>")
+                                 f"places array<struct<{PLACE}>>, ties array<struct<x:binary,size:int,starts:array<int>>>")
 
 
 def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -178,10 +257,10 @@ def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     return out
 
 
-def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width: int):
+def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width: int, windows: Windows | None = None):
     """``(row, first, last)`` runs of repeated window starts, counted from each
     text's begin. ``group`` numbers the collections, not decreasing; texts are
-    lined up at ``off``."""
+    lined up at ``off``. For passages, ``(row, first, past)``: the stretches that they cover."""
     m = len(texts)
     size = np.array([len(t) for t in texts])
     left = int(off.max())
@@ -195,6 +274,7 @@ def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width:
     order = np.arange(m)
     prefix = np.zeros(m, np.int16)  # common with the neighbour before
     repeated = np.zeros((left + 1, m), bool)
+    need = None if windows is None else windows.needed(begin, texts, left + 1)
     for j in range(len(columns) - 1, -1, -1):
         symbol = columns[j][order].astype(np.uint16)
         symbol[(begin[order] > j) | (end[order] <= j)] = 256  # no symbol here
@@ -207,24 +287,35 @@ def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width:
             longer[same] = _range_min(prefix, perm[same - 1] + 1, perm[same]) + 1
         prefix, order = longer, order[perm]
         if j <= left:
-            hit = prefix >= width
-            hit[:-1] |= prefix[1:] >= width
+            least = width if need is None else need[j][order]
+            hit = prefix >= least
+            hit[:-1] |= prefix[1:] >= (width if need is None else least[:-1])
             repeated[j, order] = hit
+    if need is not None:
+        rows, at = np.nonzero(repeated.T)
+        past = at + need[at, rows]
+        # a stretch ends where the next passage starts behind all before it
+        reach = np.maximum.accumulate(past + rows * np.int64(1 << 32))
+        begins = np.flatnonzero(np.concatenate(([len(rows) > 0], (at + rows * np.int64(1 << 32))[1:] > reach[:-1])))
+        lasts = np.append(begins[1:], len(rows)) - 1 if len(begins) else begins
+        rows, first, past = rows[begins], at[begins], (reach - rows * np.int64(1 << 32))[lasts]
+        return rows, first - begin[rows], past - begin[rows]
     edges = np.diff(np.pad(repeated.T.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     rows, first = np.nonzero(edges == 1)
     last = np.nonzero(edges == -1)[1] - 1
     return rows, first - begin[rows], last - begin[rows]
 
 
-def contexts(texts: DataFrame, width: int) -> DataFrame:
+def contexts(texts: DataFrame, windows: Windows) -> DataFrame:
     """The text around each place that is not large: all its windows."""
 
     def each(batches):
         for batch in batches:
             for tkey, text, places in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "places"))):
                 data = _bytes(text)
-                rows = [(p["h"], p["off"], data[p["lo"]:p["hi"] + width], tkey, p["lo"])
-                        for p in places if not p["large"]]
+                small = [p for p in places if p["h"] is not None and not p["large"]]
+                ends = windows.ends(data, [p["hi"] for p in small])
+                rows = [(p["h"], p["off"], data[p["lo"]:e], tkey, p["lo"]) for p, e in zip(small, ends)]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), (
@@ -234,18 +325,19 @@ def contexts(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(each, "h long, off int, context binary, tkey binary, lo int")
 
 
-def lined_up(rows: DataFrame, width: int, documents: int = ROUND_DOCUMENTS) -> DataFrame:
+def lined_up(rows: DataFrame, windows: Windows, documents: int = ROUND_DOCUMENTS) -> DataFrame:
     """``(tkey, first, past)`` of repeated windows; ``rows`` come sorted by anchor."""
 
     def rounds(table):
         h = table.column("h").to_numpy()
         group = np.concatenate(([0], np.cumsum(h[1:] != h[:-1])))
-        row, first, last = column_rounds(
-            group, table.column("off").to_numpy(), table.column("context").to_pylist(), width)
+        row, first, past = column_rounds(
+            group, table.column("off").to_numpy(), table.column("context").to_pylist(), windows.width, windows)
+        past = past if windows.words else past + windows.width
         lo = table.column("lo").to_numpy()[row]
         return pa.RecordBatch.from_arrays(
             [table.column("tkey").take(pa.array(row)).combine_chunks(), pa.array((lo + first).astype(np.int32)),
-             pa.array((lo + last + width).astype(np.int32))], ["tkey", "first", "past"])
+             pa.array((lo + past).astype(np.int32))], ["tkey", "first", "past"])
 
     def each(batches):
         held, count = [], 0
@@ -267,27 +359,30 @@ def lined_up(rows: DataFrame, width: int, documents: int = ROUND_DOCUMENTS) -> D
     return rows.mapInArrow(each, "tkey binary, first int, past int")
 
 
-def _large_windows(texts: DataFrame, width: int) -> DataFrame:
-    """``(x, tkey, starts)``: hashes of the windows at large anchors."""
+def _large_windows(texts: DataFrame, windows: Windows) -> DataFrame:
+    """``(x, tkey, size, starts)``: hashes of the windows at large anchors."""
 
     def each(batches):
         for batch in batches:
             for tkey, text, places in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "places"))):
                 data = _bytes(text)
                 starts = [s for p in places if p["large"] for s in range(p["lo"], p["hi"] + 1)]
-                if rows := window_rows(data, starts, width):
+                if windows.words and starts:
+                    starts = np.intersect1d(starts, passages(data, windows.words, windows.width)[0]).tolist()
+                if rows := window_rows(data, starts, windows.ends(data, starts)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x for x, _ in rows], pa.binary()), pa.array([tkey] * len(rows), pa.binary()),
-                         pa.array([s for _, s in rows], pa.list_(pa.int32()))], ["x", "tkey", "starts"])
+                        [pa.array([x for x, _, _ in rows], pa.binary()), pa.array([tkey] * len(rows), pa.binary()),
+                         pa.array([n for _, n, _ in rows], pa.int32()),
+                         pa.array([s for _, _, s in rows], pa.list_(pa.int32()))], ["x", "tkey", "size", "starts"])
 
-    return texts.mapInArrow(each, "x binary, tkey binary, starts array<int>")
+    return texts.mapInArrow(each, "x binary, tkey binary, size int, starts array<int>")
 
 
-def _repeated_windows(rows: DataFrame, width: int) -> DataFrame:
+def _repeated_windows(rows: DataFrame) -> DataFrame:
     """``(tkey, first, past)`` of the windows whose hash has two starts or more."""
     often = rows.groupBy("x").agg(F.sum(F.size("starts")).alias("n")).where("n > 1").select("x")
-    return rows.join(often, "x").select("tkey", F.explode("starts").alias("first")).select(
-        "tkey", "first", (F.col("first") + width).alias("past"))
+    return rows.join(often, "x").select("tkey", "size", F.explode("starts").alias("first")).select(
+        "tkey", "first", (F.col("first") + F.col("size")).alias("past"))
 
 
 class Repeats:
@@ -296,11 +391,14 @@ class Repeats:
     ``rows``: ``doc_id, tkey, n_bytes, sha`` of every row; ``copies``: ``tkey, n``;
     ``texts``: the distinct texts that may hold repeats; ``spans``: ``tkey, spans``,
     the repeated stretches, merged. A text that occurs twice repeats as a whole.
+    With ``words``, passages of so many words take the place of strings of ``width`` bytes.
     """
 
-    def __init__(self, docs: DataFrame, width: int = WIDTH, gram: int = GRAM, large: int = LARGE_ANCHOR):
+    def __init__(self, docs: DataFrame, width: int = WIDTH, gram: int = GRAM, large: int = LARGE_ANCHOR,
+                 words: int = 0):
+        windows = Windows(width, gram, words)
         docs = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-        found = stored(anchored(docs, width, gram), "anchors")
+        found = stored(anchored(docs, windows), "anchors")
         self.rows = found.select("doc_id", "tkey", "n_bytes", "sha")
         once = stored(found.groupBy("tkey").agg(
             F.count("*").alias("n"), F.min("doc_id").alias("rep"), F.first("places").alias("places"),
@@ -318,13 +416,12 @@ class Repeats:
         texts = docs.withColumn("tkey", text_key(F.col("text"))).join(
             wanted, (F.col("tkey") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
         self.texts = stored(texts.select("tkey", "text", "places"), "shared-texts")
-        spans = lined_up(contexts(self.texts, width).repartition("h").sortWithinPartitions("h"), width)
-        spans = spans.unionByName(_repeated_windows(ties.select("x", "tkey", "starts"), width))
+        spans = lined_up(contexts(self.texts, windows).repartition("h").sortWithinPartitions("h"), windows)
+        spans = spans.unionByName(_repeated_windows(ties.select("x", "tkey", "size", "starts")))
         if not often.where(F.col("m") > large).isEmpty():
-            spans = spans.unionByName(_repeated_windows(stored(_large_windows(self.texts, width), "windows"), width))
+            spans = spans.unionByName(_repeated_windows(stored(_large_windows(self.texts, windows), "windows")))
         merged = spans.groupBy("tkey").agg(F.sort_array(F.collect_set(F.struct("first", "past"))).alias("spans"))
         self.spans = stored(merged.select("tkey", merge_spans("spans").alias("spans")), "spans")
-        self.width = width
 
 
 def merge_spans(spans: str):
@@ -354,7 +451,10 @@ def repeat_report(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, larg
     ``width`` never change; repeated rows are copies of each other and go
     whole; ids play no part in what repeats. Other columns are not looked at.
     """
-    found = Repeats(docs, width, gram, large)
+    return _report(Repeats(docs, width, gram, large), width).drop("tkey")
+
+
+def _report(found: Repeats, width: int) -> DataFrame:
 
     def digest(batches):
         for batch in batches:
@@ -380,14 +480,48 @@ def repeat_report(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, larg
     rows = found.rows.join(known, "tkey", "left")
     whole = (F.col("n") > 1) & (F.col("n_bytes") >= width)
     return rows.select(
-        "doc_id", "n_bytes",
+        "tkey", "doc_id", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("spans", F.lit(0).cast("long"))).alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
 
 
+def passage_spans(docs: DataFrame, words: int, width: int, gram: int, large: int) -> DataFrame:
+    """``(tkey, spans)`` of the texts with repeated passages; all else that was made for it is freed."""
+    with work_scope() as made:
+        spans = Repeats(docs, width, gram, large, words).spans
+    release(docs.sparkSession, made, but=spans)
+    return spans
+
+
+def joined(spans: DataFrame, more: DataFrame) -> DataFrame:
+    both = spans.unionByName(more).groupBy("tkey").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return both.select("tkey", merge_spans("spans").alias("spans"))
+
+
+def word_count(text: str):
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD))
+
+
+def passage_report(docs: DataFrame, *, words: int = PASSAGE_WORDS, width: int = WIDTH, gram: int = GRAM,
+                   word_gram: int = PASSAGE_GRAM, large: int = LARGE_ANCHOR) -> DataFrame:
+    """``repeat_report`` with ``n_with_passages``: the bytes that ``remove`` cuts
+    with ``words``, those in repeated passages of so many words as well. Rows as there."""
+    more = passage_spans(docs, words, width, word_gram, large)
+    found = Repeats(docs, width, gram, large)
+    size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["past"] - s["first"]).cast("long"))
+    part = joined(found.spans, more).select("tkey", size.alias("part"))
+    long = docs.select(text_key(F.col("text")).alias("tkey"), word_count("text").alias("words")).where(
+        F.col("words") >= words)
+    whole = long.groupBy("tkey").agg(F.count("*").alias("copies")).where("copies > 1").select("tkey", "copies")
+    sizes = part.join(whole, "tkey", "full")
+    rows = _report(found, width).join(sizes, "tkey", "left").drop("tkey")
+    return rows.withColumn("n_with_passages", F.when(F.col("copies") > 1, F.col("n_bytes")).otherwise(
+        F.greatest("n_removed", F.coalesce("part", F.lit(0).cast("long"))))).drop("part", "copies")
+
+
 def op5_suffix_array(spark, sf_dir: str) -> DataFrame:
-    return repeat_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return passage_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def cut_text(data: bytes, spans) -> str:
@@ -405,34 +539,34 @@ def cut_text(data: bytes, spans) -> str:
     return b"".join(kept).decode("utf-8", "surrogatepass")
 
 
-def long_spans(data: bytes, spans, words: int, size: int):
-    """The spans of at least ``size`` bytes, or with at least ``words`` words in them."""
-    return [s for s in spans if s["past"] - s["first"] >= size or len(data[s["first"]:s["past"]].split()) >= words]
-
-
 def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int = LARGE_ANCHOR,
-           words: int = 0, size: int = WIDTH) -> DataFrame:
-    """``docs`` with repeated strings cut out of ``text``, all rows and columns kept.
+           words: int = 0, word_gram: int = PASSAGE_GRAM) -> DataFrame:
+    """``docs`` with repeated strings of ``width`` bytes cut out of ``text``, all rows and columns kept.
 
-    With ``words``, a repeated stretch of at least ``width`` bytes is cut only if
-    it has so many words or ``size`` bytes.
-    ``n_chars``, where there is one, follows the text. Rows that lose all their
-    text stay, with an empty one; null texts stay null.
+    With ``words``, repeated passages of so many words go as well, whatever their
+    bytes. ``n_chars``, where there is one, follows the text. Rows that lose all
+    their text stay, with an empty one; null texts stay null; repeated rows are
+    copies and lose all. An empty table stays one.
     """
-    found = Repeats(docs, width, gram, large)
-    known = found.copies.join(found.spans, "tkey", "left").where("n > 1 or spans is not null").select(
-        F.col("tkey").alias("__k"), (F.col("n") > 1).alias("__whole"), F.col("spans").alias("__spans"))
+    with work_scope() as made:
+        more = passage_spans(docs, words, width, word_gram, large) if words else None
+        found = Repeats(docs, width, gram, large)
+        spans = found.spans
+        if words:
+            spans = joined(spans, more)
+        known = found.copies.join(spans, "tkey", "left").where("n > 1 or spans is not null")
+        known = stored(known.select(F.col("tkey").alias("__k"), (F.col("n") > 1).alias("__whole"),
+                                    F.col("spans").alias("__spans")), "cuts")
+    release(docs.sparkSession, made, but=known)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if s is None else cut_text(_bytes(t), long_spans(_bytes(t), s, words, size))
-                          for t, s in zip(texts, spans)], dtype=object)
+        return pd.Series([None if s is None else cut_text(_bytes(t), s) for t, s in zip(texts, spans)], dtype=object)
 
     rows = docs.join(known, text_key(docs["text"]) == F.col("__k"), "left")
     whole = F.col("__whole") & (F.octet_length("text") >= width)
     if words:
-        whole &= (F.octet_length("text") >= size) | (
-            F.size(F.filter(F.split("text", BLANKS), lambda w: w != "")) >= words)
+        whole = F.col("__whole") & ((F.octet_length("text") >= width) | (word_count("text") >= words))
     # only the texts that lose a part go through Python
     partly = F.col("__spans").isNotNull() & ~F.col("__whole")
     rows = rows.withColumn("__cut", cut(F.when(partly, F.col("text")), F.when(partly, F.col("__spans"))))

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -108,3 +109,35 @@ def test_column_rounds_keep_more_collections_than_16_bits_apart():
     rows, first, last = sa.column_rounds(
         np.array([0, 65_535, 65_536, 65_536]), np.zeros(4, np.int64), [b"abcdefgh", b"x" * 8, b"hgfedcba", b"hgfedcba"], 8)
     assert list(zip(rows.tolist(), first.tolist(), last.tolist())) == [(2, 0, 0), (3, 0, 0)]
+
+
+def passage_brute(texts, words, most, width):
+    """Bytes of the passages and strings of ``width`` bytes that stand at more than one place."""
+    data = [(t or "").encode() for t in texts]
+
+    def windows(d):
+        places = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)]
+        yield from ((a[0], b[1]) for a, b in zip(places, places[words - 1:]) if b[1] - a[0] <= most)
+        yield from ((i, i + width) for i in range(len(d) - width + 1))
+
+    seen = Counter(d[a:b] for d in data for a, b in set(windows(d)))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for a, b in windows(d):
+            if seen[d[a:b]] > 1:
+                gone[a:b] = b"\1" * (b - a)
+        whole = data.count(d) > 1 and (len(d) >= width or len(d.split()) >= words)
+        out.append(len(d) if whole else sum(gone))
+    return out
+
+
+@pytest.mark.parametrize("words, most, gram, large", [(4, 60, 4, 10 ** 6), (6, 40, 8, 2), (3, 25, 2, 10 ** 6)])
+def test_passages_equal_brute_force(documents, rng, words, most, gram, large):
+    vocabulary = ["a", "bb", "ccc", "é", "dddd", "eeeee"]
+    base = [rng.choices(vocabulary, k=rng.randint(2, 14)) for _ in range(25)]
+    texts = ["".join(w + rng.choice([" ", " ", "\n", "  "]) for _ in range(rng.randint(0, 4)) for w in rng.choice(base))
+             for _ in range(150)]
+    texts += [*texts[:5], None, "", "a " * 60, "a " * 61, " a bb", "ccc"]
+    got = sa.passage_report(documents(texts), words=words, width=most, gram=16, word_gram=gram, large=large)
+    assert [r.n_with_passages for r in got.orderBy("doc_id").collect()] == passage_brute(texts, words, most, most)
