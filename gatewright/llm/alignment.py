@@ -33,8 +33,9 @@ from gatewright.session import stored
 ship(__name__)
 
 PIECES = "piece_bpe_32k"
-# Documents and characters of a block, and characters of the segments that a worker remembers.
-BLOCK_DOCUMENTS, BLOCK_CHARACTERS, REMEMBERED = 4_096, 1 << 23, 1 << 23
+# Documents and characters of a block, characters of the segments that a worker
+# remembers, and of those that it learns at a time.
+BLOCK_DOCUMENTS, BLOCK_CHARACTERS, REMEMBERED, LEARNED = 4_096, 1 << 22, 1 << 22, 1 << 17
 # A container of so many documents or more is a plain bitmap, of fewer a list of 16-bit numbers.
 BITMAP_BYTES = BLOCK_DOCUMENTS // 8
 DENSE = BITMAP_BYTES // 2
@@ -75,6 +76,14 @@ class Aligner:
         self.size = 0
         self.groups: list[str] = []
         self.n_a, self.n_b, self.n_groups, self.n_links, self.keys = (np.zeros(0, np.int64) for _ in range(5))
+        self.new: dict[str, list[np.ndarray]] = {name: [] for name in ("n_a", "n_b", "n_groups", "n_links", "keys")}
+
+    def settle(self) -> None:
+        """Put what was learned behind what was known."""
+        for name, parts in self.new.items():
+            if parts:
+                setattr(self, name, np.concatenate((getattr(self, name), *parts)))
+                parts.clear()
 
     def segments(self, text: str) -> list[str]:
         """Segments of blank + text, each from its blank on."""
@@ -84,24 +93,43 @@ class Aligner:
         parts = self.cut.split(line)
         return [parts[0], *[" " + p for p in parts[1:]]]
 
+    def tokens(self, segments: list[str]) -> list[tuple | None]:
+        """``(A ids, B ids, n_a, n_b)`` of stretches of the segments; None for a
+        segment whose bytes differ. Segments that may stand side by side are cut
+        as one text; where bytes differ, each half is."""
+        text = "".join(segments)
+        line = text.encode("utf-8", "surrogatepass")
+        a = np.array(self.a.encode_ordinary(text), np.int64)
+        b = np.array(self.b.encode(text[1:]), np.int64)
+        if (b"".join(map(self.b_bytes.__getitem__, b.tolist())) == line
+                and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == line):
+            ends = np.cumsum([len(s.encode("utf-8", "surrogatepass")) for s in segments])
+            end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+            at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+            if (end_a[at_a] == ends).all() and (end_b[at_b] == ends).all():
+                return [(a, b, np.diff(at_a + 1, prepend=0), np.diff(at_b + 1, prepend=0))]
+        if len(segments) == 1:
+            return [None]
+        half = len(segments) // 2
+        return self.tokens(segments[:half]) + self.tokens(segments[half:])
+
     def learn(self, segments: list[str]) -> None:
         if not segments:
             return
-        a_ids = self.a.encode_ordinary_batch(segments, num_threads=1)
-        b_ids = self.b.encode([s[1:] for s in segments], num_threads=1)
-        good = np.ones(len(segments), bool)
-        for i, (s, x, y) in enumerate(zip(segments, a_ids, b_ids)):
-            line = s.encode("utf-8", "surrogatepass")
-            good[i] = (b"".join([self.b_bytes[t] for t in y]) == line
-                       and b"".join([self.a_bytes[t] for t in x]) == line)
+        side = [len(s) > 1 and not s[1].isspace() and not s[-1].isspace() for s in segments]
+        alone = [s for s, x in zip(segments, side) if not x]
+        segments = [s for s, x in zip(segments, side) if x]
+        parts = self.tokens(segments) if segments else []
+        segments += alone
+        for s in alone:
+            parts += self.tokens([s])
+        good = np.concatenate([[False] if p is None else np.ones(len(p[2]), bool) for p in parts])
         kept = np.flatnonzero(good).tolist()
         n_a, n_b, n_groups, n_links = (np.full(len(segments), x) for x in (-1, 0, 0, 0))
         groups = [""] * len(segments)
         keys = np.zeros(0, np.int64)
         if kept:
-            n_a[good], n_b[good] = [len(a_ids[i]) for i in kept], [len(b_ids[i]) for i in kept]
-            a = np.concatenate([np.array(a_ids[i], np.int64) for i in kept])
-            b = np.concatenate([np.array(b_ids[i], np.int64) for i in kept])
+            a, b, n_a[good], n_b[good] = (np.concatenate([p[i] for p in parts if p is not None]) for i in range(4))
             # the segments one behind the other; ends of segments are ends of both
             end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
             ends = np.union1d(end_a, end_b)
@@ -126,8 +154,8 @@ class Aligner:
             self.number[s] = len(self.number)
             self.size += len(s)
         self.groups += groups
-        for name, new in (("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups), ("n_links", n_links), ("keys", keys)):
-            setattr(self, name, np.concatenate((getattr(self, name), new)))
+        for name, found in (("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups), ("n_links", n_links), ("keys", keys)):
+            self.new[name].append(found)
 
     def align(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """The numbers of every text's segments; None for a text without tokens."""
@@ -138,7 +166,14 @@ class Aligner:
         for c in cut:
             if c:
                 fresh.update(c)
-        self.learn(sorted(fresh - self.number.keys()))
+        fresh = sorted(fresh - self.number.keys())
+        at = size = 0
+        for past, s in enumerate(fresh, 1):
+            size += len(s)
+            if size >= LEARNED or past == len(fresh):
+                self.learn(fresh[at:past])
+                at, size = past, 0
+        self.settle()
         out: list[np.ndarray | None] = []
         for c in cut:
             found = None if c is None else np.fromiter(map(self.number.__getitem__, c), np.int64, len(c))
