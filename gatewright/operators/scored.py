@@ -9,6 +9,7 @@ from gatewright import outcome as oc
 from gatewright.config import BedrockVerdict, Moderation
 from gatewright.functions import patterns, scorers
 from gatewright.operators.stage import Inputs, Stage, Verdict
+from gatewright.session import stored
 
 
 def _response(stage: Stage, inputs: Inputs) -> Column:
@@ -16,12 +17,15 @@ def _response(stage: Stage, inputs: Inputs) -> Column:
 
     A response table is joined on the message keys (and the direction, if it
     has one). Spark picks the strategy by size. Of several answers to one
-    message the smallest text counts; any answer comes before none.
+    message the smallest text counts; any answer comes before none. A function
+    is asked about messages that are written first, and its answers are written
+    too: one run of what comes before, and one call for each message.
     """
     if inputs.responses is None:
         return F.col(inputs.response)
-    responses = inputs.responses
-    if callable(responses):
+    responses, asking = inputs.responses, callable(inputs.responses)
+    if asking:
+        stage.cut()
         asked = stage.df if stage.active is None else stage.df.where(stage.active)
         columns = dict.fromkeys((*inputs.keys, stage.direction))
         responses = responses(asked.select(*columns, stage.text.alias("payload")))
@@ -30,6 +34,8 @@ def _response(stage: Stage, inputs: Inputs) -> Column:
         keys.append(stage.direction)
     name = stage.reserve()
     answers = responses.groupBy(*keys).agg(F.min(inputs.response).alias(name))
+    if asking:
+        answers = stored(answers, "answers")
     stage.df = stage.df.join(answers, keys, "left")
     return F.col(name)
 
@@ -132,9 +138,9 @@ def follow_verdict(stage: Stage, policy: BedrockVerdict, inputs: Inputs) -> Verd
             F.size(mapping) > 0, stage.with_text(policy.json_path, masked)
         ).otherwise(text)
         if inputs.mapping in stage.df.columns:
-            stored = F.col(inputs.mapping)
+            carried = F.col(inputs.mapping)
             payload = F.when(
-                restoring & (F.size(stored) > 0), patterns.restore(text, stored)
+                restoring & (F.size(carried) > 0), patterns.restore(text, carried)
             ).otherwise(payload)
         mapping = F.when(F.size(mapping) > 0, mapping)
     return Verdict(outcome, payload, mapping)

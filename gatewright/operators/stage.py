@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gatewright import outcome as oc
 from gatewright.config import Policy
 from gatewright.functions import jsonpath, text
+from gatewright.session import stored
 
 PREFIX = "_gw"
 
@@ -30,7 +31,9 @@ class Inputs:
 
     ``status`` and ``responses`` are tables. ``responses`` may also be a function
     that gets the messages the policy asks about, ``(keys, direction, payload)``
-    with the payload as changed so far, and returns the answers. ``keys`` names
+    with the payload as changed so far, and returns the answers; it runs while
+    the plan is built, and its answers are written, so that each message is asked
+    about once, whatever is done with the result. ``keys`` names
     the columns that identify a message; ``embedding``, ``response`` and ``mapping`` name columns
     that the messages carry already.
     """
@@ -61,6 +64,8 @@ class Stage:
     active: Column | None = None
     # The only flow the policy is attached to, if there is one.
     flow: str | None = None
+    # Working columns that later steps read.
+    live: tuple[str, ...] = ()
     _count: int = 0
     _known: dict = field(default_factory=dict)
 
@@ -70,10 +75,27 @@ class Stage:
         self._count += 1
         return name
 
-    def keep(self, value: Column) -> Column:
+    def named(self, value: Column) -> str:
         name = self.reserve()
         self.df = self.df.withColumn(name, value)
-        return F.col(name)
+        return name
+
+    def keep(self, value: Column) -> Column:
+        return F.col(self.named(value))
+
+    def cut(self) -> None:
+        """Write the messages as they are by now, and go on from what was written.
+
+        For steps that read them twice: the scorer and the join of its answers.
+        Without it everything before such a step, earlier calls included, would
+        run once for each of them. Texts and documents that were taken from the
+        payload are left out and taken again where they are needed.
+        """
+        if self.df.isStreaming:
+            raise ValueError("a scorer is asked per micro-batch on a stream: see streaming.asking")
+        passing = {f"{PREFIX}{i}" for i in range(self._count)} - {*self.live, self.payload}
+        self.df = stored(self.df.drop(*passing), "asking")
+        self._known.clear()
 
     def gate(self, value: Column) -> Column:
         """Leave out costly work for messages that are out of the chain."""

@@ -28,20 +28,22 @@ def run_chain(
     Policies run in the order given. A message stops at its first violation;
     policies behind a rewriting one see the changed payload. Everything is one
     narrow pass unless a step has to join a side table. A step may bring its own
-    side inputs; the others use ``inputs``.
+    side inputs; the others use ``inputs``. A step that asks a function starts
+    from messages written by then, so that the plan grows by one join for it.
     """
     configure(messages.sparkSession)
     inputs = inputs or Inputs()
     stage = Stage(messages, detailed=detailed)
-    state = stage.keep(F.struct(oc.passed().alias("outcome"), F.lit("").alias("by")))
+    state = stage.named(F.struct(oc.passed().alias("outcome"), F.lit("").alias("by")))
     payload = stage.payload
-    mapping = F.col(inputs.mapping) if inputs.mapping in messages.columns else None
+    mapping = inputs.mapping if inputs.mapping in messages.columns else None
     for step in steps:
         policy, flow, own = (*step, None)[:3] if isinstance(step, tuple) else (step, None, None)
         attached = attach(stage, policy, flow)
-        going = state["outcome"]["passed"]
+        going = F.col(state)["outcome"]["passed"]
         active = going if attached is None else going & attached
         stage.active, stage.payload = active, payload
+        stage.live = (state, payload, *([mapping] if mapping else []))
         verdict = evaluate(stage, policy, own or inputs)
         decided = F.struct(verdict.outcome.alias("outcome"), F.lit(policy.name).alias("by"))
         if verdict.payload is not None:
@@ -50,14 +52,14 @@ def run_chain(
             stage.df = stage.df.withColumn(
                 payload, F.when(active, verdict.payload).otherwise(stage.text)
             )
-        state = stage.keep(F.when(active, decided).otherwise(state))
+        state = stage.named(F.when(active, decided).otherwise(F.col(state)))
         if verdict.mapping is not None:
             new = F.when(active, verdict.mapping)
-            mapping = stage.keep(new if mapping is None else F.coalesce(new, mapping))
-    outcome = state["outcome"]
-    sealed = {"outcome": outcome, "halted_by": F.when(~outcome["passed"], state["by"])}
+            mapping = stage.named(new if mapping is None else F.coalesce(new, F.col(mapping)))
+    outcome = F.col(state)["outcome"]
+    sealed = {"outcome": outcome, "halted_by": F.when(~outcome["passed"], F.col(state)["by"])}
     if mapping is not None:
-        sealed[inputs.mapping] = stage.keep(mapping)
+        sealed[inputs.mapping] = stage.keep(F.col(mapping))
     stage.seal(**sealed)
     stage.df = stage.df.withColumn("payload_out", F.col(payload))
     return stage.result()

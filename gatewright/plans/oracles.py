@@ -367,7 +367,14 @@ SELECT doc_id, {verdict('fine', 'AZURE_CONTENT_SAFETY_CONTENT_MODERATION', None)
         "OR user_id % 5 = 0 AS valid FROM events) SELECT event_id, {0} FROM checked".format(
             verdict("valid", "JSON_SCHEMA_GUARDRAIL", None)),
     "bedrock_restore": f"""WITH {BEDROCK}
-SELECT doc_id, content AS restored FROM answered WHERE has_mail AND NOT blocked""",
+SELECT doc_id, CASE WHEN has_mail AND NOT blocked THEN content ELSE text END AS restored FROM answered""",
+    "policy_chain_asking": f"""WITH found AS (
+  SELECT doc_id, text, contains({CLEANED}, '###') AS a, 'Be brief. ' || text AS briefed FROM documents),
+decided AS (
+  SELECT *, regexp_matches({clean("briefed")}, '{PHONE}') AS b, contains({clean("briefed")}, '@') AS c FROM found)
+SELECT doc_id, NOT (a OR b OR c) AS passed,
+       CASE WHEN a THEN 'first' WHEN b THEN 'second' WHEN c THEN 'third' END AS halted_by,
+       CASE WHEN a THEN text ELSE briefed END AS content FROM decided""",
     "bedrock_mask_regexes": f"""WITH RECURSIVE found AS (
   SELECT doc_id, text, {CLEANED} AS content, regexp_extract_all(text, '{PHONE}') AS m FROM documents),
 listed AS (SELECT *, list_filter(m, lambda x, i: list_position(m, x) = i) AS u FROM found),

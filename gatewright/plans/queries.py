@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -858,7 +859,7 @@ def guard_json_schema_keywords(spark, folder):
 def bedrock_restore(spark, folder):
     """Requests masked by the scorer's findings; each response repeats the masked text."""
     masked = _bedrock(spark, folder)
-    answers = masked.where("mapping is not null").select(
+    answers = masked.select(
         "msg_id", F.lit("RESPONSE").alias("direction"),
         chat_response(last_text(F.col("payload_out"))).alias("payload"))
     policy = g.BedrockVerdict(
@@ -888,3 +889,36 @@ def bedrock_mask_regexes(spark, folder):
     return checked.select(
         F.col("msg_id").alias("doc_id"), last_text(F.col("payload_out")).alias("content"),
         F.coalesce(F.array_size("mapping"), F.lit(0)).alias("entries"))
+
+
+@query
+def policy_chain_asking(spark, folder):
+    """Three steps that ask user functions, each about the payload as it is by then."""
+
+    def severity(category: str, sign: str, level: int):
+        def call_out(call: dict) -> str:
+            found = sign in json.loads(call["request_payload"])["text"]
+            return json.dumps({"categoriesAnalysis": [{"category": category, "severity": level if found else 0}]})
+
+        return call_out
+
+    def verdict(call: dict) -> str:
+        text = json.loads(call["request_payload"])["content"][0]["text"]["text"]
+        if text.startswith("Be brief. ") and re.search(PHONE, text):
+            return json.dumps({"action": scorers.INTERVENED, "actionReason": scorers.BLOCKED})
+        return json.dumps({"action": scorers.NOT_INTERVENED})
+
+    first = g.Moderation("first", REQUEST_PATH, hate_category=2)
+    tone = g.Decoration("tone", REQUEST_PATH, prompt_decorator_config={"decoration": "Be brief."})
+    second = g.BedrockVerdict("second", REQUEST_PATH, region="local", guardrail_id="g1", guardrail_version="1")
+    third = g.Moderation("third", REQUEST_PATH, violence_category=1)
+
+    def asking(policy, call_out):
+        return policy, "REQUEST", g.Inputs(responses=lambda messages: ask(messages, policy, call_out))
+
+    checked = g.run_chain(documents(spark, folder), [
+        asking(first, severity("Hate", "###", 4)), (tone, "REQUEST"), asking(second, verdict),
+        asking(third, severity("Violence", "@", 1))])
+    return checked.select(
+        F.col("msg_id").alias("doc_id"), F.col("outcome.passed").alias("passed"), "halted_by",
+        last_text(F.col("payload_out")).alias("content"))

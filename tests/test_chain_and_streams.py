@@ -404,3 +404,62 @@ def test_functions_travel_by_value(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                           env={}, timeout=120)
     assert done.stdout.strip() == "([1, None], [None, None])", done.stderr
+
+
+# --- scorers in a chain --------------------------------------------------------------
+
+
+def asking_chain(spark, policies, blocked, calls):
+    """Steps that ask a function each; ``calls`` counts by step."""
+    def step(policy, counter):
+        def call_out(call):
+            counter.add(1)
+            text = json.loads(call["request_payload"])["text"]
+            return json.dumps({"categoriesAnalysis": [{"category": "Hate", "severity": 5 * (blocked[policy.name] in text)}]})
+
+        return policy, "REQUEST", g.Inputs(responses=lambda m: providers.ask(m, policy, call_out))
+
+    return [step(p, c) for p, c in zip(policies, calls)]
+
+
+def test_every_step_asks_once_for_each_message(spark, messages, chat):
+    names = ("one", "two", "three")
+    policies = [g.Moderation(n, LAST, hate_category=3) for n in names]
+    calls = [spark.sparkContext.accumulator(0) for _ in names]
+    df = messages(chat("a"), chat("b"), chat("c"), chat("d"), ("RESPONSE", chat("a")))
+    done = g.run_chain(df, asking_chain(spark, policies, {"one": "a", "two": "b", "three": "c"}, calls))
+    assert [s[2] for s in short(done)] == ["one", "two", "three", None, None]
+    assert done.count() == 5 and g.policy_report(done).count() > 0  # asks nobody again
+    assert [c.value for c in calls] == [4, 3, 2]
+
+
+def test_the_plan_grows_by_one_join_for_each_asking_step(spark, messages, chat):
+    def scans(k):
+        policies = [g.Moderation(f"p{i}", LAST, hate_category=3) for i in range(k)]
+        steps = asking_chain(spark, policies, {f"p{i}": "zzz" for i in range(k)},
+                             [spark.sparkContext.accumulator(0)] * k)
+        plan = g.run_chain(messages(chat("a")), steps)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("parquet"), plan.count("Join")
+
+    assert scans(1) == scans(3) == scans(5) == (2, 1)
+
+
+def test_asking_keeps_mappings_changes_and_columns(spark, messages, chat):
+    """Masking before a scorer, decoration behind it; a column of the caller's comes along."""
+    policy = g.Moderation("hate", LAST, hate_category=3)
+    steps = [(g.PiiRegex("pii", LAST, pii_entities=[EMAIL]), "REQUEST"),
+             *asking_chain(spark, [policy], {"hate": "@"}, [spark.sparkContext.accumulator(0)]),
+             (g.Decoration("tone", LAST, prompt_decorator_config={"decoration": "Be brief."}), "REQUEST")]
+    df = messages(chat("to a@b.org"), "bad", chat("x"), extra=F.col("msg_id") * 2)
+    got = g.run_chain(df, steps).orderBy("msg_id").collect()
+    assert [r.halted_by for r in got] == [None, "pii", None] and [r.extra for r in got] == [0, 2, 4]
+    assert json.loads(got[0].payload_out)["messages"][1]["content"] == "Be brief. to EMAIL_0000"
+    assert [r.mapping is not None and r.mapping[0].original for r in got] == ["a@b.org", False, False]
+
+
+def test_a_stream_is_not_cut(spark, tmp_path):
+    spark.createDataFrame([("a", "REQUEST", "{}")], "msg_id string, direction string, payload string").write.parquet(
+        str(tmp_path / "in"))
+    stream = file_stream(spark, str(tmp_path / "in"), "msg_id string, direction string, payload string")
+    with pytest.raises(ValueError, match="micro-batch"):
+        g.apply(stream, g.Moderation("m", "$.t", hate_category=3), g.Inputs(responses=lambda m: m))
