@@ -174,13 +174,16 @@ class SemanticGuard(Policy):
     """``rules`` lists prompts; ``vectors`` holds their embeddings.
 
     Deny prompts come first in ``vectors``, then allow prompts. Leave it empty
-    to have an embedding provider fill it in.
+    to have an embedding provider fill it in. Rule sets of any size come as a
+    table (``Inputs.rules``); ``table`` then says what it holds: DENY_ONLY,
+    ALLOW_ONLY or HYBRID.
     """
 
     rules: Any = field(default_factory=dict)
     threshold: float = 90.0
     show_assessment: bool = False
     vectors: tuple[tuple[float, ...], ...] = ()
+    table: str = ""
 
     error_type: ClassVar = "SEMANTIC_PROMPT_GUARD"
     form: ClassVar = {"threshold": "100|[1-9]?[0-9]"}
@@ -192,8 +195,10 @@ class SemanticGuard(Policy):
             raise ValueError("the prompt rules are not a JSON object")
         deny = tuple(rules.get("denyPrompts") or ())
         allow = tuple(rules.get("allowPrompts") or ())
-        if not deny and not allow:
-            raise ValueError("a semantic policy needs an allow or a deny prompt")
+        if self.table not in ("", "DENY_ONLY", "ALLOW_ONLY", "HYBRID"):
+            raise ValueError(f"not a mode of a rule table: {self.table}")
+        if bool(self.table) == bool(deny or allow):
+            raise ValueError("a semantic policy needs an allow or a deny prompt, or else a table of rules")
         object.__setattr__(self, "rules", {"denyPrompts": deny, "allowPrompts": allow})
         if self.vectors:
             vectors = tuple(tuple(float(x) for x in v) for v in self.vectors)
@@ -213,6 +218,8 @@ class SemanticGuard(Policy):
 
     @property
     def mode(self) -> str:
+        if self.table:
+            return self.table
         if not self.allow:
             return "DENY_ONLY"
         return "HYBRID" if self.deny else "ALLOW_ONLY"

@@ -55,6 +55,57 @@ def _exact_cosine(vectors: np.ndarray, rules: np.ndarray) -> np.ndarray:
     return np.divide(_in_order(rules, vectors), norms, out=found, where=norms != 0.0)
 
 
+def _whole(batch: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of this length without gaps, and which rows they are."""
+    lengths = batch.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    whole = lengths == width
+    picked = batch if whole.all() else batch.filter(pa.array(whole))
+    flat = picked.flatten()
+    if flat.null_count:
+        gap = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, width).any(axis=1)
+        whole[np.flatnonzero(whole)[gap]] = False
+        flat = flat.filter(pa.array(np.repeat(~gap, width)))
+    vectors = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return vectors.reshape(-1, width), np.flatnonzero(whole)
+
+
+# Rules and messages of one matrix product.
+_RULES, _MESSAGES = 4096, 256
+
+
+def first_reached(vector: Column, rules: np.ndarray, threshold: float) -> Column:
+    """Number of the first rule whose score reaches ``threshold`` (in percent),
+    from 0; NULL if none does, or the vector is missing or of another length.
+
+    Products are taken in blocks of rules and messages; a message that has its
+    rule takes no part in later ones. Scores next to the threshold come out as
+    those of a simple loop.
+    """
+    rules = np.ascontiguousarray(rules, dtype=np.float64)
+
+    @F.arrow_udf("long")
+    def first(batch: pa.Array) -> pa.Array:
+        vectors, rows = _whole(batch, rules.shape[1])
+        unit = _unit_rows(vectors)
+        hit = np.full(len(vectors), -1)
+        for at in range(0, len(rules), _RULES):
+            part = rules[at:at + _RULES]
+            unit_part = _unit_rows(part).T
+            pending = np.flatnonzero(hit < 0)
+            for some in np.split(pending, range(_MESSAGES, len(pending), _MESSAGES)):
+                found = unit[some] @ unit_part
+                row, rule = np.nonzero(np.abs(found * 100 - threshold) < NEAR)
+                found[row, rule] = _exact_cosine(vectors[some[row]], part[rule])
+                reached = found * 100 >= threshold
+                any_reached = reached.any(axis=1)
+                hit[some[any_reached]] = at + reached.argmax(axis=1)[any_reached]
+        out = np.full(len(batch), -1)
+        out[rows] = hit
+        return pa.array(out, mask=out < 0)
+
+    return first(vector)
+
+
 def cosine_to_rules(
     vector: Column, rules: Sequence[Sequence[float]], threshold: float | None = None
 ) -> Column:
@@ -72,32 +123,22 @@ def cosine_to_rules(
     if table.size > MOST_RULE_NUMBERS:
         raise ValueError(
             f"{count} rules of {width} numbers are more than travel with a function "
-            f"({MOST_RULE_NUMBERS} numbers): split the policy into several steps of a chain"
+            f"({MOST_RULE_NUMBERS} numbers): give the rules as a table"
         )
     unit_rules = _unit_rows(table)
 
     @F.arrow_udf("array<double>")
     def scores(batch: pa.Array) -> pa.Array:
-        lengths = batch.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
-        whole = lengths == width
-        picked = batch if whole.all() else batch.filter(pa.array(whole))
-        flat = picked.flatten()
-        gap = np.zeros(len(picked), dtype=bool)
-        if flat.null_count:
-            nulls = flat.is_null().to_numpy(zero_copy_only=False)
-            gap = nulls.reshape(-1, width).any(axis=1)
-            flat = flat.fill_null(0.0)
-        vectors = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-        vectors = vectors.reshape(-1, width)
+        vectors, rows = _whole(batch, width)
         found = _unit_rows(vectors) @ unit_rules.T
         if threshold is not None:
             row, rule = np.nonzero(np.abs(found * 100 - threshold) < NEAR)
             found[row, rule] = _exact_cosine(vectors[row], table[rule])
         valid = np.zeros(len(batch), dtype=bool)
-        valid[np.flatnonzero(whole)] = ~gap
+        valid[rows] = True
         offsets = np.concatenate(([0], np.cumsum(np.where(valid, count, 0)))).astype(np.int32)
         return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(found[~gap].reshape(-1)), mask=pa.array(~valid)
+            pa.array(offsets), pa.array(found.reshape(-1)), mask=pa.array(~valid)
         )
 
     return scores(vector)

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.config import SemanticGuard
-from gatewright.functions.similarity import cosine_to_rules
+from gatewright.functions.similarity import cosine_to_rules, first_reached
 from gatewright.operators.stage import Inputs, Stage, Verdict
+from gatewright.session import release, stored, work_folder, work_scope
 
 
 def check_semantics(stage: Stage, policy: SemanticGuard, inputs: Inputs) -> Verdict:
     """First rule at or above the threshold decides; deny rules come first."""
+    if policy.table:
+        return _by_table(stage, policy, inputs)
     if not policy.vectors:
         raise ValueError("rule vectors are missing; embed the rules first")
     content = stage.content(policy.json_path, cleaned=True)
@@ -20,20 +27,117 @@ def check_semantics(stage: Stage, policy: SemanticGuard, inputs: Inputs) -> Verd
     reached = F.transform(scores, lambda score: score * 100 >= F.lit(float(policy.threshold)))
     first = stage.keep(F.array_position(reached, True))
     by_rule = F.when(first == 0, policy.mode == "DENY_ONLY").otherwise(first > len(policy.deny))
-    passed = F.when(stage.empty | (content == ""), True).otherwise(
-        F.when(content.isNotNull(), by_rule)
-    )
     details = None
     if policy.show_assessment and policy.mode == "DENY_ONLY":
         rules = F.array(*[F.lit(prompt) for prompt in policy.deny])
-        details = F.struct(
-            F.lit("One or more semantic rules are violated.").alias("message"),
-            F.get(rules, first.cast("int") - 1).alias("deniedRule"),
-        )
+        details = _denied(F.get(rules, first.cast("int") - 1))
     elif policy.show_assessment:
         # A deny hit of a mixed policy reports the allowed prompts as well.
         details = F.struct(
             F.lit("None of the allowed prompts are met.").alias("message"),
             F.array(*[F.lit(prompt) for prompt in policy.allow]).alias("allowedRules"),
         )
+    return _decided(stage, policy, content, by_rule, details)
+
+
+def _denied(prompt: Column) -> Column:
+    return F.struct(F.lit("One or more semantic rules are violated.").alias("message"), prompt.alias("deniedRule"))
+
+
+def _decided(stage: Stage, policy: SemanticGuard, content: Column, by_rule: Column, details: Column | None) -> Verdict:
+    passed = F.when(stage.empty | (content == ""), True).otherwise(
+        F.when(content.isNotNull(), by_rule)
+    )
     return Verdict(stage.decide(policy, passed, details))
+
+
+# --- rules as a table -------------------------------------------------------------
+
+
+class RuleBlocks:
+    """A rule table in the order of its rules, in files of bounded size.
+
+    ``rule`` numbers the rules: deny before allow, then by ``ord`` and prompt.
+    Numbers grow with the files. All vectors have one length, else it is refused.
+    """
+
+    def __init__(self, rules: DataFrame, most: int):
+        vector = F.col("embedding").cast("array<double>")
+        known = rules.select((F.col("kind") == "ALLOW").alias("allow"), "ord", "prompt", vector.alias("embedding"))
+        sizes = known.agg(F.min(F.size("embedding")).alias("a"), F.max(F.size("embedding")).alias("b"),
+                          F.count_if(F.col("embedding").isNull() | F.col("allow").isNull()).alias("gaps")).first()
+        if sizes.a is None or sizes.a != sizes.b or sizes.a < 1 or sizes.gaps:
+            raise ValueError("a rule table needs rules with a kind and vectors of one length")
+        self.spark, self.width = rules.sparkSession, sizes.a
+        self.folder = work_folder(self.spark, "rules")
+        ordered = known.orderBy("allow", "ord", "prompt").withColumn("rule", F.monotonically_increasing_id())
+        ordered.write.option("maxRecordsPerFile", max(1, most // self.width)).parquet(self.folder)
+        self.table = self.spark.read.schema(ordered.schema).parquet(self.folder)
+        part = re.compile(r"part-(\d+)-.*?-c(\d+)")
+        self.files = sorted(self.table.inputFiles(), key=lambda f: tuple(map(int, part.search(f).groups())))
+        self.first_allow = self.table.where("allow").agg(F.min("rule")).first()[0]
+
+    def __iter__(self):
+        """``(rule numbers, vectors)``, one block at a time on the driver."""
+        for file in self.files:
+            found = self.spark.read.schema(self.table.schema).parquet(file).select("rule", "embedding").toArrow()
+            if found.num_rows:
+                found = found.combine_chunks().sort_by("rule")
+                vectors = found.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+                yield found.column("rule").to_numpy(), vectors.reshape(-1, self.width)
+
+
+def _rule_of(vector: Column, block: tuple[np.ndarray, np.ndarray], threshold: float) -> Column:
+    """The rule number of the first rule of a block that is reached. A block is a
+    file, and the numbers in a file go up one by one."""
+    numbers, vectors = block
+    return first_reached(vector, vectors, threshold) + F.lit(int(numbers[0]))
+
+
+def _by_table(stage: Stage, policy: SemanticGuard, inputs: Inputs) -> Verdict:
+    """As with rules of the configuration, for a table of any size.
+
+    Rules that fit one block travel with the function, and messages stay where
+    they are. More blocks are one pass each over the vectors of the messages
+    that have found no rule yet; only numbers come back to the messages.
+    Allowed prompts are not listed in the report.
+    """
+    if inputs.rules is None:
+        raise ValueError("a semantic policy with a rule table needs Inputs.rules")
+    blocks = RuleBlocks(inputs.rules, inputs.rule_block)
+    threshold, vector = float(policy.threshold), F.col(inputs.embedding)
+    valid = (F.size(vector) == blocks.width) & ~F.exists(vector, lambda x: x.isNull())
+    if len(blocks.files) == 1:
+        rule = stage.named(_rule_of(vector, next(iter(blocks)), threshold))
+    else:
+        rule = _by_blocks(stage, blocks, inputs.embedding, threshold)
+    content = stage.content(policy.json_path, cleaned=True)
+    allowed = F.lit(False) if blocks.first_allow is None else F.col(rule) >= blocks.first_allow
+    by_rule = F.when(valid, F.when(F.col(rule).isNull(), policy.mode == "DENY_ONLY").otherwise(allowed))
+    details = None
+    if policy.show_assessment and policy.mode == "DENY_ONLY":
+        prompt = stage.reserve()
+        prompts = blocks.table.select(F.col("rule").alias(rule), F.col("prompt").alias(prompt))
+        stage.df = stage.df.join(prompts, rule, "left")
+        details = _denied(F.col(prompt))
+    elif policy.show_assessment:
+        details = F.struct(F.lit("None of the allowed prompts are met.").alias("message"))
+    return _decided(stage, policy, content, by_rule, details)
+
+
+def _by_blocks(stage: Stage, blocks: RuleBlocks, embedding: str, threshold: float) -> str:
+    """Name of the column with each message's first rule."""
+    row, rule = stage.named(F.monotonically_increasing_id()), stage.reserve()
+    stage.cut(row)
+    hits = None
+    with work_scope() as made:
+        left = stage.df.select(row, embedding).where(F.col(embedding).isNotNull())
+        for block in blocks:
+            found = stored(left.withColumn(rule, _rule_of(F.col(embedding), block, threshold)), "first-rules")
+            some = found.where(F.col(rule).isNotNull()).select(row, rule)
+            hits = some if hits is None else hits.unionByName(some)
+            left = found.where(F.col(rule).isNull()).select(row, embedding)
+        hits = stored(hits, "rule-hits")
+    release(stage.df.sparkSession, made, but=hits)
+    stage.df = stage.df.join(hits, row, "left")
+    return rule

@@ -35,15 +35,21 @@ class Inputs:
     the plan is built, and its answers are written, so that each message is asked
     about once, whatever is done with the result. ``keys`` names
     the columns that identify a message; ``embedding``, ``response`` and ``mapping`` name columns
-    that the messages carry already.
+    that the messages carry already. ``rules`` and ``templates`` are policy
+    configuration as tables: ``(kind, ord, prompt, embedding)`` with kind DENY or
+    ALLOW, and ``(name, prompt)``. ``rule_block`` bounds the numbers of the rules
+    that are compared in one pass over the messages.
     """
 
     status: DataFrame | None = None
     responses: DataFrame | Callable[[DataFrame], DataFrame] | None = None
+    rules: DataFrame | None = None
+    templates: DataFrame | None = None
     keys: tuple[str, ...] = ("msg_id",)
     embedding: str = "embedding"
     response: str = "response"
     mapping: str = "mapping"
+    rule_block: int = 1 << 23
 
 
 @dataclass
@@ -83,17 +89,17 @@ class Stage:
     def keep(self, value: Column) -> Column:
         return F.col(self.named(value))
 
-    def cut(self) -> None:
+    def cut(self, *keep: str) -> None:
         """Write the messages as they are by now, and go on from what was written.
 
-        For steps that read them twice: the scorer and the join of its answers.
+        For steps that read them twice, as the scorer and the join of its answers.
         Without it everything before such a step, earlier calls included, would
         run once for each of them. Texts and documents that were taken from the
         payload are left out and taken again where they are needed.
         """
         if self.df.isStreaming:
             raise ValueError("a scorer is asked per micro-batch on a stream: see streaming.asking")
-        passing = {f"{PREFIX}{i}" for i in range(self._count)} - {*self.live, self.payload}
+        passing = {f"{PREFIX}{i}" for i in range(self._count)} - {*self.live, self.payload, *keep}
         self.df = stored(self.df.drop(*passing), "asking")
         self._known.clear()
 

@@ -160,6 +160,23 @@ SELECT vec_id, passed, CASE WHEN NOT passed THEN 900514 END AS error_code,
 FROM decided"""
 
 
+def semantic_table(allow: str, hybrid: bool) -> str:
+    message = "None of the allowed prompts are met." if hybrid else "One or more semantic rules are violated."
+    return f"""WITH hits AS (
+  SELECT v.vec_id, arg_min(r.vec_id, struct_pack(a := {allow}, i := r.vec_id)) AS rule,
+         arg_min({allow}, struct_pack(a := {allow}, i := r.vec_id)) AS allowed
+  FROM embeddings v, embeddings r
+  WHERE list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) * 100 >= {SIMILAR}
+  GROUP BY v.vec_id),
+decided AS (
+  SELECT e.vec_id, rule, coalesce(allowed, {'false' if hybrid else 'true'}) AS passed
+  FROM embeddings e LEFT JOIN hits USING (vec_id))
+SELECT vec_id, passed, CASE WHEN NOT passed THEN 900514 END AS error_code,
+  CASE WHEN NOT passed THEN '{message}' END AS message,
+  {"CAST(NULL AS VARCHAR)" if hybrid else "CASE WHEN NOT passed THEN 'rule ' || rule END"} AS denied_rule
+FROM decided"""
+
+
 EVENT_TEXT = """'Event ' || event_type || ': ' || props || ' and {"v": ' || user_id || ', "k": "none"}.'"""
 CANDIDATES = rf"regexp_extract_all({EVENT_TEXT}, '(?s)\{{.*?\}}')"
 
@@ -368,6 +385,8 @@ SELECT doc_id, {verdict('fine', 'AZURE_CONTENT_SAFETY_CONTENT_MODERATION', None)
             verdict("valid", "JSON_SCHEMA_GUARDRAIL", None)),
     "bedrock_restore": f"""WITH {BEDROCK}
 SELECT doc_id, CASE WHEN has_mail AND NOT blocked THEN content ELSE text END AS restored FROM answered""",
+    "guard_semantic_table": semantic_table("false", False),
+    "guard_semantic_table_blocks": semantic_table("CAST(r.embedding[1] AS DOUBLE) <= 0.1", True),
     "policy_chain_asking": f"""WITH found AS (
   SELECT doc_id, text, contains({CLEANED}, '###') AS a, 'Be brief. ' || text AS briefed FROM documents),
 decided AS (

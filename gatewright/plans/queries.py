@@ -922,3 +922,31 @@ def policy_chain_asking(spark, folder):
     return checked.select(
         F.col("msg_id").alias("doc_id"), F.col("outcome.passed").alias("passed"), "halted_by",
         last_text(F.col("payload_out")).alias("content"))
+
+
+# --- policy configuration as tables --------------------------------------------------------
+
+
+def _semantic_table(spark, folder, mode: str, kind: Column, **options) -> DataFrame:
+    """Every vector of the table is a rule, and every one a message."""
+    rules = table(spark, folder, "embeddings").select(
+        kind.alias("kind"), F.col("vec_id").alias("ord"),
+        F.concat(F.lit("rule "), F.col("vec_id").cast("string")).alias("prompt"), "embedding")
+    policy = g.SemanticGuard("meaning", REQUEST_PATH, table=mode, threshold=SIMILAR, show_assessment=True)
+    checked = g.apply(vector_messages(spark, folder), policy, g.Inputs(rules=rules, **options))
+    return checked.select(
+        F.col("msg_id").alias("vec_id"), F.col("outcome.passed").alias("passed"),
+        F.col("outcome.error_code").alias("error_code"), report_field("assessments.message").alias("message"),
+        report_field("assessments.deniedRule").alias("denied_rule"))
+
+
+@query
+def guard_semantic_table(spark, folder):
+    return _semantic_table(spark, folder, "DENY_ONLY", F.lit("DENY"))
+
+
+@query
+def guard_semantic_table_blocks(spark, folder):
+    """Deny and allow rules, more of them than one pass compares."""
+    kind = F.when(F.get("embedding", F.lit(0)) > 0.1, "DENY").otherwise("ALLOW")
+    return _semantic_table(spark, folder, "HYBRID", kind, rule_block=1 << 13)
