@@ -385,6 +385,12 @@ SELECT doc_id, {verdict('fine', 'AZURE_CONTENT_SAFETY_CONTENT_MODERATION', None)
             verdict("valid", "JSON_SCHEMA_GUARDRAIL", None)),
     "bedrock_restore": f"""WITH {BEDROCK}
 SELECT doc_id, CASE WHEN has_mail AND NOT blocked THEN content ELSE text END AS restored FROM answered""",
+    "stream_url_asked": r"""SELECT DISTINCT url, CAST(1 AS BIGINT) AS asked FROM (
+  SELECT unnest([url || '>', url, regexp_extract(url, '^(https?://[^/]+)', 1)]) AS url FROM pages) WHERE url <> ''""",
+    "stream_policy_report": f"""WITH {CHAINED} SELECT
+  CAST(1700000100 + 60 * turn - (1700000100 + 60 * turn) % 120 AS BIGINT) AS window_start, direction, halted_by,
+  error_type, error_code, count(*) AS messages, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS payload_bytes
+FROM chained GROUP BY ALL""",
     "guard_semantic_table": semantic_table("false", False),
     "guard_semantic_table_blocks": semantic_table("CAST(r.embedding[1] AS DOUBLE) <= 0.1", True),
     "policy_chain_asking": f"""WITH found AS (
@@ -405,3 +411,8 @@ done AS (SELECT doc_id, t, i FROM steps WHERE i = len(u))
 SELECT l.doc_id, coalesce(done.t, l.text) AS content, CAST(coalesce(done.i, 0) AS INTEGER) AS entries
 FROM listed l LEFT JOIN done USING (doc_id)""",
 }
+
+# The same rows as their counterparts in batches or by another operator.
+for streamed, plain in (("stream_scorer", "moderation_provider"), ("stream_url_status", "guard_url_provider"),
+                        ("stream_pii_restore_timers", "stream_pii_restore"), ("stream_pii_mapping", "pii_mapping_table")):
+    ORACLES[streamed] = ORACLES[plain]

@@ -26,7 +26,17 @@ from gatewright.sources.messages import (
 )
 from gatewright.sources.providers import ask, embed, embed_rules, url_status
 from gatewright.sources.tables import read_parquet
-from gatewright.streaming.streams import by_batch, drain, file_stream, restore_stream
+from gatewright.streaming.asking import Answers, Mappings, UrlStatuses, in_batches, latest
+from gatewright.streaming.streams import (
+    by_batch,
+    drain,
+    file_stream,
+    keep_report,
+    read_report,
+    report_stream,
+    restore_by_timers,
+    restore_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -950,3 +960,117 @@ def guard_semantic_table_blocks(spark, folder):
     """Deny and allow rules, more of them than one pass compares."""
     kind = F.when(F.get("embedding", F.lit(0)) > 0.1, "DENY").otherwise("ALLOW")
     return _semantic_table(spark, folder, "HYBRID", kind, rule_block=1 << 13)
+
+
+# --- streams of several micro-batches --------------------------------------------------------
+
+
+def _in_files(spark, folder: str, name: str, files: int = 4) -> DataFrame:
+    """A table as a stream of several micro-batches: its rows, dealt over files."""
+    target = work_folder(spark, f"stream-{name}")
+    rows = table(spark, folder, name)
+    rows.repartition(files, F.xxhash64(*rows.columns)).write.option("maxRecordsPerFile", 0).parquet(target)
+    return file_stream(spark, target, rows.schema, files=1)
+
+
+@query
+def stream_scorer(spark, folder):
+    """A scorer inside a stream: its answers are kept by batch, so that a restart asks nothing again."""
+
+    def call_out(call: dict) -> str:
+        severity = 4 if "###" in json.loads(call["request_payload"])["text"] else 0
+        return json.dumps({"categoriesAnalysis": [{"category": "Hate", "severity": severity}]})
+
+    policy = g.Moderation("moderation", REQUEST_PATH, hate_category=2)
+    target = work_folder(spark, "stream-scorer")
+
+    def step(batch: DataFrame, number: int) -> DataFrame:
+        messages = text_messages(batch, "doc_id", F.col("text"))
+        answers = Answers(f"{target}/answers", number)
+        asked = answers("moderation", lambda m: ask(m, policy, call_out))
+        checked = g.apply(messages, policy, g.Inputs(responses=asked))
+        return verdicts(checked, F.col("msg_id").alias("doc_id"), details=False)
+
+    in_batches(_in_files(spark, folder, "documents"), step, f"{target}/out", f"{target}/checkpoint")
+    return spark.read.parquet(f"{target}/out").drop("batch")
+
+
+def _url_stream(spark, folder, out) -> DataFrame:
+    policy = g.UrlCheck("urls", REQUEST_PATH)
+    target = work_folder(spark, "stream-url-status")
+
+    def check(urls: DataFrame) -> DataFrame:
+        return urls.select("url", F.when(F.col("url").contains("example.com"), 200).otherwise(404).alias("status"))
+
+    statuses = UrlStatuses(spark, f"{target}/status", check, expiry=3600)
+
+    def step(pages: DataFrame, number: int) -> DataFrame:
+        messages = text_messages(pages, "page_id", page_text())
+        known = statuses.of(messages, last_text(F.col("payload")), number, now=number)
+        return _url_rows(g.apply(messages, policy, g.Inputs(status=known)))
+
+    in_batches(_in_files(spark, folder, "pages"), step, f"{target}/out", f"{target}/checkpoint")
+    return out(statuses, target)
+
+
+@query
+def stream_url_status(spark, folder):
+    """URLs of a stream, checked by statuses that earlier batches have asked for."""
+    return _url_stream(spark, folder, lambda _, target: spark.read.parquet(f"{target}/out").drop("batch"))
+
+
+@query
+def stream_url_asked(spark, folder):
+    """How often each URL of the stream was asked."""
+    return _url_stream(spark, folder, lambda statuses, _: statuses.table.rows().groupBy("url").agg(
+        F.count("*").alias("asked")))
+
+
+@query
+def stream_pii_restore_timers(spark, folder):
+    """As ``stream_pii_restore``, with timers instead of a join."""
+    schema = table(spark, folder, "documents").schema
+    policy = masking(ONE_PII)
+
+    def arrivals(delay: int) -> DataFrame:
+        read = file_stream(spark, f"{folder}/documents.parquet", schema)
+        return read.select(
+            F.concat_ws("#", "_metadata.file_path", "_metadata.row_index", "doc_id").alias("msg_id"),
+            F.lit("REQUEST").alias("direction"),
+            F.timestamp_seconds(F.lit(1_700_000_000 + delay)).alias("ts"),
+            chat_request(F.col("text")).alias("payload"),
+        )
+
+    answers = g.apply(arrivals(5), policy, flow="REQUEST").select(
+        "msg_id", F.lit("RESPONSE").alias("direction"), "ts", F.col("payload_out").alias("payload"))
+    restored = restore_by_timers(arrivals(0), answers, policy, within_seconds=60)
+    number = F.split("msg_id", "#")
+    done = restored.select(F.when(F.size(number) > 2, F.element_at(number, -1).cast("long")).alias("doc_id"),
+                           last_text(F.col("payload_out")).alias("restored"))
+    return _drained(spark, done, "stream-timers")
+
+
+@query
+def stream_policy_report(spark, folder):
+    """The report of the chain by windows of event time; a turn is a minute."""
+    stream = conversation_messages(_in_files(spark, folder, "conversations"), system=SYSTEM)
+    stream = stream.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_100) + 60 * F.coalesce("turn", F.lit(0))))
+    report = report_stream(g.run_chain(stream, CHAIN), "halted_by", window="2 minutes", late="1 day")
+    target = work_folder(spark, "stream-report")
+    keep_report(report, f"{target}/table", f"{target}/checkpoint")
+    kept = read_report(spark, f"{target}/table", report.schema)
+    return kept.withColumn("window_start", F.unix_timestamp("window_start"))
+
+
+@query
+def stream_pii_mapping(spark, folder):
+    """The mappings of a stream's masked requests, kept in a table by batch."""
+    target = work_folder(spark, "stream-mapping")
+    kept = Mappings(spark, f"{target}/mappings", "msg_id long", expiry=3600, merge=2)
+
+    def step(batch: DataFrame, number: int) -> DataFrame:
+        messages = text_messages(batch, "doc_id", F.col("text"))
+        return kept.add(g.apply(messages, masking(), flow="REQUEST"), number, now=number)
+
+    in_batches(_in_files(spark, folder, "documents"), step, f"{target}/out", f"{target}/checkpoint")
+    return kept.current().select(F.col("msg_id").alias("doc_id"), F.inline("mapping").alias("ord", "original", "placeholder"))
