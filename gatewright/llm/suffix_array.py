@@ -52,7 +52,7 @@ LARGE_ANCHOR = 16_384
 ROUND_DOCUMENTS = 16_384
 
 # Words of a passage, and the grams by which its windows meet: fifty words have 99 bytes at least.
-PASSAGE_WORDS, PASSAGE_GRAM = 50, 32
+PASSAGE_WORDS, PASSAGE_GRAM = 50, 64
 
 PLACE = "h:bigint,lo:int,hi:int,off:int"
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("past", T.IntegerType())]))
@@ -412,9 +412,11 @@ class Repeats:
         no_place = F.lit(None).cast(f"struct<{PLACE},large:boolean>")
         shared = shared.unionByName(ties.select("tkey", "rep", no_place.alias("place")))
         wanted = shared.groupBy("tkey", "rep").agg(F.collect_list("place").alias("places"))
-        wanted = wanted.withColumnRenamed("tkey", "k")
-        texts = docs.withColumn("tkey", text_key(F.col("text"))).join(
-            wanted, (F.col("tkey") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+        wanted = stored(wanted.withColumnRenamed("tkey", "k"), "wanted")
+        at = (F.col("tkey") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+        # the short keys first, so that only texts with a shared place move
+        texts = docs.withColumn("tkey", text_key(F.col("text"))).join(wanted.select("k", "rep"), at, "left_semi")
+        texts = texts.join(wanted, at)
         self.texts = stored(texts.select("tkey", "text", "places"), "shared-texts")
         spans = lined_up(contexts(self.texts, windows).repartition("h").sortWithinPartitions("h"), windows)
         spans = spans.unionByName(_repeated_windows(ties.select("x", "tkey", "size", "starts")))
