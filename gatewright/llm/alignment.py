@@ -409,8 +409,9 @@ class Alignment:
 
     def scores(self) -> DataFrame:
         """``doc_id`` and the documents' numbers, with those the postings return."""
+        # pairs grow with the corpus: the same join at every size, which AQE splits where a pair is everywhere
         told = self.postings.select("block", "a", "b", "docs", "planes").join(
-            self.pairs.select("a", "b", "count", "best"), ["a", "b"])
+            self.pairs.select("a", "b", "count", "best").hint("merge"), ["a", "b"])
         told = told.select("block", "docs", "planes", "count", "best").repartition("block").sortWithinPartitions("block")
         back = returned(told)
         none = F.lit(0).cast("long")
