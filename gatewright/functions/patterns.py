@@ -96,14 +96,31 @@ def new_entries(matches: Column, known: Column, entity: str) -> Column:
     )
 
 
+def _placeholder_of(known: Column, match: Column) -> Column:
+    """Placeholder of a text by halving, in ``known``: entries sorted by ``original``."""
+    last = F.size(known) - 1
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(known), F.lit(1)).cast("double"))).cast("int"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["lo"] + state["hi"], 1)
+        before = F.get(known, middle)["original"] < match
+        return F.struct(F.when(before, middle + 1).otherwise(state["lo"]).alias("lo"),
+                        F.when(before, state["hi"]).otherwise(middle).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), last.alias("hi"))
+    found = F.aggregate(steps, start, halve, lambda state: F.get(known, state["lo"]))
+    return F.when(found["original"] == match, found["placeholder"])
+
+
 def put_placeholders(text: Column, pattern: str, matches: Column, mapping: Column) -> Column:
     """Rebuild ``text`` from the pieces between matches and their placeholders.
 
-    Originals and placeholders are pulled out of the mapping once per text.
+    The mapping is sorted once per text and searched by halving, so that many
+    matches cost no more than the logarithm of their number each.
     """
     pieces = F.split(text, pattern, -1)
-    originals = F.transform(mapping, lambda e: e["original"])
-    marks = F.transform(mapping, lambda e: e["placeholder"])
+    known = F.array_sort(F.transform(
+        mapping, lambda e: F.struct(e["original"].alias("original"), e["placeholder"].alias("placeholder"))))
 
     def joined(columns: Column) -> Column:
         return F.array_join(
@@ -111,14 +128,7 @@ def put_placeholders(text: Column, pattern: str, matches: Column, mapping: Colum
                 columns["pieces"],
                 columns["matches"],
                 lambda piece, match: F.concat(
-                    piece,
-                    F.coalesce(
-                        F.try_element_at(
-                            columns["marks"],
-                            F.array_position(columns["originals"], match).cast("int"),
-                        ),
-                        F.lit(""),
-                    ),
+                    piece, F.coalesce(_placeholder_of(columns["known"], match), F.lit(""))
                 ),
             ),
             "",
@@ -128,8 +138,7 @@ def put_placeholders(text: Column, pattern: str, matches: Column, mapping: Colum
         F.struct(
             pieces.alias("pieces"),
             matches.alias("matches"),
-            originals.alias("originals"),
-            marks.alias("marks"),
+            known.alias("known"),
         )
     )
     rebuilt = F.element_at(F.transform(bound, joined), 1)

@@ -52,6 +52,18 @@ def _fill(template: Column, pairs: Column) -> Column:
     return F.when(~broken, filled)
 
 
+def template_name(reference: Column) -> Column:
+    """Name a reference asks for; NULL where it is not a valid URI."""
+    return F.try_parse_url(reference, F.lit("HOST"))
+
+
+def filled(reference: Column, template: Column) -> Column:
+    """The template with the parameters of the reference; NULL when the
+    reference has to stay: no template, or a parameter that cannot be decoded."""
+    bound = F.array(parameters(reference))
+    return F.element_at(F.transform(bound, lambda pairs: _fill(template, pairs)), 1)
+
+
 def resolve(reference: Column, templates: Mapping[str, str]) -> Column:
     """Filled template, or NULL when the reference has to stay as it is.
 
@@ -59,9 +71,7 @@ def resolve(reference: Column, templates: Mapping[str, str]) -> Column:
     parameter that cannot be decoded.
     """
     known = F.create_map(*[F.lit(x) for item in templates.items() for x in item])
-    template = F.try_element_at(known, F.try_parse_url(reference, F.lit("HOST")))
-    bound = F.array(parameters(reference))
-    return F.element_at(F.transform(bound, lambda pairs: _fill(template, pairs)), 1)
+    return filled(reference, F.try_element_at(known, template_name(reference)))
 
 
 def expand(payload: Column, templates: Mapping[str, str]) -> Column:
@@ -76,3 +86,8 @@ def expand(payload: Column, templates: Mapping[str, str]) -> Column:
         ),
     )
     return F.when(payload.contains("template://"), expanded).otherwise(payload)
+
+
+def put_back(payload: Column, found: Column) -> Column:
+    """Replace references by their values, ``found`` of ``(pos, reference, value)`` in order; NULL values stay."""
+    return F.aggregate(found, payload, lambda text, e: F.coalesce(F.replace(text, e["reference"], e["value"]), text))

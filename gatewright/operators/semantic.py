@@ -54,6 +54,12 @@ def _decided(stage: Stage, policy: SemanticGuard, content: Column, by_rule: Colu
 # --- rules as a table -------------------------------------------------------------
 
 
+def written(file: str) -> tuple[int, int]:
+    """Place of a file among those of a write: its task, and its number there."""
+    task, number = re.search(r"part-(\d+)-[^/]*-c(\d+)\.[^/]*$", file).groups()
+    return int(task), int(number)
+
+
 class RuleBlocks:
     """A rule table in the order of its rules, in files of bounded size.
 
@@ -73,8 +79,7 @@ class RuleBlocks:
         ordered = known.orderBy("allow", "ord", "prompt").withColumn("rule", F.monotonically_increasing_id())
         ordered.write.option("maxRecordsPerFile", max(1, most // self.width)).parquet(self.folder)
         self.table = self.spark.read.schema(ordered.schema).parquet(self.folder)
-        part = re.compile(r"part-(\d+)-.*?-c(\d+)")
-        self.files = sorted(self.table.inputFiles(), key=lambda f: tuple(map(int, part.search(f).groups())))
+        self.files = sorted(self.table.inputFiles(), key=written)
         self.first_allow = self.table.where("allow").agg(F.min("rule")).first()[0]
 
     def __iter__(self):

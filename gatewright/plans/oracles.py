@@ -328,8 +328,9 @@ SELECT event_id, CAST(unnest(range(len(m))) AS INTEGER) AS pos, unnest(m) AS can
                 '{"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 10}, '
                 '"v": {"type": "number"}}}' + "'")),
     "prompt_template": f"""SELECT item_id,
-  '{{"model":"chat-model","messages":[{{"role":"user","content":"Task: Put what follows into '
-  || length(text) || ' letters or fewer -- ' || {TEMPLATE_TEXT} || ' now"}}]}}' AS payload_out FROM benchmark""",
+  '{{"model":"chat-model","messages":[{{"role":"user","content":"Task: Card '
+  || length(text) || ', for new pupils: is this so? <' || {TEMPLATE_TEXT} || '> (end of card ' || length(text)
+  || ') now"}}]}}' AS payload_out FROM benchmark""",
     "prompt_decorate_string": """SELECT conv_id, turn, 'Answer "briefly". ' || text AS content
 FROM conversations WHERE role <> 'assistant'""",
     "prompt_decorate_array": f"""SELECT conv_id, turn, '{SYSTEM}' AS first, 'Be brief.' AS last, 'system' AS role,
@@ -391,6 +392,10 @@ SELECT doc_id, CASE WHEN has_mail AND NOT blocked THEN content ELSE text END AS
   CAST(1700000100 + 60 * turn - (1700000100 + 60 * turn) % 120 AS BIGINT) AS window_start, direction, halted_by,
   error_type, error_code, count(*) AS messages, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS payload_bytes
 FROM chained GROUP BY ALL""",
+    "prompt_template_table": """SELECT o_orderkey, 'Take ' || coalesce(
+  c_mktsegment || ' order [' || o_orderkey || '] of ' || o_orderstatus || ': ' || o_orderkey,
+  'template://c-' || o_custkey || '?n=' || o_orderkey || '&who=' || o_orderstatus)
+  || ', not template://nobody?x=1' AS content FROM orders LEFT JOIN customer ON c_custkey = o_custkey""",
     "guard_semantic_table": semantic_table("false", False),
     "guard_semantic_table_blocks": semantic_table("CAST(r.embedding[1] AS DOUBLE) <= 0.1", True),
     "policy_chain_asking": f"""WITH found AS (

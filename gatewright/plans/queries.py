@@ -53,7 +53,7 @@ SCHEMA = {
     "properties": {"k": {"type": "integer", "minimum": 10}, "v": {"type": "number"}},
 }
 TEMPLATES = [
-    {"name": "digest", "prompt": "Put what follows into [[length]] letters or fewer -- [[content]]"},
+    {"name": "quiz-card", "prompt": "Card [[no]], for [[level]] pupils: is this so? <[[claim]]> (end of card [[no]])"},
 ]
 DENY_IDS, ALLOW_IDS = (0, 1, 2), (3, 4)
 SIMILAR = 20
@@ -490,8 +490,8 @@ def guard_json_schema(spark, folder):
 @query
 def prompt_template(spark, folder):
     reference = F.concat(
-        F.lit("Task: template://digest?length="), F.length("text").cast("string"),
-        F.lit("&content="), F.url_encode("text"), F.lit(" now"),
+        F.lit("Task: template://quiz-card?level=new&no="), F.length("text").cast("string"),
+        F.lit("&claim="), F.url_encode("text"), F.lit(" now"),
     )
     messages = text_messages(table(spark, folder, "benchmark"), "item_id", reference)
     policy = g.TemplateExpansion("template", prompt_template_config=TEMPLATES)
@@ -962,6 +962,22 @@ def guard_semantic_table_blocks(spark, folder):
     return _semantic_table(spark, folder, "HYBRID", kind, rule_block=1 << 13)
 
 
+@query
+def prompt_template_table(spark, folder):
+    """A template for each customer, asked for by orders."""
+    templates = table(spark, folder, "customer").select(
+        F.concat(F.lit("c-"), F.col("c_custkey").cast("string")).alias("name"),
+        F.concat("c_mktsegment", F.lit(" order [[[n]]] of [[who]]: [[n]]")).alias("prompt"))
+    content = F.concat(
+        F.lit("Take template://c-"), F.col("o_custkey").cast("string"), F.lit("?n="), F.col("o_orderkey").cast("string"),
+        F.lit("&who="), F.col("o_orderstatus"), F.lit(", not template://nobody?x=1"))
+    content = F.replace(content, F.lit(","), F.lit(" ,"))
+    messages = text_messages(table(spark, folder, "orders"), "o_orderkey", content)
+    done = g.apply(messages, g.TemplateExpansion("template"), g.Inputs(templates=templates), flow="REQUEST")
+    return done.select(F.col("msg_id").alias("o_orderkey"),
+                       F.replace(last_text(F.col("payload_out")), F.lit(" ,"), F.lit(",")).alias("content"))
+
+
 # --- streams of several micro-batches --------------------------------------------------------
 
 
