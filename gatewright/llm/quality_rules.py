@@ -132,12 +132,15 @@ def certified_cutoffs(measures: DataFrame, labels: DataFrame, *, risk: float = R
     that no further correction is needed. Of the certified ones that is taken
     that parts bad from good documents best.
 
-    Labelled rows count once for each measured row; null labels are left out;
-    of contradicting labels the better counts. Without labels all rules are off.
+    The bound asks for independent trials, so that each labelled id is one in
+    its stratum, however many rows repeat it: over a cutoff if one of them is.
+    Null labels are left out; of contradicting labels the better counts.
+    Without labels all rules are off.
     """
     each = len(RULES)
     known = labels.where(F.col(label_col).isNotNull()).groupBy("doc_id").agg(F.max(label_col).alias("good"))
-    rows = measures.where("not base_failed").join(known, "doc_id")
+    rows = measures.where("not base_failed").join(known, "doc_id").groupBy("stratum", "doc_id").agg(
+        F.max("good").alias("good"), *[F.max(r).alias(r) for r in RULES])
     good = F.col("good") == 1
     counts = rows.groupBy("stratum").agg(
         F.sum(good.cast("long")).alias("n_good"), F.sum((~good).cast("long")).alias("n_bad"),
@@ -246,7 +249,9 @@ known AS (
 counts AS (
   SELECT stratum, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE NOT good) AS n_bad,
          {_over('true')}, {_over('false')}
-  FROM f JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY stratum),
+  FROM (SELECT stratum, doc_id, any_value(good) AS good, {', '.join(f'max({r}) AS {r}' for r in RULES)}
+        FROM f JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY stratum, doc_id)
+  GROUP BY stratum),
 tests AS (
   SELECT stratum, n_good, n_bad, strata, unnest([{_SQL_TESTS}], recursive := true)
   FROM (SELECT *, count(*) OVER () AS strata FROM counts)),

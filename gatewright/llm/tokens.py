@@ -113,18 +113,21 @@ def length_histogram(sizes: DataFrame) -> DataFrame:
 def at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
     """``context, truncated_total, docs_cut, kept_whole`` for any context limits:
     those between two lengths follow from the sums at the next longer one."""
-    rows = histogram.sparkSession.createDataFrame([(int(x),) for x in limits], "context long")
-    longer = F.col("n_tokens") > F.col("context")
-    each = histogram.select("*", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])).alias("context"))
-    sums = each.groupBy("context").agg(
-        F.max("tokens_total").alias("total"), F.max("docs_total").alias("docs"),
-        F.sum(F.when(longer, F.col("n_docs")).otherwise(0)).alias("docs_cut"),
-        F.sum(F.when(longer, F.col("n_docs") * (F.col("n_tokens") - F.col("context"))).otherwise(0)).alias("lost"))
+    if not limits:
+        return histogram.sparkSession.createDataFrame(
+            [], "context long, truncated_total long, docs_cut long, kept_whole long")
+    # one look-up for each limit: the suffix sums at the next longer length
+    next_longer = [F.min(F.when(F.col("n_tokens") > x, F.struct("n_tokens", "docs_at_least", "tokens_at_least")))
+                   for x in limits]
+    found = histogram.agg(F.max("tokens_total").alias("total"), F.max("docs_total").alias("docs"), F.array(*[
+        F.struct(F.lit(int(x)).cast("long").alias("context"), longer.alias("sums"))
+        for x, longer in zip(limits, next_longer)]).alias("limits"))
     none = F.lit(0).cast("long")
-    return rows.join(sums, "context", "left").select(
-        "context", F.coalesce(F.col("total") - F.col("lost"), none).alias("truncated_total"),
-        F.coalesce("docs_cut", none).alias("docs_cut"),
-        F.coalesce(F.col("docs") - F.col("docs_cut"), none).alias("kept_whole"))
+    cut, lost = (F.coalesce(F.col(f"sums.{c}"), none) for c in ("docs_at_least", "tokens_at_least"))
+    rows = found.select(F.coalesce("total", none).alias("total"), F.coalesce("docs", none).alias("docs"), F.inline("limits"))
+    return rows.select(
+        "context", (F.col("total") - lost + F.col("context") * cut).alias("truncated_total"),
+        cut.alias("docs_cut"), (F.col("docs") - cut).alias("kept_whole"))
 
 
 def quantiles(histogram: DataFrame, shares: list[float]) -> DataFrame:

@@ -65,6 +65,17 @@ def test_too_many_good_documents_over_a_cutoff_end_the_search(spark):
     assert qr.certified_cutoffs(_measures(spark, rows), labels).count() == 0
 
 
+def test_repeated_rows_are_one_trial(spark):
+    """Too few labelled ids for the promise stay too few, however often their rows come."""
+    rows = [(i, "a", False, 0.9 if i % 4 == 0 else 0.0, 0.0, 0.0, 0.0) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(400)], "doc_id long, quality int")
+    assert qr.certified_cutoffs(_measures(spark, rows), labels).count() == 0
+    assert qr.certified_cutoffs(_measures(spark, rows * 10), labels).count() == 0
+    more = [(i, "a", False, 0.9 if i % 4 == 0 else 0.0, 0.0, 0.0, 0.0) for i in range(4000)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(4000)], "doc_id long, quality int")
+    assert qr.certified_cutoffs(_measures(spark, more), labels).count() == 1
+
+
 def test_filter_keeps_rows_and_columns(spark, documents):
     fine = " ".join(f"w{i}" for i in range(60))
     docs = documents([fine, "short", None, fine, "a a a " * 30], ids=[1, 2, 3, 1, None])
