@@ -60,7 +60,7 @@ def _follow(hooks: DataFrame) -> DataFrame:
 
 
 def _relabel(labels: DataFrame, hooks: DataFrame) -> DataFrame:
-    """Old labels carried to the new roots, and the nodes that are new."""
+    """Old labels carried to the new roots. Nodes that meet later than the first round are roots by then, so none is new."""
     to = hooks.select(F.col("node").alias("root"), F.col("root").alias("new"))
     return labels.join(to, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
 
