@@ -53,6 +53,8 @@ ROUND_DOCUMENTS = 16_384
 
 # Words of a passage, and the grams by which its windows meet: fifty words have 99 bytes at least.
 PASSAGE_WORDS, PASSAGE_GRAM = 50, 64
+# Bytes of short texts that are searched for passages at once.
+STRETCH = 1 << 19
 
 PLACE = "h:bigint,lo:int,hi:int,off:int"
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("past", T.IntegerType())]))
@@ -130,32 +132,38 @@ def passages(data: bytes, words: int, most: int) -> tuple[np.ndarray, np.ndarray
     return starts[fit], ends[fit]
 
 
-def passage_anchors(data: bytes, words: int, most: int, gram: int):
-    """As ``anchors_of``, for passages; lo and hi are starts of words. A passage
-    has at least two bytes less one for each word, which ``gram`` must not exceed."""
-    starts, ends = passages(data, words, most)
-    if not len(starts):
-        return [], []
-    h = gram_hashes(np.frombuffer(data, np.uint8), gram)
-    least = _range_min(h, starts, ends - gram)
-    bounds = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(starts)]
-    places, tied = [], []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        lo, hi = int(starts[a]), int(starts[b - 1])
-        at = np.flatnonzero(h[lo:ends[b - 1] - gram + 1] == least[a]) + lo
-        key = int(least[a:a + 1].view(np.int64)[0])
-        if len(at) == 1:
-            places.append((key, lo, hi, int(at[0]) - lo))
-            continue
-        first = np.searchsorted(at, starts[a:b])
-        alone = np.searchsorted(at, ends[a:b] - gram, "right") - first == 1
-        tied += starts[a:b][~alone].tolist()
-        for k in np.unique(first[alone]).tolist():
-            mine = starts[a:b][alone & (first == k)]
-            cuts = np.flatnonzero(np.diff(np.searchsorted(starts, mine)) > 1) + 1  # tied ones may lie between
-            for run in np.split(mine, cuts):
-                places.append((key, int(run[0]), int(run[-1]), int(at[k] - run[0])))
-    return places, tied
+def passage_anchors(texts: list[bytes], words: int, most: int, gram: int):
+    """As ``anchors_of``, for the passages of several texts: one ``(places, tied)``
+    each, where lo and hi are starts of words. Texts lie one behind the other, so
+    that many short ones cost no more than a long one. A passage has at least two
+    bytes less one for each word, which ``gram`` must not exceed."""
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    ink = np.pad(~BLANK[data], 1)
+    starts, ends = np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(ink[:-1] & ~ink[1:])
+    text = np.searchsorted(begins, starts, "right") - 1
+    count = max(0, len(starts) - words + 1)
+    fit = np.flatnonzero((text[:count] == text[words - 1:]) & (ends[words - 1:] - starts[:count] <= most))
+    none = np.zeros((0, 4), np.int64)
+    if not len(fit):
+        return [(none, []) for _ in texts]
+    starts, ends, text = starts[fit], ends[fit + words - 1], text[fit]
+    h = gram_hashes(data, gram)
+    # the first and the last place of the smallest gram, with the place in the lower bits
+    low = np.uint64((1 << len(h).bit_length()) - 1)
+    at = np.arange(len(h), dtype=np.uint64)
+    least = _range_min(np.stack(((h & ~low) | at, (h & ~low) | (low - at))), starts, ends - gram)
+    first, last = (least[0] & low).astype(np.int64), (low - (least[1] & low)).astype(np.int64)
+    alone = np.flatnonzero(first == last)
+    cuts = np.flatnonzero((first[alone][1:] != first[alone][:-1]) | (np.diff(alone) > 1)) + 1
+    head = alone[np.concatenate(([0], cuts))] if len(alone) else alone
+    tail = alone[np.append(cuts, len(alone)) - 1] if len(alone) else alone
+    place, of = first[head], text[head]
+    rows = np.stack((h[place].view(np.int64), starts[head] - begins[of], starts[tail] - begins[of], place - starts[head]), 1)
+    tied = np.flatnonzero(first != last)
+    rows = np.split(rows, np.searchsorted(of, np.arange(1, len(texts))))
+    tied_starts = np.split(starts[tied] - begins[text[tied]], np.searchsorted(text[tied], np.arange(1, len(texts))))
+    return [(r, t.tolist()) for r, t in zip(rows, tied_starts)]
 
 
 def window_rows(data: bytes, starts, ends) -> list[tuple[bytes, int, list[int]]]:
@@ -172,10 +180,19 @@ class Windows:
     def __init__(self, width: int, gram: int, words: int = 0):
         self.width, self.gram, self.words = width, gram, words
 
-    def anchors(self, data: bytes):
-        if self.words:
-            return passage_anchors(data, self.words, self.width, self.gram)
-        return anchors_of(data, self.width, self.gram)
+    def anchors(self, texts: list[bytes]):
+        """``(places, tied)`` of every text."""
+        if not self.words:
+            return [anchors_of(data, self.width, self.gram) for data in texts]
+        out, at = [], 0
+        while at < len(texts):
+            past, size = at, 0
+            while past < len(texts) and (past == at or size < STRETCH):
+                size += len(texts[past])
+                past += 1
+            out += passage_anchors(texts[at:past], self.words, self.width, self.gram)
+            at = past
+        return out
 
     def ends(self, data: bytes, starts: list[int]) -> list[int]:
         if not self.words:
@@ -199,12 +216,13 @@ def _bytes(text: str | None) -> bytes:
 
 
 def text_key(text):
-    """16 bytes that stand for the text; the same as ``_key`` of its bytes."""
+    """16 bytes that stand for the text: the first of its SHA-256."""
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
 
 
-def _key(data: bytes) -> bytes:
-    return hashlib.sha256(data).digest()[:16]
+def _words(data: bytes) -> int:
+    ink = ~BLANK[np.frombuffer(data, np.uint8)]
+    return int(np.count_nonzero(ink[1:] & ~ink[:-1]) + ink[:1].sum())
 
 
 def _place_lists(places: list[np.ndarray]) -> pa.Array:
@@ -221,25 +239,26 @@ def anchored(docs: DataFrame, windows: Windows) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            keys, sizes, shas, places, ties = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                data = _bytes(text)
-                place, tied = windows.anchors(data)
-                keys.append(_key(data))
+            keys, sizes, shas, words, places, ties = [], [], [], [], [], []
+            texts = [_bytes(text) for text in batch.column("text").to_pylist()]
+            for data, (place, tied) in zip(texts, windows.anchors(texts)):
+                sha = hashlib.sha256(data)
+                keys.append(sha.digest()[:16])
                 sizes.append(len(data))
-                shas.append(hashlib.sha256(data).hexdigest())
+                shas.append(sha.hexdigest())
+                words.append(_words(data))
                 places.append(np.array(place, np.int64).reshape(-1, 4))
                 ties.append([{"x": x, "size": n, "starts": s}
                              for x, n, s in window_rows(data, tied, windows.ends(data, tied))])
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                pa.array(shas, pa.string()),
+                pa.array(shas, pa.string()), pa.array(words, pa.int64()),
                 _place_lists(places),
                 pa.array(ties, pa.list_(pa.struct([
                     ("x", pa.binary()), ("size", pa.int32()), ("starts", pa.list_(pa.int32()))])))],
-                ["doc_id", "tkey", "n_bytes", "sha", "places", "ties"])
+                ["doc_id", "tkey", "n_bytes", "sha", "n_words", "places", "ties"])
 
-    return docs.mapInArrow(each, f"doc_id {kind}, tkey binary, n_bytes long, sha string, "
+    return docs.mapInArrow(each, f"doc_id {kind}, tkey binary, n_bytes long, sha string, n_words long, "
                                  f"places array<struct<{PLACE}>>, ties array<struct<x:binary,size:int,starts:array<int>>>")
 
 
@@ -247,13 +266,13 @@ def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     """Minima of ``values[lo..hi]``, by tables of powers of two."""
     length = hi - lo + 1
     level = np.frexp(length.astype(np.float64))[1] - 1
-    out = np.empty(len(lo), values.dtype)
+    out = np.empty((*values.shape[:-1], len(lo)), values.dtype)
     least = values
     for k in range(int(level.max()) + 1):
         if k:
-            least = np.minimum(least[:-(1 << (k - 1))], least[1 << (k - 1):])
+            least = np.minimum(least[..., :-(1 << (k - 1))], least[..., 1 << (k - 1):])
         at = np.flatnonzero(level == k)
-        out[at] = np.minimum(least[lo[at]], least[hi[at] - (1 << k) + 1])
+        out[..., at] = np.minimum(least[..., lo[at]], least[..., hi[at] - (1 << k) + 1])
     return out
 
 
@@ -388,7 +407,7 @@ def _repeated_windows(rows: DataFrame) -> DataFrame:
 class Repeats:
     """What repeats in ``docs``, a row per distinct text.
 
-    ``rows``: ``doc_id, tkey, n_bytes, sha`` of every row; ``copies``: ``tkey, n``;
+    ``rows``: ``doc_id, tkey, n_bytes, sha, n_words`` of every row; ``copies``: ``tkey, n``;
     ``texts``: the distinct texts that may hold repeats; ``spans``: ``tkey, spans``,
     the repeated stretches, merged. A text that occurs twice repeats as a whole.
     With ``words``, passages of so many words take the place of strings of ``width`` bytes.
@@ -399,7 +418,7 @@ class Repeats:
         windows = Windows(width, gram, words)
         docs = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
         found = stored(anchored(docs, windows), "anchors")
-        self.rows = found.select("doc_id", "tkey", "n_bytes", "sha")
+        self.rows = found.select("doc_id", "tkey", "n_bytes", "sha", "n_words")
         once = stored(found.groupBy("tkey").agg(
             F.count("*").alias("n"), F.min("doc_id").alias("rep"), F.first("places").alias("places"),
             F.first("ties").alias("ties")), "texts")
@@ -453,7 +472,7 @@ def repeat_report(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, larg
     ``width`` never change; repeated rows are copies of each other and go
     whole; ids play no part in what repeats. Other columns are not looked at.
     """
-    return _report(Repeats(docs, width, gram, large), width).drop("tkey")
+    return _report(Repeats(docs, width, gram, large), width).drop("tkey", "n", "n_words")
 
 
 def _report(found: Repeats, width: int) -> DataFrame:
@@ -482,7 +501,7 @@ def _report(found: Repeats, width: int) -> DataFrame:
     rows = found.rows.join(known, "tkey", "left")
     whole = (F.col("n") > 1) & (F.col("n_bytes") >= width)
     return rows.select(
-        "tkey", "doc_id", "n_bytes",
+        "tkey", "n", "n_words", "doc_id", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("spans", F.lit(0).cast("long"))).alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
@@ -513,13 +532,10 @@ def passage_report(docs: DataFrame, *, words: int = PASSAGE_WORDS, width: int =
     found = Repeats(docs, width, gram, large)
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["past"] - s["first"]).cast("long"))
     part = joined(found.spans, more).select("tkey", size.alias("part"))
-    long = docs.select(text_key(F.col("text")).alias("tkey"), word_count("text").alias("words")).where(
-        F.col("words") >= words)
-    whole = long.groupBy("tkey").agg(F.count("*").alias("copies")).where("copies > 1").select("tkey", "copies")
-    sizes = part.join(whole, "tkey", "full")
-    rows = _report(found, width).join(sizes, "tkey", "left").drop("tkey")
-    return rows.withColumn("n_with_passages", F.when(F.col("copies") > 1, F.col("n_bytes")).otherwise(
-        F.greatest("n_removed", F.coalesce("part", F.lit(0).cast("long"))))).drop("part", "copies")
+    rows = _report(found, width).join(part, "tkey", "left")
+    whole = (F.col("n") > 1) & (F.col("n_words") >= words)
+    return rows.withColumn("n_with_passages", F.when(whole, F.col("n_bytes")).otherwise(
+        F.greatest("n_removed", F.coalesce("part", F.lit(0).cast("long"))))).drop("part", "tkey", "n", "n_words")
 
 
 def op5_suffix_array(spark, sf_dir: str) -> DataFrame:
