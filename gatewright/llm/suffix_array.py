@@ -53,7 +53,7 @@ ROUND_DOCUMENTS = 16_384
 
 # Words of a passage, and the grams by which its windows meet: fifty words have 99 bytes at least.
 PASSAGE_WORDS, PASSAGE_GRAM = 50, 64
-# Bytes of short texts that are searched for passages at once.
+# Bytes of short texts whose anchors are found at once.
 STRETCH = 1 << 19
 
 PLACE = "h:bigint,lo:int,hi:int,off:int"
@@ -86,37 +86,54 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return least
 
 
+def _placed(h: np.ndarray, least: np.ndarray, low: np.uint64, starts: np.ndarray, text: np.ndarray,
+            begins: np.ndarray, count: int):
+    """``(places, tied)`` of every text, from the first and the last place of each
+    window's smallest gram. Windows in a row with one and the same place share it;
+    those in which the gram stands twice have none."""
+    first, last = (least[0] & low).astype(np.int64), (low - (least[1] & low)).astype(np.int64)
+    alone = np.flatnonzero(first == last)
+    cuts = np.flatnonzero((first[alone][1:] != first[alone][:-1]) | (np.diff(alone) > 1)) + 1
+    head = alone[np.concatenate(([0], cuts))] if len(alone) else alone
+    tail = alone[np.append(cuts, len(alone)) - 1] if len(alone) else alone
+    place, of = first[head], text[head]
+    rows = np.stack((h[place].view(np.int64), starts[head] - begins[of], starts[tail] - begins[of], place - starts[head]), 1)
+    tied = np.flatnonzero(first != last)
+    bounds = np.arange(1, count)
+    rows = np.split(rows, np.searchsorted(of, bounds))
+    tied_starts = np.split(starts[tied] - begins[text[tied]], np.searchsorted(text[tied], bounds))
+    return [(r, t.tolist()) for r, t in zip(rows, tied_starts)]
+
+
+def _both_ends(h: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """Hashes with their place, and their place from behind, in the lower bits:
+    minima are the first and the last place of the smallest."""
+    low = np.uint64((1 << len(h).bit_length()) - 1)
+    at = np.arange(len(h), dtype=np.uint64)
+    return np.stack(((h & ~low) | at, (h & ~low) | (low - at))), low
+
+
+def byte_anchors(texts: list[bytes], width: int, gram: int):
+    """One ``(places, tied)`` for every text: the anchors ``(h, lo, hi, off)``, each
+    for the windows that start at lo..hi and hold it at ``lo + off``; and the
+    starts of the windows whose smallest gram occurs twice in them, which have
+    none. Texts lie one behind the other, so that many short ones cost no more
+    than a long one."""
+    sizes = np.array([len(t) for t in texts])
+    begins = np.cumsum(sizes) - sizes
+    windows = np.maximum(sizes - width + 1, 0)
+    text = np.repeat(np.arange(len(texts)), windows)
+    if not len(text):
+        return [(np.zeros((0, 4), np.int64), []) for _ in texts]
+    starts = np.arange(len(text)) + np.repeat(begins - (np.cumsum(windows) - windows), windows)
+    h = gram_hashes(np.frombuffer(b"".join(texts), np.uint8), gram)
+    both, low = _both_ends(h)
+    least = np.stack([sliding_min(x, width - gram + 1) for x in both])[:, starts]
+    return _placed(h, least, low, starts, text, begins, len(texts))
+
+
 def anchors_of(data: bytes, width: int, gram: int):
-    """``(places, tied)``: the anchors ``(h, lo, hi, off)`` of the text, each for
-    the windows that start at lo..hi and hold it at ``lo + off``; and the starts
-    of the windows whose smallest gram occurs twice in them, which have none."""
-    n = len(data)
-    if n < width:
-        return [], []
-    h = gram_hashes(np.frombuffer(data, np.uint8), gram)
-    w = width - gram + 1
-    least = sliding_min(h, w)
-    cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
-    firsts = np.concatenate(([0], cuts))
-    lasts = np.concatenate((cuts - 1, [len(least) - 1]))
-    signed = least[firsts].view(np.int64).tolist()
-    places, tied = [], []
-    for s1, s2, key in zip(firsts.tolist(), lasts.tolist(), signed):
-        at = np.flatnonzero(h[s1:s2 + w] == least[s1]) + s1
-        if len(at) == 1:
-            places.append((key, s1, s2, int(at[0]) - s1))
-            continue
-        before = np.concatenate(([-1], at[:-1]))
-        after = np.concatenate((at[1:], [n + w]))
-        lo = np.maximum(np.maximum(s1, before + 1), at - w + 1)
-        hi = np.minimum(np.minimum(s2, at), after - w)
-        alone = np.zeros(s2 - s1 + 1, bool)
-        for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist()):
-            if a <= b:
-                places.append((key, a, b, p - a))
-                alone[a - s1:b - s1 + 1] = True
-        tied.extend((np.flatnonzero(~alone) + s1).tolist())
-    return places, tied
+    return byte_anchors([data], width, gram)[0]
 
 
 BLANK = np.zeros(256, bool)
@@ -133,10 +150,8 @@ def passages(data: bytes, words: int, most: int) -> tuple[np.ndarray, np.ndarray
 
 
 def passage_anchors(texts: list[bytes], words: int, most: int, gram: int):
-    """As ``anchors_of``, for the passages of several texts: one ``(places, tied)``
-    each, where lo and hi are starts of words. Texts lie one behind the other, so
-    that many short ones cost no more than a long one. A passage has at least two
-    bytes less one for each word, which ``gram`` must not exceed."""
+    """As ``byte_anchors``, for passages: lo and hi are starts of words. A passage has at
+    least two bytes less one for each word, which ``gram`` must not exceed."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
     ink = np.pad(~BLANK[data], 1)
@@ -149,21 +164,8 @@ def passage_anchors(texts: list[bytes], words: int, most: int, gram: int):
         return [(none, []) for _ in texts]
     starts, ends, text = starts[fit], ends[fit + words - 1], text[fit]
     h = gram_hashes(data, gram)
-    # the first and the last place of the smallest gram, with the place in the lower bits
-    low = np.uint64((1 << len(h).bit_length()) - 1)
-    at = np.arange(len(h), dtype=np.uint64)
-    least = _range_min(np.stack(((h & ~low) | at, (h & ~low) | (low - at))), starts, ends - gram)
-    first, last = (least[0] & low).astype(np.int64), (low - (least[1] & low)).astype(np.int64)
-    alone = np.flatnonzero(first == last)
-    cuts = np.flatnonzero((first[alone][1:] != first[alone][:-1]) | (np.diff(alone) > 1)) + 1
-    head = alone[np.concatenate(([0], cuts))] if len(alone) else alone
-    tail = alone[np.append(cuts, len(alone)) - 1] if len(alone) else alone
-    place, of = first[head], text[head]
-    rows = np.stack((h[place].view(np.int64), starts[head] - begins[of], starts[tail] - begins[of], place - starts[head]), 1)
-    tied = np.flatnonzero(first != last)
-    rows = np.split(rows, np.searchsorted(of, np.arange(1, len(texts))))
-    tied_starts = np.split(starts[tied] - begins[text[tied]], np.searchsorted(text[tied], np.arange(1, len(texts))))
-    return [(r, t.tolist()) for r, t in zip(rows, tied_starts)]
+    both, low = _both_ends(h)
+    return _placed(h, _range_min(both, starts, ends - gram), low, starts, text, begins, len(texts))
 
 
 def window_rows(data: bytes, starts, ends) -> list[tuple[bytes, int, list[int]]]:
@@ -182,15 +184,16 @@ class Windows:
 
     def anchors(self, texts: list[bytes]):
         """``(places, tied)`` of every text."""
-        if not self.words:
-            return [anchors_of(data, self.width, self.gram) for data in texts]
         out, at = [], 0
         while at < len(texts):
             past, size = at, 0
             while past < len(texts) and (past == at or size < STRETCH):
                 size += len(texts[past])
                 past += 1
-            out += passage_anchors(texts[at:past], self.words, self.width, self.gram)
+            if self.words:
+                out += passage_anchors(texts[at:past], self.words, self.width, self.gram)
+            else:
+                out += byte_anchors(texts[at:past], self.width, self.gram)
             at = past
         return out
 
