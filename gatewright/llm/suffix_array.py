@@ -208,9 +208,17 @@ class Windows:
         if not self.words:
             return None
         need = np.full((columns, len(texts)), np.iinfo(np.int16).max, np.int16)
-        for i, (b, text) in enumerate(zip(begin.tolist(), texts)):
-            starts, ends = passages(text, self.words, self.width)
-            need[b + starts, i] = ends - starts
+        # all texts one behind the other, a blank between them
+        data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        at = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        ink = np.pad(~BLANK[data], 1)
+        starts, ends = np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(ink[:-1] & ~ink[1:])
+        text = np.searchsorted(at, starts, "right") - 1
+        count = max(0, len(starts) - self.words + 1)
+        size = ends[self.words - 1:] - starts[:count]
+        fit = np.flatnonzero((text[:count] == text[self.words - 1:]) & (size <= self.width))
+        of = text[fit]
+        need[begin[of] + starts[fit] - at[of], of] = size[fit]
         return need
 
 
