@@ -1,9 +1,9 @@
 """Benchmark decontamination by n-grams of words.
 
 The n-grams of the test items become a set of hashes that travels with the plan
-as a bitmap of fixed size. One scan of the documents looks up every window of
-words; the few that pass are compared with the n-grams themselves in a join on
-the words. Everything is built from DataFrame functions.
+as a bitmap, sized by their number within a bound. One scan of the documents
+looks up every window of words; the few that pass are compared with the n-grams
+themselves in a join on the words. Everything is built from DataFrame functions.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words where A-Z are not yet folded.
 CASED_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NGRAM = 10
-# The bitmap: 2 ** 19 bytes of seven bits, 3.7 million slots. Fuller ones let
-# more windows through to the exact comparison and lose nothing.
-SLOT_BYTES = 1 << 19
-SLOT_BITS = 7
+# The bitmap: bytes of seven bits, with 64 slots or more for each n-gram up to
+# 4 MiB. Fuller ones let more windows through to the exact comparison and lose
+# nothing. Its bytes come to the driver in pages.
+SLOT_BYTES = 1 << 22
+SLOT_BITS, SLOTS_EACH = 7, 64
+PAGE_BYTES = 256
 
 
 def words_of(text: Column) -> Column:
@@ -41,24 +43,38 @@ def item_ngrams(items: DataFrame, n: int = NGRAM, *, id_col: str = "item_id", te
         "ngram", F.size("ngram").alias("len"), "items")
 
 
-def _slot(words: Column) -> Column:
-    return F.pmod(F.xxhash64(words), F.lit(SLOT_BYTES * SLOT_BITS))
+def _slot(words: Column, size: int) -> Column:
+    return F.pmod(F.xxhash64(words), F.lit(size * SLOT_BITS))
+
+
+def bitmap_bytes(ngrams: int) -> int:
+    """The size for so many n-grams: a power of two, ``SLOT_BYTES`` at most."""
+    size = 1
+    while size < SLOT_BYTES and size * SLOT_BITS < ngrams * SLOTS_EACH:
+        size *= 2
+    return size
 
 
 def bitmap(ngrams: DataFrame) -> bytes:
     """The set of the n-grams' hashes, with seven slots in a byte: at most
-    ``SLOT_BYTES`` rows come to the driver, however many n-grams there are."""
-    slot = _slot(F.col("ngram"))
-    rows = ngrams.select(F.floor(slot / SLOT_BITS).cast("int").alias("at"),
-                         F.pow(F.lit(2), F.pmod(slot, F.lit(SLOT_BITS))).cast("int").alias("bit"))
-    bits = bytearray(SLOT_BYTES)
-    for row in rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
-        bits[row["at"]] = row["bits"]
-    return bytes(bits)
+    ``SLOT_BYTES`` come to the driver, however many n-grams there are."""
+    size = bitmap_bytes(ngrams.count())
+    slot = _slot(F.col("ngram"), size)
+    byte = F.floor(slot / SLOT_BITS).cast("int")
+    rows = ngrams.select(byte.alias("at"), F.pow(F.lit(2), F.pmod(slot, F.lit(SLOT_BITS))).cast("int").alias("bit"))
+    page = F.floor(F.col("at") / PAGE_BYTES).cast("int")
+    pages = rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).groupBy(page.alias("page")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("at") % PAGE_BYTES, "bits"))).alias("set"))
+    each = F.transform(F.sequence(F.lit(0), F.lit(PAGE_BYTES - 1)), lambda i: F.lpad(
+        F.hex(F.coalesce(F.try_element_at("set", i), F.lit(0))), 2, "0"))
+    bits = bytearray(max(size, PAGE_BYTES))
+    for row in pages.select("page", F.unhex(F.array_join(each, "")).alias("content")).collect():
+        bits[row["page"] * PAGE_BYTES:(row["page"] + 1) * PAGE_BYTES] = row["content"]
+    return bytes(bits[:size])
 
 
 def _may_hold(bits: bytes, words: Column) -> Column:
-    slot = _slot(words)
+    slot = _slot(words, len(bits))
     byte = F.ascii(F.substring(F.lit(bits), F.floor(slot / SLOT_BITS).cast("int") + 1, F.lit(1)).cast("string"))
     return F.getbit(byte, F.pmod(slot, F.lit(SLOT_BITS)).cast("int")) == 1
 
