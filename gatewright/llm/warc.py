@@ -3,22 +3,26 @@
 Every page becomes a record of an archive file; of records with the same
 payload one is a response and the others revisit it. Reading the archives back,
 each task sorts the captures it found: a run. Runs are dealt into ranges of
-(URL key, time), and each range merges its slices of the runs with a tree of
-losers, which gives capture histories in global order.
+(URL key, time), as many as keep a range small, and each range merges its slices
+of the runs with a tree of losers, which gives capture histories in global order.
+
+Archive files are bounded by bytes and plain, so that an index entry's file and
+offset are all that is needed to read one record.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import io
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.llm.common import ship
+from gatewright.llm.common import partitions, ship
 from gatewright.llm.url_filter import host_of
 from gatewright.session import stored, work_folder
 
@@ -26,8 +30,11 @@ ship(__name__)
 
 # Payloads from this size on are stored once.
 SHARED_BYTES = 1000
-RECORDS_PER_FILE = 10_000
+# Bytes of an archive file (one record more at most), captures of a run and of a range.
+FILE_BYTES = 1 << 25
 RUN_ROWS = 100_000
+RANGE_ROWS = 100_000
+SEPARATOR = "\r\n\r\n"
 EPOCH = "2020-01-01 00:00:00"
 ENTRY = ("urlkey string, ts string, page_id long, payload_bytes long, payload_digest string, record_type string, "
          "refers_to long, file string, at long")
@@ -82,15 +89,32 @@ def records(pages: DataFrame) -> DataFrame:
     return rows.select(value.alias("value"))
 
 
-def write_archives(pages: DataFrame, folder: str) -> None:
-    """Archive files of a bounded number of records, gzip over the whole file."""
-    records(pages).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> None:
+    """Archive files of about ``file_bytes`` bytes at most; a longer record has its own.
+
+    Each task writes its records in order and begins a new file, a folder
+    ``part=n`` of its own, when one is full.
+    """
+
+    def each(batches):
+        part, room = 0, file_bytes
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("value")).to_numpy() + len(SEPARATOR)
+            parts = np.empty(len(sizes), np.int32)
+            for i, size in enumerate(sizes.tolist()):
+                if size > room and room < file_bytes:
+                    part, room = part + 1, file_bytes
+                parts[i] = part
+                room -= size
+            yield pa.RecordBatch.from_arrays([batch.column("value"), pa.array(parts)], ["value", "part"])
+
+    records(pages).mapInArrow(each, "value string, part int").write.partitionBy("part").option(
+        "lineSep", SEPARATOR).option("compression", "none").text(folder)
 
 
 def parse_archive(stream):
-    """``(offset, headers, payload)`` of the records of an unpacked stream, one
-    record in memory at a time; offsets count the stream's bytes."""
+    """``(offset, headers, payload)`` of the records of a stream, from where it
+    stands; one record in memory at a time, offsets count from there."""
     at = 0
     while line := stream.readline():
         size, headers = len(line), {}
@@ -136,7 +160,8 @@ def _batch(rows, extra=()):
 def capture_runs(spark, folder: str, run_rows: int = RUN_ROWS) -> DataFrame:
     """The index entries of all archives with ``run`` and ``seq``: each task's
     captures in order, in runs of bounded length."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "part-*").load(folder).select("path", "content")
 
     def each(batches):
         task, number, held = TaskContext.get().partitionId(), 0, []
@@ -147,8 +172,8 @@ def capture_runs(spark, folder: str, run_rows: int = RUN_ROWS) -> DataFrame:
 
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                name = path.rsplit("/", 1)[-1]
-                for at, headers, payload in parse_archive(gzip.open(io.BytesIO(content.as_py()))):
+                name = "/".join(path.split("/")[-2:])  # with the folder of its part
+                for at, headers, payload in parse_archive(io.BytesIO(content.as_py())):
                     held.append(entry(name, at, headers, payload))
                     if len(held) == run_rows:
                         yield run()
@@ -199,13 +224,15 @@ class LoserTree:
             self.winner = w
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
+def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The entries of all runs in one order over all partitions.
 
     Ranges are cut by URL key, time, id and place, so a URL with a third of all
-    captures spreads over many. Within a range the slices of the runs come back
-    in the order they were sorted in and are merged.
+    captures spreads over many; there are as many as leave about ``range_rows``
+    captures to each, whatever the input. Within a range the slices of the runs
+    come back in the order they were sorted in and are merged.
     """
+    ranges = max(1, -(-runs.count() // range_rows), partitions(runs.sparkSession))
 
     def each(batches):
         slices: dict[int, list[tuple]] = {}
@@ -221,7 +248,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
                 held = []
         yield _batch(held)
 
-    ranged = runs.repartitionByRange("urlkey", "ts", "page_id", "file", "at").sortWithinPartitions("run", "seq")
+    ranged = runs.repartitionByRange(ranges, "urlkey", "ts", "page_id", "file", "at").sortWithinPartitions("run", "seq")
     return ranged.mapInArrow(each, ENTRY)
 
 
