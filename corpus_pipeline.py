@@ -51,7 +51,9 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @freeing
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with similar five-word shingles stays: a row
-    with an id before those without, then the smallest id. Of repeated rows one stays."""
+    with an id before those without, then the smallest id. Of repeated rows one stays.
+
+    SimHash finds texts a few bits apart, which are verified; prefixes find the others."""
     return near_copies.keep_one(docs)
 
 

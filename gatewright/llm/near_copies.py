@@ -7,6 +7,10 @@ that most pairs which only share a passage drop out by the count. What is left
 is compared with whole sets. Frequent shingles come last in the order, so that
 they seldom get into a prefix; that order is estimated from a sample, which
 affects cost, never results.
+
+SimHash goes first: texts whose fingerprints are a few bits apart are found by
+``simhash.links`` and compared with whole sets. The prefixes then look for what
+is similar beyond that, and leave out texts that hang together already.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 
 from gatewright.llm.common import LOWER, UPPER, ship
 from gatewright.llm.graph import components
+from gatewright.llm.simhash import fingerprint, links, plan_partitions
 from gatewright.session import release, stored, work_scope
 
 ship(__name__)
@@ -92,8 +97,8 @@ def text_key(text: Column) -> Column:
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, th, words, n, prefix`` of every row: 16 bytes each for the text
-    and for its words, the number of its shingles and its prefix."""
+    """``doc_id, th, words, n, prefix, fp`` of every row: 16 bytes each for the text
+    and for its words, the number of its shingles, its prefix and its SimHash fingerprint."""
     frequent, counts = frequent_shingles(docs, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("th"),
                        F.col(text_col).alias("text"))
@@ -101,17 +106,31 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            keys, sizes, firsts = [], [], []
+            keys, sizes, firsts, fps = [], [], [], []
             for text in batch.column("text").to_pylist():
                 key, hashes = shingles(text)
                 keys.append(key)
                 sizes.append(len(hashes))
                 firsts.append(prefix(hashes, frequent, counts))
+                fps.append(fingerprint(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "th", "words", "n", "prefix"])
+                 pa.array(firsts, pa.list_(pa.int64())), pa.array(np.array(fps, np.uint64).view(np.int64))],
+                ["doc_id", "th", "words", "n", "prefix", "fp"])
+
+    return rows.mapInArrow(each, f"doc_id {kind}, th binary, words binary, n long, prefix array<long>, fp long")
+
 
-    return rows.mapInArrow(each, f"doc_id {kind}, th binary, words binary, n long, prefix array<long>")
+def sketched(nodes: DataFrame) -> DataFrame:
+    """Pairs of ``nodes(k, fp)`` that SimHash links: of each fingerprint the
+    smallest key with the others, and with those of fingerprints a few bits away."""
+    first = stored(nodes.groupBy("fp").agg(F.min("k").alias("k")), "fingerprints")
+    fps = first.select("fp")
+    near = links(fps, plan_partitions(fps))
+    near = near.join(first.toDF("a", "ka"), "a").join(first.toDF("b", "kb"), "b")
+    same = nodes.select("fp", "k").join(first.toDF("fp", "least"), "fp").where("k <> least")
+    return near.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")).unionByName(
+        same.select(F.col("least").alias("a"), F.col("k").alias("b"))).distinct()
 
 
 def _ends(column: np.ndarray) -> np.ndarray:
@@ -131,17 +150,20 @@ def _meeting(kind: int, a, b, na, nb):
 
 
 def meetings(posts: DataFrame, large: int) -> DataFrame:
-    """Pairs of ``posts(s, k, n, p)`` that share ``s``, the smaller key first.
+    """Pairs of ``posts(s, k, n, p, root)`` that share ``s``, the smaller key first.
 
-    Left out are pairs whose sizes and places don't allow the similarity: what
-    they share lies before ``s`` in both, is ``s``, or lies behind it in both.
+    Left out are pairs whose sizes and places don't allow the similarity (what
+    they share lies before ``s`` in both, is ``s``, or lies behind it in both),
+    and those with one root. Without roots each text is its own.
     Of groups with more than ``large`` rows only ``s`` is told, as LARGE; no
     more than a block of such a group is held.
     """
     large = min(large, BLOCK - 1)
+    if "root" not in posts.columns:
+        posts = posts.withColumn("root", F.col("k"))
 
     def of(table):
-        s, k, n, p = (table.column(c).to_numpy() for c in ("s", "k", "n", "p"))
+        s, k, n, p, root = (table.column(c).to_numpy() for c in ("s", "k", "n", "p", "root"))
         end = _ends(s)
         begin = np.concatenate(([0], end[:-1]))
         begin = np.maximum.accumulate(np.where(begin == np.arange(len(s)), begin, 0))
@@ -150,7 +172,7 @@ def meetings(posts: DataFrame, large: int) -> DataFrame:
         if len(told):
             none = np.zeros(len(told), np.int64)
             yield _meeting(LARGE, told, told, none, none)
-            s, k, n, p = (x[~crowded] for x in (s, k, n, p))
+            s, k, n, p, root = (x[~crowded] for x in (s, k, n, p, root))
         if not len(s):
             return
         end, index = _ends(s), np.arange(len(s))
@@ -165,6 +187,7 @@ def meetings(posts: DataFrame, large: int) -> DataFrame:
                 j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
                 shared = np.minimum(p[i], p[j]) + np.minimum(n[i] - p[i], n[j] - p[j])
                 fits = (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])) & (9 * shared >= 4 * (n[i] + n[j]))
+                fits &= root[i] != root[j]
                 i, j = i[fits], j[fits]
                 i, j = np.where(k[i] < k[j], i, j), np.where(k[i] < k[j], j, i)
                 yield _meeting(PAIR, k[i], k[j], n[i], n[j])
@@ -218,9 +241,9 @@ def stars(often: DataFrame) -> DataFrame:
     """Each post of a large group with the one of about average size."""
     sizes = often.groupBy("s").agg(F.avg("n").alias("usual"))
     middle = often.join(sizes, "s").groupBy("s").agg(
-        F.min_by(F.struct("k", "n", "p"), F.struct(F.abs(F.col("n") - F.col("usual")), "k")).alias("m"))
+        F.min_by(F.struct("k", "n", "p", "root"), F.struct(F.abs(F.col("n") - F.col("usual")), "k")).alias("m"))
     met = often.join(middle, "s").where(
-        "k <> m.k and 5 * least(n, m.n) >= 4 * greatest(n, m.n) "
+        "root <> m.root and 5 * least(n, m.n) >= 4 * greatest(n, m.n) "
         "and 9 * (least(p, m.p) + least(n - p, m.n - m.p)) >= 4 * (n + m.n)")
     return met.select(F.least("k", "m.k").alias("a"), F.greatest("k", "m.k").alias("b")).distinct()
 
@@ -274,9 +297,10 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
     """``(doc_id, th, root)`` for every row: rows whose texts hang together by
     steps of similarity 4/5 or more share the root.
 
-    Texts with the same words are one node. Where over ``large`` nodes share a
-    shingle of their prefixes, each meets the one of middle size first; what is
-    linked by that is not compared any more, all else that can be similar is.
+    Texts with the same words are one node. SimHash links come first. Where over
+    ``large`` nodes share a shingle of their prefixes, each meets the one of
+    middle size next; what is linked by that is not compared any more, all else
+    that can be similar is.
     Rows without an id take part, null and empty texts are copies of each other,
     texts are taken whole; repeated rows come out as often as they went in;
     further columns are not looked at; an empty table gives no rows.
@@ -284,32 +308,35 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
     with work_scope() as made:
         rows = stored(marked(docs, id_col, text_col), "prefixes")
         nodes = stored(rows.groupBy("words").agg(
-            F.min("th").alias("th"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).withColumn(
-            "k", F.monotonically_increasing_id()), "nodes")
+            F.min("th").alias("th"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+            F.first("fp").alias("fp")).withColumn("k", F.monotonically_increasing_id()), "nodes")
         rows = stored(rows.select("doc_id", "th", "words"), "rows")
     release(docs.sparkSession, made, but=rows.select("words").unionByName(nodes.select("words")))
-    posts = nodes.select("k", "n", F.posexplode("prefix").alias("p", "s")).select(
-        "s", "k", "n", F.col("p").cast("long").alias("p"))
     with work_scope() as made:
+        close = stored(verified(stored(sketched(nodes), "pairs"), nodes, docs, text_col), "close")
+        roots = stored(components(close).withColumnRenamed("node", "k"), "roots")
+        posts = nodes.select("k", "n", "prefix").join(roots, "k", "left").select(
+            "k", "n", F.coalesce("root", "k").alias("root"), F.posexplode("prefix").alias("p", "s")).select(
+            "s", "k", "n", F.col("p").cast("long").alias("p"), "root")
         met = stored(counted(meetings(posts, large)), "meetings")
         pairs = met.where(F.col("kind") == PAIR).drop("kind")
         crowded = met.where(F.col("kind") == LARGE).select(F.col("a").alias("s"))
         if crowded.isEmpty():
             candidates = stored(promising(pairs.withColumn("spare", F.lit(0))), "pairs")
-            linked = stored(verified(candidates, nodes, docs, text_col), "linked")
         else:
             often = stored(posts.join(crowded, "s"), "crowded")
-            near = stored(verified(stored(stars(often), "pairs"), nodes, docs, text_col), "stars")
-            roots = components(near).withColumnRenamed("node", "k")
-            often = stored(often.join(roots, "k", "left").withColumn("root", F.coalesce("root", "k")), "crowded")
+            close = close.unionByName(stored(verified(stored(stars(often), "pairs"), nodes, docs, text_col), "stars"))
+            roots = components(close).withColumnRenamed("node", "k")
+            often = stored(often.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k")), "crowded")
             # shingles of large groups are not counted pair by pair
-            extra = often.groupBy("k").agg(F.count("*").alias("n"))
+            known = stored(often.groupBy("k").agg(F.count("*").alias("n")).join(roots, "k", "full_outer"), "known")
             for side in ("a", "b"):
-                pairs = pairs.join(extra.toDF(side, f"extra_{side}"), side, "left")
+                pairs = pairs.join(known.toDF(side, f"extra_{side}", f"root_{side}"), side, "left")
+            pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
             none = F.lit(0).cast("long")
             pairs = pairs.withColumn("spare", F.least(F.coalesce("extra_a", none), F.coalesce("extra_b", none)))
             candidates = stored(promising(pairs).unionByName(unlinked(often)).distinct(), "pairs")
-            linked = stored(verified(candidates, nodes, docs, text_col).unionByName(near), "linked")
+        linked = stored(verified(candidates, nodes, docs, text_col).unionByName(close), "linked")
         labels = stored(components(linked).withColumnRenamed("node", "k"), "labels")
     release(docs.sparkSession, made, but=labels)
     named = nodes.select("words", "k").join(labels, "k", "left").select("words", F.coalesce("root", "k").alias("root"))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 
 import corpus_pipeline
 from gatewright.llm import near_copies as near
@@ -138,3 +139,36 @@ def test_a_large_group_is_not_held(documents, monkeypatch):
     texts = [*common_shingles(400), "a b c d e f", "a b c d e f g h i j k"]
     rows = near.near_copies(documents(texts), large=20).collect()
     assert len({r.root for r in rows}) == len(set(classes(texts)))
+
+
+def few_bits_apart(rng):
+    """A text and a copy with a word more, one or two bits apart."""
+    while True:
+        text = " ".join(rng.choices([f"word{i}" for i in range(900)], k=200))
+        copy = f"{text} end"
+        if bin(near.fingerprint(text) ^ near.fingerprint(copy)).count("1") in (1, 2):
+            return text, copy
+
+
+def test_simhash_links_and_texts_it_links_do_not_meet_again(spark, documents, rng, monkeypatch):
+    text, copy = few_bits_apart(rng)
+    docs = documents([text, copy, "other words " * 30], ids=[5, 3, 8])
+    meetings, met = near.meetings, []
+
+    def none(posts, large):
+        met.append(meetings(posts, large).count())
+        return spark.createDataFrame([], near.MEETING)
+
+    monkeypatch.setattr(near, "meetings", none)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [3, 8] and met == [0]
+
+
+def test_simhash_links_are_verified(documents, monkeypatch):
+    """One fingerprint for all: texts that are not similar stay apart."""
+    texts = ["a b c d e f g", "h i j k l m n", "a b c d e f g", "o p"]
+    nodes = near.near_copies(documents(texts)).collect()
+    monkeypatch.setattr(near, "sketched", lambda nodes: nodes.select(near.F.min("k").over(
+        Window.partitionBy()).alias("a"), near.F.col("k").alias("b")).where("a < b"))
+    found = near.near_copies(documents(texts)).collect()
+    assert len({r.root for r in found}) == len({r.root for r in nodes}) == 3
