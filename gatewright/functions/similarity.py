@@ -8,7 +8,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,39 +73,91 @@ def _whole(batch: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 _RULES, _MESSAGES = 4096, 256
 
 
-def first_reached(vector: Column, rules: np.ndarray, threshold: float) -> Column:
-    """Number of the first rule whose score reaches ``threshold`` (in percent),
-    from 0; NULL if none does, or the vector is missing or of another length.
+def _first_rules(vectors: np.ndarray, rules: np.ndarray, threshold: float) -> np.ndarray:
+    """For each vector the place of the first rule whose score reaches ``threshold``
+    (in percent), -1 if none does.
 
     Products are taken in blocks of rules and messages; a message that has its
     rule takes no part in later ones. Scores next to the threshold come out as
     those of a simple loop.
     """
+    unit = _unit_rows(vectors)
+    hit = np.full(len(vectors), -1)
+    for at in range(0, len(rules), _RULES):
+        part = rules[at:at + _RULES]
+        unit_part = _unit_rows(part).T
+        pending = np.flatnonzero(hit < 0)
+        for some in np.split(pending, range(_MESSAGES, len(pending), _MESSAGES)):
+            found = unit[some] @ unit_part
+            row, rule = np.nonzero(np.abs(found * 100 - threshold) < NEAR)
+            found[row, rule] = _exact_cosine(vectors[some[row]], part[rule])
+            reached = found * 100 >= threshold
+            any_reached = reached.any(axis=1)
+            hit[some[any_reached]] = at + reached.argmax(axis=1)[any_reached]
+    return hit
+
+
+def first_reached(vector: Column, numbers: np.ndarray, rules: np.ndarray, threshold: float) -> Column:
+    """Number of the first rule whose score reaches ``threshold`` (in percent);
+    NULL if none does, or the vector is missing or of another length."""
     rules = np.ascontiguousarray(rules, dtype=np.float64)
 
     @F.arrow_udf("long")
     def first(batch: pa.Array) -> pa.Array:
         vectors, rows = _whole(batch, rules.shape[1])
-        unit = _unit_rows(vectors)
-        hit = np.full(len(vectors), -1)
-        for at in range(0, len(rules), _RULES):
-            part = rules[at:at + _RULES]
-            unit_part = _unit_rows(part).T
-            pending = np.flatnonzero(hit < 0)
-            for some in np.split(pending, range(_MESSAGES, len(pending), _MESSAGES)):
-                found = unit[some] @ unit_part
-                row, rule = np.nonzero(np.abs(found * 100 - threshold) < NEAR)
-                found[row, rule] = _exact_cosine(vectors[some[row]], part[rule])
-                reached = found * 100 >= threshold
-                any_reached = reached.any(axis=1)
-                hit[some[any_reached]] = at + reached.argmax(axis=1)[any_reached]
-        out = np.full(len(batch), -1)
-        out[rows] = hit
-        return pa.array(out, mask=out < 0)
+        hit = np.full(len(batch), -1)
+        hit[rows] = _first_rules(vectors, rules, threshold)
+        out = np.append(numbers, 0)[hit]
+        return pa.array(out, pa.int64(), mask=hit < 0)
 
     return first(vector)
 
 
+# Numbers in a block of vectors that meets other blocks: 64 KiB.
+_NUMBERS = 1 << 13
+
+
+def vector_blocks(rows: DataFrame, key: str, vector: str, width: int) -> DataFrame:
+    """``first, keys, vectors``: the whole vectors of this length in blocks, in the
+    order of their rows; the first key of each, and keys and numbers as bytes."""
+    most = max(1, _NUMBERS // width)
+
+    def each(batches):
+        for batch in batches:
+            vectors, at = _whole(batch.column(1), width)
+            keys = batch.column(0).to_numpy(zero_copy_only=False)[at]
+            cuts = range(0, len(keys), most)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(keys[a]) for a in cuts], pa.int64()),
+                 pa.array([keys[a:a + most].tobytes() for a in cuts], pa.binary()),
+                 pa.array([vectors[a:a + most].tobytes() for a in cuts], pa.binary())], ["first", "keys", "vectors"])
+
+    return rows.select(F.col(key).cast("long"), vector).mapInArrow(each, "first long, keys binary, vectors binary")
+
+
+def first_in_blocks(messages: DataFrame, rules: DataFrame, width: int, threshold: float) -> DataFrame:
+    """``key, rule`` of the messages that reach a rule: the smallest such rule's key.
+
+    Both sides are ``vector_blocks``; every block of one meets every block of
+    the other in some task, and only keys go on.
+    """
+    def each(batches):
+        for batch in batches:
+            found, hits = [], []
+            for keys, vectors, numbers, table in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                hit = _first_rules(np.frombuffer(vectors).reshape(-1, width),
+                                   np.frombuffer(table).reshape(-1, width), threshold)
+                found.append(np.frombuffer(keys, np.int64)[hit >= 0])
+                hits.append(np.frombuffer(numbers, np.int64)[hit[hit >= 0]])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(hits))],
+                                                 ["key", "rule"])
+
+    pairs = messages.select("keys", "vectors").crossJoin(
+        rules.select(F.col("keys").alias("numbers"), F.col("vectors").alias("rules")))
+    return pairs.mapInArrow(each, "key long, rule long").groupBy("key").agg(F.min("rule").alias("rule"))
+
+
 def cosine_to_rules(
     vector: Column, rules: Sequence[Sequence[float]], threshold: float | None = None
 ) -> Column:

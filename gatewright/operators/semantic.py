@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.config import SemanticGuard
-from gatewright.functions.similarity import cosine_to_rules, first_reached
+from gatewright.functions.similarity import cosine_to_rules, first_in_blocks, first_reached, vector_blocks
 from gatewright.operators.stage import Inputs, Stage, Verdict
 from gatewright.session import release, stored, work_folder, work_scope
 
@@ -61,50 +61,65 @@ def written(file: str) -> tuple[int, int]:
 
 
 class RuleBlocks:
-    """A rule table in the order of its rules, in files of bounded size.
+    """A rule table in the order of its rules.
 
     ``rule`` numbers the rules: deny before allow, then by ``ord`` and prompt.
-    Numbers grow with the files. All vectors have one length, else it is refused.
+    Numbers grow with the files, and by one within a file. All vectors have one
+    length, else it is refused. The driver sees the first block of rules, at
+    most ``most`` numbers.
     """
 
     def __init__(self, rules: DataFrame, most: int):
         vector = F.col("embedding").cast("array<double>")
         known = rules.select((F.col("kind") == "ALLOW").alias("allow"), "ord", "prompt", vector.alias("embedding"))
         sizes = known.agg(F.min(F.size("embedding")).alias("a"), F.max(F.size("embedding")).alias("b"),
-                          F.count_if(F.col("embedding").isNull() | F.col("allow").isNull()).alias("gaps")).first()
+                          F.count_if(F.col("embedding").isNull() | F.col("allow").isNull()).alias("gaps"),
+                          F.count("*").alias("n")).first()
         if sizes.a is None or sizes.a != sizes.b or sizes.a < 1 or sizes.gaps:
             raise ValueError("a rule table needs rules with a kind and vectors of one length")
-        self.spark, self.width = rules.sparkSession, sizes.a
+        self.spark, self.width, self.count = rules.sparkSession, sizes.a, sizes.n
+        self.most = max(1, most // self.width)
         self.folder = work_folder(self.spark, "rules")
         ordered = known.orderBy("allow", "ord", "prompt").withColumn("rule", F.monotonically_increasing_id())
-        ordered.write.option("maxRecordsPerFile", max(1, most // self.width)).parquet(self.folder)
+        ordered.write.option("maxRecordsPerFile", 0).parquet(self.folder)
         self.table = self.spark.read.schema(ordered.schema).parquet(self.folder)
-        self.files = sorted(self.table.inputFiles(), key=written)
         self.first_allow = self.table.where("allow").agg(F.min("rule")).first()[0]
 
-    def __iter__(self):
-        """``(rule numbers, vectors)``, one block at a time on the driver."""
-        for file in self.files:
-            found = self.spark.read.schema(self.table.schema).parquet(file).select("rule", "embedding").toArrow()
-            if found.num_rows:
-                found = found.combine_chunks().sort_by("rule")
-                vectors = found.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-                yield found.column("rule").to_numpy(), vectors.reshape(-1, self.width)
-
-
-def _rule_of(vector: Column, block: tuple[np.ndarray, np.ndarray], threshold: float) -> Column:
-    """The rule number of the first rule of a block that is reached. A block is a
-    file, and the numbers in a file go up one by one."""
-    numbers, vectors = block
-    return first_reached(vector, vectors, threshold) + F.lit(int(numbers[0]))
+    def first(self) -> tuple[np.ndarray, np.ndarray]:
+        """``(rule numbers, vectors)`` of the first block, on the driver."""
+        rows = self.table
+        if self.count > self.most:
+            file = min(self.table.inputFiles(), key=written)
+            in_file = F.col("rule").bitwiseAND(F.lit((1 << 33) - 1))
+            rows = self.spark.read.schema(self.table.schema).parquet(file).where(in_file < self.most)
+        found = rows.select("rule", "embedding").toArrow().combine_chunks().sort_by("rule")
+        vectors = found.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return found.column("rule").to_numpy(), vectors.reshape(-1, self.width)
+
+    def rounds(self, after: int):
+        """Bounds ``(low, high)`` of the rules behind the number ``after``, about twice as many each time."""
+        share, shares = self.most / self.count, []
+        while share < 1:
+            shares.append(share)
+            share = 2 * share + self.most / self.count
+        rest = self.table.where(F.col("rule") > after)
+        marks = rest.agg(F.percentile_approx("rule", shares, 10_000)).first()[0]
+        low = after + 1
+        for mark in marks or []:
+            if mark >= low:
+                yield low, mark + 1
+                low = mark + 1
+        yield low, 1 << 62
 
 
 def _by_table(stage: Stage, policy: SemanticGuard, inputs: Inputs) -> Verdict:
     """As with rules of the configuration, for a table of any size.
 
     Rules that fit one block travel with the function, and messages stay where
-    they are. More blocks are one pass each over the vectors of the messages
-    that have found no rule yet; only numbers come back to the messages.
+    they are. Of more rules the first block does; behind it rules and the messages
+    that have found none yet meet in the tasks, in rounds of twice as many rules
+    each. Only numbers come back to the messages, and no rule but those of the
+    first block to the driver.
     Allowed prompts are not listed in the report.
     """
     if inputs.rules is None:
@@ -112,8 +127,8 @@ def _by_table(stage: Stage, policy: SemanticGuard, inputs: Inputs) -> Verdict:
     blocks = RuleBlocks(inputs.rules, inputs.rule_block)
     threshold, vector = float(policy.threshold), F.col(inputs.embedding)
     valid = (F.size(vector) == blocks.width) & ~F.exists(vector, lambda x: x.isNull())
-    if len(blocks.files) == 1:
-        rule = stage.named(_rule_of(vector, next(iter(blocks)), threshold))
+    if blocks.count <= blocks.most:
+        rule = stage.named(first_reached(vector, *blocks.first(), threshold))
     else:
         rule = _by_blocks(stage, blocks, inputs.embedding, threshold)
     content = stage.content(policy.json_path, cleaned=True)
@@ -134,14 +149,25 @@ def _by_blocks(stage: Stage, blocks: RuleBlocks, embedding: str, threshold: floa
     """Name of the column with each message's first rule."""
     row, rule = stage.named(F.monotonically_increasing_id()), stage.reserve()
     stage.cut(row)
-    hits = None
+    numbers, vectors = blocks.first()
+    after = int(numbers[-1]) if len(numbers) else -1
     with work_scope() as made:
         left = stage.df.select(row, embedding).where(F.col(embedding).isNotNull())
-        for block in blocks:
-            found = stored(left.withColumn(rule, _rule_of(F.col(embedding), block, threshold)), "first-rules")
-            some = found.where(F.col(rule).isNotNull()).select(row, rule)
-            hits = some if hits is None else hits.unionByName(some)
-            left = found.where(F.col(rule).isNull()).select(row, embedding)
+        found = stored(left.withColumn(rule, first_reached(F.col(embedding), numbers, vectors, threshold)), "first-rules")
+        hits = found.where(F.col(rule).isNotNull()).select(row, rule)
+        left = found.where(F.col(rule).isNull()).select(row, embedding)
+        # in ranges, so that the numbers of no two blocks overlap
+        rules = blocks.table.where(F.col("rule") > after).repartitionByRange("rule").sortWithinPartitions("rule")
+        rules = stored(vector_blocks(rules, "rule", "embedding", blocks.width), "rules")
+        for low, high in blocks.rounds(after):
+            messages = stored(vector_blocks(left, row, embedding, blocks.width), "messages")
+            if messages.isEmpty():
+                break
+            # a block of rules belongs to the round of its first rule
+            some = first_in_blocks(messages, rules.where(F.col("first").between(low, high - 1)), blocks.width, threshold)
+            some = stored(some.toDF(row, rule), "first-rules")
+            hits = hits.unionByName(some)
+            left = stored(left.join(some.select(row), row, "left_anti"), "left")
         hits = stored(hits, "rule-hits")
     release(stage.df.sparkSession, made, but=hits)
     stage.df = stage.df.join(hits, row, "left")
