@@ -266,3 +266,27 @@ def test_timers_leave_no_state_behind(spark, tmp_path):
         kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
     assert kept[0] == 20 and kept[-1] <= 2
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_files_of_a_micro_batch_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """Four micro-batches whatever the size, and as many files as the table has tasks."""
+    from gatewright.plans import queries
+    from gatewright.streaming.asking import in_batches
+
+    spark.range(4000).repartition(12).write.parquet(str(tmp_path / "rows.parquet"))
+    monkeypatch.setattr(queries, "work_folder", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        stream = queries._in_files(spark, str(tmp_path), "rows")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(list((tmp_path / "stream-rows").glob("*.parquet"))) >= 12
+    counts = []
+
+    def step(batch, number):
+        counts.append(batch.count())
+        return batch
+
+    in_batches(stream, step, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert len(counts) == 4 and sum(counts) == 4000
+    assert spark.read.parquet(str(tmp_path / "out")).distinct().count() == 4000
