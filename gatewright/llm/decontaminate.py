@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.llm.common import ascii_lower, once
+from gatewright.llm.common import LOWER, UPPER, once
 from gatewright.session import stored
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# The same words where A-Z are not yet folded.
+# Everything of ASCII that no word holds.
+GAPS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+# The words where A-Z are not yet folded.
 CASED_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NGRAM = 10
 # The bitmap: bytes of seven bits, with 64 slots or more for each n-gram up to
@@ -28,7 +29,8 @@ PAGE_BYTES = 256
 
 def words_of(text: Column) -> Column:
     """Words with A-Z in lower case; a null text has none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORDS), 0)
+    plain = F.translate(F.coalesce(text, F.lit("")), UPPER + GAPS, LOWER + " " * len(GAPS))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def item_ngrams(items: DataFrame, n: int = NGRAM, *, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -73,8 +75,7 @@ def bitmap(ngrams: DataFrame) -> bytes:
     return bytes(bits[:size])
 
 
-def _may_hold(bits: bytes, words: Column) -> Column:
-    slot = _slot(words, len(bits))
+def _may_hold(bits: bytes, slot: Column) -> Column:
     byte = F.ascii(F.substring(F.lit(bits), F.floor(slot / SLOT_BITS).cast("int") + 1, F.lit(1)).cast("string"))
     return F.getbit(byte, F.pmod(slot, F.lit(SLOT_BITS)).cast("int")) == 1
 
@@ -86,28 +87,32 @@ def text_key(text: Column) -> Column:
 
 def scan(docs: DataFrame, ngrams: DataFrame, n: int = NGRAM, *, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """``(doc_id, th, n_words, maybe)`` for every row: ``maybe`` has the windows
-    whose hash is in the set, with their place and words."""
+    """``(doc_id, th, n_words, pos, ngram)``: for every row one without ``pos``,
+    and one for each window whose hash is in the set, with its place and words.
+
+    Generators stand in for functions on arrays, whose elements Spark interprets
+    one by one: so the words of a row are compiled code from the text to the bitmap.
+    """
     bits = bitmap(ngrams)
     short = [r["len"] for r in ngrams.where(F.col("len") < n).select("len").distinct().collect()]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = once(rows.withColumn("th", text_key(F.col("text"))), words=words_of(F.col("text"))).drop("text")
-    found = []
-    for size in (n, *sorted(short)):  # at most n lengths
-        last = F.size("words") - (size - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        hits = F.filter(starts, lambda i: _may_hold(bits, F.slice("words", i, size)))
-        found.append(F.transform(hits, lambda i: F.struct(
-            (i - 1).alias("pos"), F.slice("words", i, size).alias("ngram"))))
+    # no length: the row itself; at most n lengths of windows
+    rows = rows.withColumn("size", F.explode(F.array(*map(F.lit, (0, n, *sorted(short))))))
+    last = F.size("words") - (F.col("size") - 1)
+    starts = F.when(F.col("size") == 0, F.array(F.lit(0))).when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
+        F.array().cast("array<int>"))
+    rows = rows.withColumn("i", F.explode(starts))
+    window = F.when(F.col("size") > 0, F.slice("words", F.col("i"), F.col("size")))
+    rows = once(rows, slot=_slot(window, len(bits))).where((F.col("size") == 0) | _may_hold(bits, F.col("slot")))
     return rows.select("doc_id", "th", F.size("words").cast("long").alias("n_words"),
-                       F.concat(*found).alias("maybe"))
+                       F.when(F.col("size") > 0, F.col("i") - 1).alias("pos"), window.alias("ngram"))
 
 
 def hits(scanned: DataFrame, ngrams: DataFrame) -> DataFrame:
     """``(doc_id, th, n_hit, items, spans)`` of the rows with verified windows;
     ``spans`` are maximal runs of hit words, as (first, past)."""
-    each = scanned.select("doc_id", "th", F.explode("maybe").alias("m")).select(
-        "doc_id", "th", "m.pos", "m.ngram").distinct()
+    each = scanned.where("pos is not null").select("doc_id", "th", "pos", "ngram").distinct()
     true = each.join(ngrams, "ngram").select("doc_id", "th", "pos", "len", "items")
     by_row = true.groupBy("doc_id", "th").agg(
         F.sort_array(F.collect_set(F.struct("pos", (F.col("pos") + F.col("len")).alias("past")))).alias("windows"),
@@ -142,7 +147,8 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = NGRAM) -> DataFram
     ngrams = stored(item_ngrams(items, n), "ngrams")
     scanned = stored(scan(docs, ngrams, n), "windows")
     found = hits(scanned, ngrams).select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "n_hit", "items")
-    rows = scanned.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
+    rows = scanned.where("pos is null").drop("pos", "ngram")
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
     return rows.select("doc_id", "th", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                        F.col("n_hit").isNotNull().alias("contaminated"))

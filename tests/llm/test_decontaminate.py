@@ -93,3 +93,14 @@ def test_a_full_bitmap_loses_nothing(documents, corpus, items, monkeypatch):
 def test_no_python_in_the_plan(spark):
     plan = dc.op3_decontaminate(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_windows_are_compiled(spark, documents, corpus, items):
+    """Every word is looked at: no function that Spark interprets for each element."""
+    scanned = dc.scan(documents(corpus), dc.item_ngrams(items, 3), 3)
+    assert "lambda" not in scanned._jdf.queryExecution().executedPlan().toString()
+    rows = scanned.collect()
+    assert sorted(r.doc_id for r in rows if r.pos is None) == list(range(len(corpus)))
+    assert all(words(corpus[r.doc_id])[r.pos:r.pos + len(r.ngram)] == r.ngram for r in rows if r.pos is not None)
+    odd = "".join(map(chr, range(300))) + "\U0001f600a B\x85c"
+    assert documents([odd]).select(dc.words_of(F.col("text"))).first()[0] == words(odd)
