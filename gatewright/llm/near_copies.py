@@ -36,6 +36,8 @@ LARGE_GROUP = 32
 BLOCK = 1 << 17
 
 SEED = 42
+# Longs in a text's sketch.
+SKETCH = 16
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> tuple[bytes, np.ndarray]:
@@ -71,6 +73,20 @@ def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.n
     return hashes[np.lexsort((hashes, often))][:n - (4 * n + 4) // 5 + 1]
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the shingles fall on each bit. Bits that differ
+    between two texts are no more than the shingles that only one of them has."""
+    odd = np.bincount(hashes & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_be_similar(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    """False only where sketches ``a`` and ``b`` of sets of sizes ``na`` and ``nb``
+    rule similarity 4/5 out, which leaves a ninth of both sizes to differ at most."""
+    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH)), F.lit(0))
+    return 9 * differ <= na + nb
+
+
 def frequent_shingles(docs: DataFrame, text_col: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that come often in a sample, in order, with their counts; bounded."""
     total = docs.count()
@@ -97,8 +113,9 @@ def text_key(text: Column) -> Column:
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, th, words, n, prefix, fp`` of every row: 16 bytes each for the text
-    and for its words, the number of its shingles, its prefix and its SimHash fingerprint."""
+    """``doc_id, th, words, n, prefix, fp, sketch`` of every row: 16 bytes each for the
+    text and for its words, the number of its shingles, its prefix, its SimHash
+    fingerprint and its sketch."""
     frequent, counts = frequent_shingles(docs, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("th"),
                        F.col(text_col).alias("text"))
@@ -106,19 +123,22 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            keys, sizes, firsts, fps = [], [], [], []
+            keys, sizes, firsts, fps, sketches = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 key, hashes = shingles(text)
                 keys.append(key)
                 sizes.append(len(hashes))
                 firsts.append(prefix(hashes, frequent, counts))
                 fps.append(fingerprint(text))
+                sketches.append(sketch(hashes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(firsts, pa.list_(pa.int64())), pa.array(np.array(fps, np.uint64).view(np.int64))],
-                ["doc_id", "th", "words", "n", "prefix", "fp"])
+                 pa.array(firsts, pa.list_(pa.int64())), pa.array(np.array(fps, np.uint64).view(np.int64)),
+                 pa.array(sketches, pa.list_(pa.int64()))],
+                ["doc_id", "th", "words", "n", "prefix", "fp", "sketch"])
 
-    return rows.mapInArrow(each, f"doc_id {kind}, th binary, words binary, n long, prefix array<long>, fp long")
+    return rows.mapInArrow(each, f"doc_id {kind}, th binary, words binary, n long, prefix array<long>, fp long, "
+                                 "sketch array<long>")
 
 
 def sketched(nodes: DataFrame) -> DataFrame:
@@ -237,6 +257,14 @@ def promising(pairs: DataFrame) -> DataFrame:
     return pairs.where(9 * (F.col("c") + F.col("spare") + behind) >= 4 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
+def unruled(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs that sketches don't rule out; whole sets, which are larger, meet only for these."""
+    pairs = stored(pairs, "promising")  # so that Spark knows its size
+    ends = nodes.select("k", "n", "sketch")
+    both = pairs.join(ends.toDF("a", "na", "xa"), "a").join(ends.toDF("b", "nb", "xb"), "b")
+    return both.where(may_be_similar(F.col("xa"), F.col("xb"), F.col("na"), F.col("nb"))).select("a", "b")
+
+
 def stars(often: DataFrame) -> DataFrame:
     """Each post of a large group with the one of about average size."""
     sizes = often.groupBy("s").agg(F.avg("n").alias("usual"))
@@ -249,26 +277,35 @@ def stars(often: DataFrame) -> DataFrame:
 
 
 def unlinked(often: DataFrame) -> DataFrame:
-    """Pairs of a large group with different roots that ``s`` may be the first to tie.
+    """Pairs of a large group with different roots that ``s`` may be the first to
+    tie and that sketches don't rule out.
 
     If it is the first shared shingle, all that two texts share lies in the
     ``n - p`` shingles from it on, which limits the partner's size to ``reach``.
     Sizes meet before posts do, so that sizes out of reach cost nothing; posts
-    then meet in a join, which splits a group over tasks.
+    then meet in a join, which splits a group over tasks. Sketches are compared
+    inside it, so that texts which share just a passage never make a row;
+    without sketches all sizes in reach do.
     """
-    posts = often.withColumn("reach", F.floor(9 * (F.col("n") - F.col("p")) / 4) - F.col("n"))
+    if "sketch" not in often.columns:
+        often = often.withColumn("sketch", F.array_repeat(F.lit(0).cast("long"), SKETCH))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")  # a partner is one step away at most
-    sizes = posts.groupBy("s", "n").agg(F.max("reach").alias("reach")).withColumn("step", step)
+    posts = often.withColumn("reach", F.floor(9 * (F.col("n") - F.col("p")) / 4) - F.col("n")).withColumn("step", step)
+    sizes = posts.groupBy("s", "n", "step").agg(F.max("reach").alias("reach"))
     small = sizes.select("s", F.col("n").alias("n1"), F.col("reach").alias("r1"),
                          F.explode(F.array("step", F.col("step") + 1)).alias("step"))
     great = sizes.select("s", F.col("n").alias("n2"), F.col("reach").alias("r2"), "step")
-    sizes = small.join(great, ["s", "step"]).where("n1 <= n2 and n2 <= r1 and n1 <= r2").select("s", "n1", "n2").distinct()
+    sizes = small.join(great, ["s", "step"]).where("n1 <= n2 and n2 <= r1 and n1 <= r2")
+    sizes = sizes.select("s", F.explode(F.array("n1", "n2")).alias("n")).distinct()
+    posts = posts.join(sizes, ["s", "n"], "left_semi")
     one = posts.select("s", F.col("n").alias("n1"), F.col("k").alias("k1"), F.col("root").alias("root1"),
-                       F.col("reach").alias("r1"))
+                       F.col("reach").alias("r1"), F.col("sketch").alias("x1"),
+                       F.explode(F.array("step", F.col("step") + 1)).alias("step"))
     two = posts.select("s", F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("root").alias("root2"),
-                       F.col("reach").alias("r2"))
-    met = one.join(sizes, ["s", "n1"]).join(two, ["s", "n2"])
-    met = met.where("root1 <> root2 and n2 <= r1 and n1 <= r2 and (n1 < n2 or k1 < k2)")
+                       F.col("reach").alias("r2"), F.col("sketch").alias("x2"), "step")
+    fits = F.expr("n1 <= n2 and n2 <= r1 and n1 <= r2 and (n1 < n2 or k1 < k2) and root1 <> root2")
+    met = one.join(two, ["s", "step"]).where(
+        fits & may_be_similar(F.col("x1"), F.col("x2"), F.col("n1"), F.col("n2")))
     return met.select(F.least("k1", "k2").alias("a"), F.greatest("k1", "k2").alias("b")).distinct()
 
 
@@ -300,7 +337,7 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
     Texts with the same words are one node. SimHash links come first. Where over
     ``large`` nodes share a shingle of their prefixes, each meets the one of
     middle size next; what is linked by that is not compared any more, all else
-    that can be similar is.
+    that can be similar is, by sketches first and whole sets then.
     Rows without an id take part, null and empty texts are copies of each other,
     texts are taken whole; repeated rows come out as often as they went in;
     further columns are not looked at; an empty table gives no rows.
@@ -309,7 +346,7 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
         rows = stored(marked(docs, id_col, text_col), "prefixes")
         nodes = stored(rows.groupBy("words").agg(
             F.min("th").alias("th"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-            F.first("fp").alias("fp")).withColumn("k", F.monotonically_increasing_id()), "nodes")
+            F.first("fp").alias("fp"), F.first("sketch").alias("sketch")).withColumn("k", F.monotonically_increasing_id()), "nodes")
         rows = stored(rows.select("doc_id", "th", "words"), "rows")
     release(docs.sparkSession, made, but=rows.select("words").unionByName(nodes.select("words")))
     with work_scope() as made:
@@ -322,12 +359,13 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
         pairs = met.where(F.col("kind") == PAIR).drop("kind")
         crowded = met.where(F.col("kind") == LARGE).select(F.col("a").alias("s"))
         if crowded.isEmpty():
-            candidates = stored(promising(pairs.withColumn("spare", F.lit(0))), "pairs")
+            candidates = stored(unruled(promising(pairs.withColumn("spare", F.lit(0))), nodes), "pairs")
         else:
             often = stored(posts.join(crowded, "s"), "crowded")
             close = close.unionByName(stored(verified(stored(stars(often), "pairs"), nodes, docs, text_col), "stars"))
             roots = components(close).withColumnRenamed("node", "k")
-            often = stored(often.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k")), "crowded")
+            often = often.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
+            often = stored(often.join(nodes.select("k", "sketch"), "k"), "crowded")
             # shingles of large groups are not counted pair by pair
             known = stored(often.groupBy("k").agg(F.count("*").alias("n")).join(roots, "k", "full_outer"), "known")
             for side in ("a", "b"):
@@ -335,7 +373,7 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
             pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
             none = F.lit(0).cast("long")
             pairs = pairs.withColumn("spare", F.least(F.coalesce("extra_a", none), F.coalesce("extra_b", none)))
-            candidates = stored(promising(pairs).unionByName(unlinked(often)).distinct(), "pairs")
+            candidates = stored(unruled(promising(pairs), nodes).unionByName(unlinked(often)).distinct(), "pairs")
         linked = stored(verified(candidates, nodes, docs, text_col).unionByName(close), "linked")
         labels = stored(components(linked).withColumnRenamed("node", "k"), "labels")
     release(docs.sparkSession, made, but=labels)

@@ -172,3 +172,29 @@ def test_simhash_links_are_verified(documents, monkeypatch):
         Window.partitionBy()).alias("a"), near.F.col("k").alias("b")).where("a < b"))
     found = near.near_copies(documents(texts)).collect()
     assert len({r.root for r in found}) == len({r.root for r in nodes}) == 3
+
+
+def test_sketches_rule_out_only_what_differs(rng, copies):
+    words = [f"v{i}" for i in range(3000)]
+    every = [*copies, *(" ".join(rng.choices(words, k=k)) for k in (300, 2000, 5000))]
+    sets = [near.shingles(t)[1] for t in every]
+    sketches = [near.sketch(x) for x in sets]
+    for a, x in zip(sets, sketches):
+        for b, y in zip(sets, sketches):
+            assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_texts_that_share_a_passage_make_no_pair(spark, documents, rng):
+    """A shingle of many texts pairs those that are similar, not all that hold it."""
+    words = [f"v{i}" for i in range(20_000)]
+    passage = rng.choices(words, k=150)
+    texts = [" ".join(passage + rng.choices(words, k=200)) for _ in range(60)]
+    texts += [f"{texts[0]} more", f"{texts[1]} more"]
+    rows = near.marked(documents(texts), "doc_id", "text").drop("prefix", "words", "th", "fp")
+    one = near.shingles(" ".join(passage[:5]))[1][0].item()
+    often = rows.select(near.F.lit(one).alias("s"), near.F.col("doc_id").alias("k"), "n",
+                        near.F.lit(0).cast("long").alias("p"), near.F.col("doc_id").alias("root"), "sketch")
+    assert sorted(map(tuple, near.unlinked(often).collect())) == [(0, 60), (1, 61)]
+    nodes = rows.withColumnRenamed("doc_id", "k")
+    every = nodes.select(near.F.col("k").alias("a")).join(nodes.select(near.F.col("k").alias("b"))).where("a < b")
+    assert sorted(map(tuple, near.unruled(every, nodes).collect())) == [(0, 60), (1, 61)]
