@@ -53,25 +53,35 @@ ROUND_DOCUMENTS = 16_384
 
 # Words of a passage, and the grams by which its windows meet: fifty words have 99 bytes at least.
 PASSAGE_WORDS, PASSAGE_GRAM = 50, 64
-# Bytes of short texts whose anchors are found at once.
-STRETCH = 1 << 19
+# Bytes of short texts whose anchors are found at once: few enough for a processor's cache to hold their hashes.
+STRETCH = 1 << 16
 
 PLACE = "h:bigint,lo:int,hi:int,off:int"
 SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("past", T.IntegerType())]))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
+def _mix(x: np.ndarray, room: np.ndarray) -> None:
+    """In place; ``room`` is as long as ``x`` or longer."""
+    room = room[:len(x)]
+    np.right_shift(x, np.uint64(31), out=room)
+    x ^= room
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    np.right_shift(x, np.uint64(29), out=room)
+    x ^= room
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of the ``gram`` bytes (a power of two) from each place on."""
-    h = _mixed(data.astype(np.uint64) + np.uint64(1))
+    h = data.astype(np.uint64)
+    h += np.uint64(1)
+    room = np.empty_like(h)
+    _mix(h, room)
     size = 1
     while size < gram:
-        h = _mixed(h[:-size] * np.uint64(2 * size + 1) + h[size:])
+        more = h[size:]
+        h = h[:max(0, len(h) - size)] * np.uint64(2 * size + 1)
+        h += more
+        _mix(h, room)
         size *= 2
     return h
 

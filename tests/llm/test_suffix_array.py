@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -141,3 +143,18 @@ def test_passages_equal_brute_force(documents, rng, words, most, gram, large):
     texts += [*texts[:5], None, "", "a " * 60, "a " * 61, " a bb", "ccc"]
     got = sa.passage_report(documents(texts), words=words, width=most, gram=16, word_gram=gram, large=large)
     assert [r.n_with_passages for r in got.orderBy("doc_id").collect()] == passage_brute(texts, words, most, most)
+
+
+def test_anchors_of_many_texts_stay_in_cache():
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(range(97, 107), k=4000)) + b" " for _ in range(100)] + [b"", b"a", b"ab" * 300]
+    windows = sa.Windows(400, 128)
+    windows.anchors(texts)
+    tracemalloc.start()
+    got = windows.anchors(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
+    for text, (places, tied) in zip(texts, got):
+        alone, alone_tied = sa.anchors_of(text, 400, 128)
+        assert (places[:, 1:] == alone[:, 1:]).all() and (places[:, 0] == alone[:, 0]).all() and tied == alone_tied
