@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from gatewright.llm.common import LOWER, UPPER, ship
 from gatewright.llm.graph import components
+from gatewright.llm.sieve import may_hold, sieve, sieved
 from gatewright.llm.simhash import fingerprint, links, plan_partitions
 from gatewright.session import release, stored, work_scope
 
@@ -244,6 +245,25 @@ def meetings(posts: DataFrame, large: int) -> DataFrame:
     return posts.repartition("s").sortWithinPartitions("s").mapInArrow(each, MEETING)
 
 
+def crowded_posts(nodes: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``(s, k, n, p)`` of the posts of ``nodes`` with a shingle in ``crowded(s)``; the others don't move."""
+    words = sieve(crowded, F.col("s"))
+
+    def each(batches):
+        for batch in batches:
+            prefixes = batch.column("prefix")
+            s, size = prefixes.flatten().to_numpy(), prefixes.value_lengths().to_numpy()
+            p = np.arange(len(s)) - np.repeat(np.cumsum(size) - size, size)
+            kept = np.flatnonzero(may_hold(words, s))
+            of = np.repeat(np.arange(len(size)), size)[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s[kept]), *(pa.array(batch.column(c).to_numpy()[of]) for c in ("k", "n")), pa.array(p[kept])],
+                ["s", "k", "n", "p"])
+
+    posts = nodes.select("k", "n", "prefix").mapInArrow(each, "s long, k long, n long, p long")
+    return posts.join(crowded, "s")
+
+
 def counted(rows: DataFrame) -> DataFrame:
     return rows.groupBy("kind", "a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
 
@@ -315,6 +335,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str)
     # written, so that Spark knows its size before it decides how to join the texts
     ends = stored(nodes.select("k", "th").join(ends, "k", "left_semi").withColumnRenamed("th", "__th"), "ends")
     texts = docs.select(F.col(text_col).alias("text"))
+    # only texts that may be among them move
+    texts = sieved(texts, sieve(ends, F.xxhash64("__th")), F.xxhash64(text_key(F.col("text"))))
     texts = texts.join(ends, text_key(F.col("text")) == F.col("__th")).select("k", "text")
 
     def each(batches):
@@ -361,7 +383,8 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
         if crowded.isEmpty():
             candidates = stored(unruled(promising(pairs.withColumn("spare", F.lit(0))), nodes), "pairs")
         else:
-            often = stored(posts.join(crowded, "s"), "crowded")
+            often = crowded_posts(nodes, crowded).join(roots, "k", "left")
+            often = stored(often.withColumn("root", F.coalesce("root", "k")), "crowded")
             close = close.unionByName(stored(verified(stored(stars(often), "pairs"), nodes, docs, text_col), "stars"))
             roots = components(close).withColumnRenamed("node", "k")
             often = often.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
@@ -402,9 +425,12 @@ def keep_one(docs: DataFrame, *, large: int = LARGE_GROUP) -> DataFrame:
     other = judged.where("n > 1 or not stays").select("__id", "__th")
     twice = judged.where("n > 1 and stays").select("__id", "__th")
 
-    def matching(which, how):
-        at = docs["doc_id"].eqNullSafe(which["__id"]) & (text_key(docs["text"]) == which["__th"])
-        return docs.join(which, at, how)
+    def matching(rows, which, how):
+        at = rows["doc_id"].eqNullSafe(which["__id"]) & (text_key(rows["text"]) == which["__th"])
+        return rows.join(which, at, how)
 
-    return matching(other, "left_anti").unionByName(
-        matching(twice, "left_semi").dropDuplicates(["doc_id", "text"]))
+    # a row whose text is not among those in question stays where it is
+    key, words = F.xxhash64(text_key(docs["text"])), sieve(other, F.xxhash64("__th"))
+    asked = sieved(docs, words, key)
+    return sieved(docs, words, key, out=True).unionByName(matching(asked, other, "left_anti")).unionByName(
+        matching(asked, twice, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatewright.llm.common import WORD, ship
+from gatewright.llm.sieve import sieve, sieved
 from gatewright.session import release, stored, work_scope
 
 ship(__name__)
@@ -446,7 +447,8 @@ class Repeats:
         self.copies = once.select("tkey", "n")
         each = once.select("tkey", "rep", F.inline("places"))
         often = stored(each.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "often")
-        shared = each.join(often, "h").select("tkey", "rep", F.struct(
+        # only places whose anchor may be shared move, and only texts with such a place
+        shared = sieved(each, sieve(often, F.col("h")), F.col("h")).join(often, "h").select("tkey", "rep", F.struct(
             "h", "lo", "hi", "off", (F.col("m") > large).alias("large")).alias("place"))
         ties = once.where(F.size("ties") > 0).select("tkey", "rep", F.inline("ties"))
         no_place = F.lit(None).cast(f"struct<{PLACE},large:boolean>")
@@ -454,9 +456,8 @@ class Repeats:
         wanted = shared.groupBy("tkey", "rep").agg(F.collect_list("place").alias("places"))
         wanted = stored(wanted.withColumnRenamed("tkey", "k"), "wanted")
         at = (F.col("tkey") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))
-        # the short keys first, so that only texts with a shared place move
-        texts = docs.withColumn("tkey", text_key(F.col("text"))).join(wanted.select("k", "rep"), at, "left_semi")
-        texts = texts.join(wanted, at)
+        texts = docs.withColumn("tkey", text_key(F.col("text")))
+        texts = sieved(texts, sieve(wanted, F.xxhash64("k")), F.xxhash64("tkey")).join(wanted, at)
         self.texts = stored(texts.select("tkey", "text", "places"), "shared-texts")
         spans = lined_up(contexts(self.texts, windows).repartition("h").sortWithinPartitions("h"), windows)
         spans = spans.unionByName(_repeated_windows(ties.select("x", "tkey", "size", "starts")))
