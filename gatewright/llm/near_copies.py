@@ -334,18 +334,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     # written, so that Spark knows its size before it decides how to join the texts
     ends = stored(nodes.select("k", "th").join(ends, "k", "left_semi").withColumnRenamed("th", "__th"), "ends")
-    texts = docs.select(F.col(text_col).alias("text"))
-    # only texts that may be among them move
-    texts = sieved(texts, sieve(ends, F.xxhash64("__th")), F.xxhash64(text_key(F.col("text"))))
-    texts = texts.join(ends, text_key(F.col("text")) == F.col("__th")).select("k", "text")
+    texts = docs.select(text_key(F.col(text_col)).alias("__key"), F.col(text_col).alias("text"))
+    # only texts that may be among them move, and copies once for each task
+    texts = sieved(texts, sieve(ends, F.xxhash64("__th")), F.xxhash64("__key")).dropDuplicates(["__key"])
+    texts = texts.join(ends, F.col("__key") == F.col("__th")).select("k", "text")
 
     def each(batches):
         for batch in batches:
             found = [shingles(t)[1] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.list_(pa.int64()))], ["k", "set"])
 
-    sets = texts.mapInArrow(each, "k long, set array<long>").dropDuplicates(["k"])
-    sets = stored(sets, "sets")
+    sets = stored(texts.mapInArrow(each, "k long, set array<long>"), "sets")
     both = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.where(9 * shared >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b")

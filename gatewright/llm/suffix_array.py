@@ -603,7 +603,9 @@ def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([None if s is None else cut_text(_bytes(t), s) for t, s in zip(texts, spans)], dtype=object)
 
-    rows = docs.join(known, text_key(docs["text"]) == F.col("__k"), "left")
+    # a text that loses nothing stays where it is
+    key, held = F.xxhash64(text_key(docs["text"])), sieve(known, F.xxhash64("__k"))
+    rows = sieved(docs, held, key).join(known, text_key(docs["text"]) == F.col("__k"), "left")
     whole = F.col("__whole") & (F.octet_length("text") >= width)
     if words:
         whole = F.col("__whole") & ((F.octet_length("text") >= width) | (word_count("text") >= words))
@@ -615,4 +617,4 @@ def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("__k").isNull(), F.col("n_chars")).otherwise(
             F.char_length("text").cast(kind)))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).unionByName(sieved(docs, held, key, out=True))
