@@ -81,6 +81,19 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(hashes: np.ndarray) -> np.ndarray:
+    """As ``sketch``, with a bit at least for each shingle; none where ``sketch`` has that many.
+
+    A sketch of fewer bits than shingles is filled by chance and rules nothing
+    out, so that all long texts which share a passage would meet with whole sets.
+    """
+    if len(hashes) <= 64 * SKETCH:
+        return np.zeros(0, np.int64)
+    bits = 1 << (len(hashes) - 1).bit_length()
+    odd = np.bincount(hashes & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def may_be_similar(a: Column, b: Column, na: Column, nb: Column) -> Column:
     """False only where sketches ``a`` and ``b`` of sets of sizes ``na`` and ``nb``
     rule similarity 4/5 out, which leaves a ninth of both sizes to differ at most."""
@@ -88,6 +101,19 @@ def may_be_similar(a: Column, b: Column, na: Column, nb: Column) -> Column:
     return 9 * differ <= na + nb
 
 
+def may_be_close(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    """As ``may_be_similar``, for wide sketches of sizes ``na <= nb`` of which the
+    greater is a quarter more at most. The wider sketch, twice as wide then, is
+    folded to the other's bits, which gives that text's sketch of so many bits."""
+    size = F.size(a)
+
+    def differ(n: Column, i: Column) -> Column:
+        both = F.get(a, i).bitwiseXOR(F.get(b, i))
+        return n + F.bit_count(F.when(F.size(b) > size, both.bitwiseXOR(F.get(b, i + size))).otherwise(both))
+
+    return (size == 0) | (9 * F.aggregate(F.sequence(F.lit(0), F.greatest(size, F.lit(1)) - 1), F.lit(0), differ) <= na + nb)
+
+
 def frequent_shingles(docs: DataFrame, text_col: str, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that come often in a sample, in order, with their counts; bounded."""
     total = docs.count()
@@ -114,9 +140,9 @@ def text_key(text: Column) -> Column:
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, th, words, n, prefix, fp, sketch`` of every row: 16 bytes each for the
+    """``doc_id, th, words, n, prefix, fp, sketch, wide`` of every row: 16 bytes each for the
     text and for its words, the number of its shingles, its prefix, its SimHash
-    fingerprint and its sketch."""
+    fingerprint and its sketches."""
     frequent, counts = frequent_shingles(docs, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("th"),
                        F.col(text_col).alias("text"))
@@ -124,7 +150,7 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            keys, sizes, firsts, fps, sketches = [], [], [], [], []
+            keys, sizes, firsts, fps, sketches, wide = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 key, hashes = shingles(text)
                 keys.append(key)
@@ -132,14 +158,15 @@ def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 firsts.append(prefix(hashes, frequent, counts))
                 fps.append(fingerprint(text))
                 sketches.append(sketch(hashes))
+                wide.append(wide_sketch(hashes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array(firsts, pa.list_(pa.int64())), pa.array(np.array(fps, np.uint64).view(np.int64)),
-                 pa.array(sketches, pa.list_(pa.int64()))],
-                ["doc_id", "th", "words", "n", "prefix", "fp", "sketch"])
+                 pa.array(sketches, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))],
+                ["doc_id", "th", "words", "n", "prefix", "fp", "sketch", "wide"])
 
     return rows.mapInArrow(each, f"doc_id {kind}, th binary, words binary, n long, prefix array<long>, fp long, "
-                                 "sketch array<long>")
+                                 "sketch array<long>, wide array<long>")
 
 
 def sketched(nodes: DataFrame) -> DataFrame:
@@ -280,9 +307,12 @@ def promising(pairs: DataFrame) -> DataFrame:
 def unruled(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that sketches don't rule out; whole sets, which are larger, meet only for these."""
     pairs = stored(pairs, "promising")  # so that Spark knows its size
-    ends = nodes.select("k", "n", "sketch")
-    both = pairs.join(ends.toDF("a", "na", "xa"), "a").join(ends.toDF("b", "nb", "xb"), "b")
-    return both.where(may_be_similar(F.col("xa"), F.col("xb"), F.col("na"), F.col("nb"))).select("a", "b")
+    ends = nodes.select("k", "n", "sketch", "wide")
+    both = pairs.join(ends.toDF("a", "na", "xa", "wa"), "a").join(ends.toDF("b", "nb", "xb", "wb"), "b")
+    na, nb = F.col("na"), F.col("nb")
+    small, great = (F.when(na <= nb, F.col(x)).otherwise(F.col(y)) for x, y in (("wa", "wb"), ("wb", "wa")))
+    both = both.where((5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & may_be_similar(F.col("xa"), F.col("xb"), na, nb))
+    return both.where(may_be_close(small, great, F.least(na, nb), F.greatest(na, nb))).select("a", "b")
 
 
 def stars(often: DataFrame) -> DataFrame:
@@ -309,6 +339,8 @@ def unlinked(often: DataFrame) -> DataFrame:
     """
     if "sketch" not in often.columns:
         often = often.withColumn("sketch", F.array_repeat(F.lit(0).cast("long"), SKETCH))
+    if "wide" not in often.columns:
+        often = often.withColumn("wide", F.array().cast("array<long>"))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")  # a partner is one step away at most
     posts = often.withColumn("reach", F.floor(9 * (F.col("n") - F.col("p")) / 4) - F.col("n")).withColumn("step", step)
     sizes = posts.groupBy("s", "n", "step").agg(F.max("reach").alias("reach"))
@@ -319,35 +351,41 @@ def unlinked(often: DataFrame) -> DataFrame:
     sizes = sizes.select("s", F.explode(F.array("n1", "n2")).alias("n")).distinct()
     posts = posts.join(sizes, ["s", "n"], "left_semi")
     one = posts.select("s", F.col("n").alias("n1"), F.col("k").alias("k1"), F.col("root").alias("root1"),
-                       F.col("reach").alias("r1"), F.col("sketch").alias("x1"),
+                       F.col("reach").alias("r1"), F.col("sketch").alias("x1"), F.col("wide").alias("w1"),
                        F.explode(F.array("step", F.col("step") + 1)).alias("step"))
     two = posts.select("s", F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("root").alias("root2"),
-                       F.col("reach").alias("r2"), F.col("sketch").alias("x2"), "step")
+                       F.col("reach").alias("r2"), F.col("sketch").alias("x2"), F.col("wide").alias("w2"), "step")
     fits = F.expr("n1 <= n2 and n2 <= r1 and n1 <= r2 and (n1 < n2 or k1 < k2) and root1 <> root2")
+    # in this order, so that long sketches are compared only where short ones rule nothing out
+    n1, n2 = F.col("n1"), F.col("n2")
     met = one.join(two, ["s", "step"]).where(
-        fits & may_be_similar(F.col("x1"), F.col("x2"), F.col("n1"), F.col("n2")))
+        fits & may_be_similar(F.col("x1"), F.col("x2"), n1, n2) & may_be_close(F.col("w1"), F.col("w2"), n1, n2))
     return met.select(F.least("k1", "k2").alias("a"), F.greatest("k1", "k2").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """``(a, b)`` of the pairs with a similarity of at least 4/5."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    # written, so that Spark knows its size before it decides how to join the texts
-    ends = stored(nodes.select("k", "th").join(ends, "k", "left_semi").withColumnRenamed("th", "__th"), "ends")
-    texts = docs.select(text_key(F.col(text_col)).alias("__key"), F.col(text_col).alias("text"))
-    # only texts that may be among them move, and copies once for each task
-    texts = sieved(texts, sieve(ends, F.xxhash64("__th")), F.xxhash64("__key")).dropDuplicates(["__key"])
-    texts = texts.join(ends, F.col("__key") == F.col("__th")).select("k", "text")
-
-    def each(batches):
-        for batch in batches:
-            found = [shingles(t)[1] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.list_(pa.int64()))], ["k", "set"])
-
-    sets = stored(texts.mapInArrow(each, "k long, set array<long>"), "sets")
-    both = pairs.select("a", "b").join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(9 * shared >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b")
+    """``(a, b)`` of the pairs with a similarity of at least 4/5. Those that sketches rule out move no sets."""
+    with work_scope() as made:
+        pairs = stored(unruled(pairs, nodes), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+        # written, so that Spark knows its size before it decides how to join the texts
+        ends = stored(nodes.select("k", "th").join(ends, "k", "left_semi").withColumnRenamed("th", "__th"), "ends")
+        texts = docs.select(text_key(F.col(text_col)).alias("__key"), F.col(text_col).alias("text"))
+        # only texts that may be among them move, and copies once for each task
+        texts = sieved(texts, sieve(ends, F.xxhash64("__th")), F.xxhash64("__key")).dropDuplicates(["__key"])
+        texts = texts.join(ends, F.col("__key") == F.col("__th")).select("k", "text")
+
+        def each(batches):
+            for batch in batches:
+                found = [shingles(t)[1] for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(found, pa.list_(pa.int64()))], ["k", "set"])
+
+        sets = stored(texts.mapInArrow(each, "k long, set array<long>"), "sets")
+        both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        found = stored(both.where(9 * shared >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b"), "links")
+    release(docs.sparkSession, made, but=found)
+    return found
 
 
 def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc_id",
@@ -367,11 +405,12 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
         rows = stored(marked(docs, id_col, text_col), "prefixes")
         nodes = stored(rows.groupBy("words").agg(
             F.min("th").alias("th"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-            F.first("fp").alias("fp"), F.first("sketch").alias("sketch")).withColumn("k", F.monotonically_increasing_id()), "nodes")
+            F.first("fp").alias("fp"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")).withColumn(
+                "k", F.monotonically_increasing_id()), "nodes")
         rows = stored(rows.select("doc_id", "th", "words"), "rows")
     release(docs.sparkSession, made, but=rows.select("words").unionByName(nodes.select("words")))
     with work_scope() as made:
-        close = stored(verified(stored(sketched(nodes), "pairs"), nodes, docs, text_col), "close")
+        close = verified(sketched(nodes), nodes, docs, text_col)
         roots = stored(components(close).withColumnRenamed("node", "k"), "roots")
         posts = nodes.select("k", "n", "prefix").join(roots, "k", "left").select(
             "k", "n", F.coalesce("root", "k").alias("root"), F.posexplode("prefix").alias("p", "s")).select(
@@ -380,14 +419,14 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
         pairs = met.where(F.col("kind") == PAIR).drop("kind")
         crowded = met.where(F.col("kind") == LARGE).select(F.col("a").alias("s"))
         if crowded.isEmpty():
-            candidates = stored(unruled(promising(pairs.withColumn("spare", F.lit(0))), nodes), "pairs")
+            candidates = promising(pairs.withColumn("spare", F.lit(0)))
         else:
             often = crowded_posts(nodes, crowded).join(roots, "k", "left")
             often = stored(often.withColumn("root", F.coalesce("root", "k")), "crowded")
-            close = close.unionByName(stored(verified(stored(stars(often), "pairs"), nodes, docs, text_col), "stars"))
+            close = close.unionByName(verified(stars(often), nodes, docs, text_col))
             roots = components(close).withColumnRenamed("node", "k")
             often = often.drop("root").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
-            often = stored(often.join(nodes.select("k", "sketch"), "k"), "crowded")
+            often = stored(often.join(nodes.select("k", "sketch", "wide"), "k"), "crowded")
             # shingles of large groups are not counted pair by pair
             known = stored(often.groupBy("k").agg(F.count("*").alias("n")).join(roots, "k", "full_outer"), "known")
             for side in ("a", "b"):
@@ -395,7 +434,7 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
             pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
             none = F.lit(0).cast("long")
             pairs = pairs.withColumn("spare", F.least(F.coalesce("extra_a", none), F.coalesce("extra_b", none)))
-            candidates = stored(unruled(promising(pairs), nodes).unionByName(unlinked(often)).distinct(), "pairs")
+            candidates = promising(pairs).unionByName(unlinked(often)).distinct()
         linked = stored(verified(candidates, nodes, docs, text_col).unionByName(close), "linked")
         labels = stored(components(linked).withColumnRenamed("node", "k"), "labels")
     release(docs.sparkSession, made, but=labels)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.llm.common import ship
+from gatewright.session import work_settings
 
 ship(__name__)
 
@@ -29,8 +30,10 @@ def sieve(keys: DataFrame, key: Column) -> np.ndarray:
     while bits < MOST_BITS and bits < KEY_BITS * total:
         bits *= 2
     slots = keys.select(key.bitwiseAND(F.lit(bits - 1)).alias("slot"))
-    rows = slots.groupBy(F.expr("slot div 64").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("word")).toArrow()
+    slots = slots.groupBy(F.expr("slot div 64").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("word"))
+    with work_settings(keys.sparkSession):
+        rows = slots.toArrow()
     words = np.zeros(bits // 64, np.int64)
     words[rows.column("at").to_numpy()] = rows.column("word").to_numpy()
     return words

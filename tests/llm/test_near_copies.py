@@ -198,3 +198,39 @@ def test_texts_that_share_a_passage_make_no_pair(spark, documents, rng):
     nodes = rows.withColumnRenamed("doc_id", "k")
     every = nodes.select(near.F.col("k").alias("a")).join(nodes.select(near.F.col("k").alias("b"))).where("a < b")
     assert sorted(map(tuple, near.unruled(every, nodes).collect())) == [(0, 60), (1, 61)]
+
+
+def test_wide_sketches_rule_out_only_what_differs(spark, rng):
+    """Long texts, at sizes around a power of two, where the wider sketch is folded."""
+    words = [f"v{i}" for i in range(100_000)]
+    long = rng.choices(words, k=2040)
+    texts = [long, [*long, *rng.choices(words, k=30)], [*long, *rng.choices(words, k=400)], long[:1500], long[:1020],
+             [*long[:100], *rng.choices(words, k=1900)], [*long[:100], *rng.choices(words, k=2200)]]
+    sets = [near.shingles(" ".join(t))[1] for t in texts]
+    rows = [(i, len(s), near.wide_sketch(s).tolist()) for i, s in enumerate(sets)]
+    assert [len(r[2]) for r in rows] == [32, 64, 64, 32, 0, 32, 64]
+    frame = spark.createDataFrame(rows, "k long, n long, w array<long>")
+    both = frame.toDF("a", "na", "wa").crossJoin(frame.toDF("b", "nb", "wb")).where(
+        "na < nb and 5 * na >= 4 * nb or a = b")
+    both = both.withColumn("close", near.may_be_close(*map(near.F.col, ("wa", "wb", "na", "nb"))))
+    told = {(r.a, r.b): r.close for r in both.collect()}
+    for (a, b), close in told.items():
+        alike = 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))
+        assert close or not alike
+    assert told[0, 1] and told[0, 2] and not told[5, 0] and not told[0, 6] and not told[5, 2]
+
+
+def test_long_texts_that_share_a_passage_move_no_sets(spark, documents, rng, tmp_path, monkeypatch):
+    """Whole sets are larger than their texts: only those that may be similar are made, however long texts are."""
+    words = [f"v{i}" for i in range(100_000)]
+    passage = rng.choices(words, k=400)
+    texts = [" ".join(passage + rng.choices(words, k=4000)) for _ in range(24)]
+    texts += [f"{texts[0]} {' '.join(rng.choices(words, k=300))}"]
+    documents(texts).write.parquet(str(tmp_path / "d"))
+    docs, sets = spark.read.parquet(str(tmp_path / "d")), []
+    monkeypatch.setattr(near, "stored", lambda df, purpose, real=near.stored: (
+        sets.append(df.count()) if purpose == "sets" else None, real(df, purpose))[1])
+    for large in (5, 50):
+        rows = near.near_copies(docs, large=large).collect()
+        assert len({r.root for r in rows}) == 24 and sum(sets) <= 4
+        sets.clear()
