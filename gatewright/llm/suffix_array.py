@@ -32,7 +32,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -50,10 +49,12 @@ GRAM = 128
 # Occurrences of one anchor that one task lines up, and documents in one set of rounds.
 # Anchors with more occurrences are settled by hashes of their windows.
 LARGE_ANCHOR = 16_384
-ROUND_DOCUMENTS = 16_384
+ROUND_DOCUMENTS = 8_192
 
 # Words of a passage, and the grams by which its windows meet: fifty words have 99 bytes at least.
 PASSAGE_WORDS, PASSAGE_GRAM = 50, 64
+# Rows of a batch that are Python objects at once, and texts that are measured, or whose repeats are told, at once.
+PIECE, TOLD = 256, 1_024
 # Bytes of short texts whose anchors are found at once: few enough for a processor's cache to hold their hashes.
 STRETCH = 1 << 16
 
@@ -72,18 +73,21 @@ def _mix(x: np.ndarray, room: np.ndarray) -> None:
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """A 64-bit hash of the ``gram`` bytes (a power of two) from each place on."""
+    """A 64-bit hash of the ``gram`` bytes (a power of two) from each place on:
+    a polynomial of the mixed bytes, by halves, mixed again at the end. Grams
+    that share a hash by chance cost a comparison, never a result."""
     h = data.astype(np.uint64)
     h += np.uint64(1)
     room = np.empty_like(h)
     _mix(h, room)
-    size = 1
+    size, power = 1, 0x9E3779B97F4A7C15
     while size < gram:
-        more = h[size:]
-        h = h[:max(0, len(h) - size)] * np.uint64(2 * size + 1)
-        h += more
-        _mix(h, room)
-        size *= 2
+        count = max(0, len(h) - size)
+        np.multiply(h[:count], np.uint64(power), out=room[:count])
+        room[:count] += h[size:]
+        h, room = room[:count], h
+        size, power = 2 * size, power * power % (1 << 64)
+    _mix(h, room)
     return h
 
 
@@ -219,6 +223,11 @@ class Windows:
         if not self.words:
             return None
         need = np.full((columns, len(texts)), np.iinfo(np.int16).max, np.int16)
+        for at in range(0, len(texts), TOLD):
+            self._need(need[:, at:at + TOLD], begin[at:at + TOLD], texts[at:at + TOLD])
+        return need
+
+    def _need(self, need: np.ndarray, begin: np.ndarray, texts: list[bytes]) -> None:
         # all texts one behind the other, a blank between them
         data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         at = np.cumsum([0, *[len(t) + 1 for t in texts]])
@@ -230,7 +239,13 @@ class Windows:
         fit = np.flatnonzero((text[:count] == text[self.words - 1:]) & (size <= self.width))
         of = text[fit]
         need[begin[of] + starts[fit] - at[of], of] = size[fit]
-        return need
+
+
+def pieces(batches):
+    """The same rows, ``PIECE`` at most at once: as Python objects they take many times a batch's bytes."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE):
+            yield batch.slice(at, PIECE)
 
 
 def _bytes(text: str | None) -> bytes:
@@ -260,7 +275,7 @@ def anchored(docs: DataFrame, windows: Windows) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def each(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             keys, sizes, shas, words, places, ties = [], [], [], [], [], []
             texts = [_bytes(text) for text in batch.column("text").to_pylist()]
             for data, (place, tied) in zip(texts, windows.anchors(texts)):
@@ -332,6 +347,13 @@ def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width:
             hit = prefix >= least
             hit[:-1] |= prefix[1:] >= (width if need is None else least[:-1])
             repeated[j, order] = hit
+    told = [_runs(repeated[:, at:at + TOLD], None if need is None else need[:, at:at + TOLD]) for at in range(0, m, TOLD)]
+    rows, first, past = (np.concatenate(x) for x in zip(*((r + k * TOLD, f, p) for k, (r, f, p) in enumerate(told))))
+    return rows, first - begin[rows], past - begin[rows]
+
+
+def _runs(repeated: np.ndarray, need: np.ndarray | None):
+    """Of some texts of ``column_rounds``, with columns for places."""
     if need is not None:
         rows, at = np.nonzero(repeated.T)
         past = at + need[at, rows]
@@ -339,19 +361,17 @@ def column_rounds(group: np.ndarray, off: np.ndarray, texts: list[bytes], width:
         reach = np.maximum.accumulate(past + rows * np.int64(1 << 32))
         begins = np.flatnonzero(np.concatenate(([len(rows) > 0], (at + rows * np.int64(1 << 32))[1:] > reach[:-1])))
         lasts = np.append(begins[1:], len(rows)) - 1 if len(begins) else begins
-        rows, first, past = rows[begins], at[begins], (reach - rows * np.int64(1 << 32))[lasts]
-        return rows, first - begin[rows], past - begin[rows]
+        return rows[begins], at[begins], (reach - rows * np.int64(1 << 32))[lasts]
     edges = np.diff(np.pad(repeated.T.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     rows, first = np.nonzero(edges == 1)
-    last = np.nonzero(edges == -1)[1] - 1
-    return rows, first - begin[rows], last - begin[rows]
+    return rows, first, np.nonzero(edges == -1)[1] - 1
 
 
 def contexts(texts: DataFrame, windows: Windows) -> DataFrame:
     """The text around each place that is not large: all its windows."""
 
     def each(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             for tkey, text, places in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "places"))):
                 data = _bytes(text)
                 small = [p for p in places if p["h"] is not None and not p["large"]]
@@ -404,7 +424,7 @@ def _large_windows(texts: DataFrame, windows: Windows) -> DataFrame:
     """``(x, tkey, size, starts)``: hashes of the windows at large anchors."""
 
     def each(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             for tkey, text, places in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "places"))):
                 data = _bytes(text)
                 starts = [s for p in places if p["large"] for s in range(p["lo"], p["hi"] + 1)]
@@ -467,21 +487,26 @@ class Repeats:
         self.spans = stored(merged.select("tkey", merge_spans("spans").alias("spans")), "spans")
 
 
+def _merged(column: pa.Array) -> pa.Array:
+    """All lists at once, in numbers: as Python objects they would take many times their bytes."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    first, past = (column.flatten().field(k).to_numpy() for k in ("first", "past"))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    lists = row * np.int64(1 << 32)
+    reach = np.maximum.accumulate(past + lists)
+    begins = np.flatnonzero(np.concatenate(([len(row) > 0], (first + lists)[1:] > reach[:-1])))
+    lasts = np.append(begins[1:], len(row)) - 1 if len(begins) else begins
+    ends = np.cumsum([0, *np.bincount(row[begins], minlength=len(sizes)).tolist()])
+    fields = [pa.array(first[begins].astype(np.int32)), pa.array((reach - lists)[lasts].astype(np.int32))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["first", "past"]))
+
+
 def merge_spans(spans: str):
     """Sorted ``(first, past)`` with those joined that overlap or touch."""
 
-    @F.pandas_udf(SPANS)
-    def merge(column: pd.Series) -> pd.Series:
-        out = []
-        for spans in column:
-            done: list[dict] = []
-            for s in spans:
-                if done and s["first"] <= done[-1]["past"]:
-                    done[-1]["past"] = max(done[-1]["past"], s["past"])
-                else:
-                    done.append({"first": s["first"], "past": s["past"]})
-            out.append(done)
-        return pd.Series(out)
+    @F.arrow_udf(SPANS)
+    def merge(column: pa.Array) -> pa.Array:
+        return _merged(column)
 
     return merge(F.col(spans))
 
@@ -500,7 +525,7 @@ def repeat_report(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, larg
 def _report(found: Repeats, width: int) -> DataFrame:
 
     def digest(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             keys, removed, count, shas = [], [], [], []
             for tkey, text, spans in zip(*(batch.column(c).to_pylist() for c in ("tkey", "text", "spans"))):
                 data = _bytes(text)
@@ -553,7 +578,7 @@ def passage_report(docs: DataFrame, *, words: int = PASSAGE_WORDS, width: int =
     more = passage_spans(docs, words, width, word_gram, large)
     found = Repeats(docs, width, gram, large)
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["past"] - s["first"]).cast("long"))
-    part = joined(found.spans, more).select("tkey", size.alias("part"))
+    part = stored(joined(found.spans, more).select("tkey", size.alias("part")), "parts")
     rows = _report(found, width).join(part, "tkey", "left")
     whole = (F.col("n") > 1) & (F.col("n_words") >= words)
     return rows.withColumn("n_with_passages", F.when(whole, F.col("n_bytes")).otherwise(
@@ -599,9 +624,13 @@ def remove(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM, large: int
                                     F.col("spans").alias("__spans")), "cuts")
     release(docs.sparkSession, made, but=known)
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if s is None else cut_text(_bytes(t), s) for t, s in zip(texts, spans)], dtype=object)
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for batch in pieces([pa.RecordBatch.from_arrays([texts, spans], ["text", "spans"])]):
+            both = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())
+            out.append(pa.array([None if s is None else cut_text(_bytes(t), s) for t, s in both], pa.string()))
+        return pa.concat_arrays(out) if out else texts
 
     # a text that loses nothing stays where it is
     key, held = F.xxhash64(text_key(docs["text"])), sieve(known, F.xxhash64("__k"))

@@ -158,3 +158,67 @@ def test_anchors_of_many_texts_stay_in_cache():
     for text, (places, tied) in zip(texts, got):
         alone, alone_tied = sa.anchors_of(text, 400, 128)
         assert (places[:, 1:] == alone[:, 1:]).all() and (places[:, 0] == alone[:, 0]).all() and tied == alone_tied
+
+
+def test_rounds_take_little_more_than_their_texts(rng):
+    """Thousands of texts around one anchor, where every passage repeats: what is told of them at once is bounded."""
+    text = " ".join(rng.choice(["a", "bc", "d"]) for _ in range(400)).encode()
+    text = text[:sa.passages(text, 50, 400)[1][90]]
+    tracemalloc.start()
+    rows, first, past = sa.column_rounds(
+        np.zeros(4096, np.int64), np.full(4096, 272), [text] * 4096, 400, sa.Windows(400, 64, 50))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.tolist() == list(range(4096)) and not first.any() and (past == len(text)).all()
+    assert peak < 6000 * 4096
+
+
+def test_few_rows_of_a_batch_are_python_objects():
+    """A batch of 10,000 rows with long lists goes through in pieces, each told before the next is read."""
+    batch = sa.pa.RecordBatch.from_arrays([sa.pa.array([[1] * 50] * 10_000)], ["x"])
+    sizes = [b.num_rows for b in sa.pieces([batch, batch.slice(0, 3)])]
+    assert sum(sizes) == 10_003 and max(sizes) <= sa.PIECE
+
+
+def test_workers_get_few_bytes_at_once(spark):
+    """What a stored table hands to Python comes in small batches; the session's own limit is back behind it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key)
+    texts = spark.range(0, 4000, 1, 1).select(sa.F.repeat(sa.F.lit("x"), 4000).alias("text"))
+
+    def each(batches):
+        for batch in batches:
+            yield sa.pa.RecordBatch.from_arrays([sa.pa.array([batch.nbytes])], ["n"])
+
+    told = sa.stored(texts.mapInArrow(each, "n long"), "sizes").collect()
+    assert sum(r.n for r in told) > 16_000_000 and max(r.n for r in told) < 8 << 20 and spark.conf.get(key) == own
+
+
+def test_spans_are_merged_in_numbers(rng):
+    """Equal to one after the other, on lists with gaps, overlaps, touching and nested spans, and none; no Python
+    object for each span."""
+    kind = sa.pa.list_(sa.pa.struct([("first", sa.pa.int32()), ("past", sa.pa.int32())]))
+
+    def spans(n, most):
+        starts = [rng.randrange(most) for _ in range(n)]
+        return sorted(({"first": s, "past": s + rng.randint(1, 12)} for s in starts), key=lambda s: (s["first"], s["past"]))
+
+    lists = [spans(rng.randint(0, 9), 60) for _ in range(400)]
+    want = []
+    for one in lists:
+        done = []
+        for s in one:
+            if done and s["first"] <= done[-1]["past"]:
+                done[-1]["past"] = max(done[-1]["past"], s["past"])
+            else:
+                done.append(dict(s))
+        want.append(done)
+    assert sa._merged(sa.pa.array(lists, kind)).to_pylist() == want
+    assert sa._merged(sa.pa.array(lists, kind).slice(7, 20)).to_pylist() == want[7:27]
+    assert sa._merged(sa.pa.array([], kind)).to_pylist() == []
+    many = sa.pa.array([spans(60, 100_000)] * 5000, kind)
+    tracemalloc.start()
+    sa._merged(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * 60 * 5000
