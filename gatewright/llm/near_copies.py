@@ -25,7 +25,7 @@ from gatewright.llm.common import LOWER, UPPER, ship
 from gatewright.llm.graph import components
 from gatewright.llm.sieve import may_hold, sieve, sieved
 from gatewright.llm.simhash import fingerprint, links, plan_partitions
-from gatewright.session import release, stored, work_scope
+from gatewright.session import SMALL_BATCHES, release, stored, work_scope, work_settings
 
 ship(__name__)
 
@@ -128,7 +128,8 @@ def frequent_shingles(docs: DataFrame, text_col: str, sample: int = SAMPLE) -> t
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["s"])
 
     rows = some.distinct().mapInArrow(each, "s long").groupBy("s").count().where(F.col("count") >= FREQUENT)
-    rows = rows.orderBy(F.desc("count"), "s").limit(MOST_FREQUENT).toArrow()
+    with work_settings(docs.sparkSession):
+        rows = rows.orderBy(F.desc("count"), "s").limit(MOST_FREQUENT).toArrow()
     s, n = rows.column("s").to_numpy(), rows.column("count").to_numpy()
     order = np.argsort(s)
     return s[order], n[order]
@@ -401,7 +402,7 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
     texts are taken whole; repeated rows come out as often as they went in;
     further columns are not looked at; an empty table gives no rows.
     """
-    with work_scope() as made:
+    with work_scope() as made, work_settings(docs.sparkSession, SMALL_BATCHES):
         rows = stored(marked(docs, id_col, text_col), "prefixes")
         nodes = stored(rows.groupBy("words").agg(
             F.min("th").alias("th"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
@@ -409,7 +410,7 @@ def near_copies(docs: DataFrame, *, large: int = LARGE_GROUP, id_col: str = "doc
                 "k", F.monotonically_increasing_id()), "nodes")
         rows = stored(rows.select("doc_id", "th", "words"), "rows")
     release(docs.sparkSession, made, but=rows.select("words").unionByName(nodes.select("words")))
-    with work_scope() as made:
+    with work_scope() as made, work_settings(docs.sparkSession, SMALL_BATCHES):
         close = verified(sketched(nodes), nodes, docs, text_col)
         roots = stored(components(close).withColumnRenamed("node", "k"), "roots")
         posts = nodes.select("k", "n", "prefix").join(roots, "k", "left").select(

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from gatewright.llm.common import WORD, ship
 from gatewright.llm.sieve import sieve, sieved
-from gatewright.session import release, stored, work_scope
+from gatewright.session import SMALL_BATCHES, release, stored, work_scope, work_settings
 
 ship(__name__)
 
@@ -457,7 +457,10 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, width: int = WIDTH, gram: int = GRAM, large: int = LARGE_ANCHOR,
                  words: int = 0):
-        windows = Windows(width, gram, words)
+        with work_settings(docs.sparkSession, SMALL_BATCHES):
+            self._find(docs, Windows(width, gram, words), large)
+
+    def _find(self, docs: DataFrame, windows: Windows, large: int) -> None:
         docs = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
         found = stored(anchored(docs, windows), "anchors")
         self.rows = found.select("doc_id", "tkey", "n_bytes", "sha", "n_words")

@@ -180,18 +180,23 @@ def test_few_rows_of_a_batch_are_python_objects():
     assert sum(sizes) == 10_003 and max(sizes) <= sa.PIECE
 
 
-def test_workers_get_few_bytes_at_once(spark):
-    """What a stored table hands to Python comes in small batches; the session's own limit is back behind it."""
+def test_workers_get_few_bytes_at_once(spark, monkeypatch):
+    """Long texts come to Python in small batches; the session's own limit is back behind it."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     own = spark.conf.get(key)
-    texts = spark.range(0, 4000, 1, 1).select(sa.F.repeat(sa.F.lit("x"), 4000).alias("text"))
+    docs = spark.range(0, 4000, 1, 1).select(
+        "id", sa.F.concat(sa.F.col("id").cast("string"), sa.F.repeat(sa.F.lit("x"), 4000)).alias("text"))
+    sizes, anchored = spark.sparkContext.accumulator(0), sa.anchored
 
     def each(batches):
         for batch in batches:
-            yield sa.pa.RecordBatch.from_arrays([sa.pa.array([batch.nbytes])], ["n"])
+            sizes.add(batch.nbytes >> 23)
+            yield batch
 
-    told = sa.stored(texts.mapInArrow(each, "n long"), "sizes").collect()
-    assert sum(r.n for r in told) > 16_000_000 and max(r.n for r in told) < 8 << 20 and spark.conf.get(key) == own
+    monkeypatch.setattr(sa, "anchored", lambda docs, windows: anchored(
+        docs.mapInArrow(each, docs.schema), windows))
+    found = sa.Repeats(docs.withColumnRenamed("id", "doc_id"), words=50)
+    assert found.rows.count() == 4000 and sizes.value == 0 and spark.conf.get(key) == own
 
 
 def test_spans_are_merged_in_numbers(rng):
